@@ -59,9 +59,18 @@ class Watermarks:
         """Move a mark forward; an older or missing time leaves it where it is."""
         if reached is None:
             return
-        mark = F.greatest(F.lit(self.get(layer, source)).cast("timestamp"), _timestamp(reached))
-        one = self.store.spark.createDataFrame([(layer, source)], "layer STRING, source_table STRING")
-        self._write(self._row(one, mark, F.lit(run.batch_id), run))
+        keys = self.store.spark.createDataFrame([(layer, source)], "layer STRING, source_table STRING")
+        self.advance_all(keys.withColumn("reached", _timestamp(reached)), run)
+
+    def advance_all(self, reached: DataFrame, run: Run) -> None:
+        """Move several marks (layer, source_table, reached) forward in one write."""
+        reached = reached.where(F.col("reached").isNotNull())
+        mark = F.col("reached")
+        if self.store.exists("ops", TABLE):
+            known = self.table().select("layer", "source_table", "last_watermark")
+            reached = reached.join(known, ["layer", "source_table"], "left")
+            mark = F.greatest("last_watermark", "reached")
+        self._write(self._row(reached, mark, F.lit(run.batch_id), run))
 
     def _row(self, keys: DataFrame, mark: Column, batch_id: Column, run: Run) -> DataFrame:
         return keys.select(

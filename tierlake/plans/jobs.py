@@ -6,16 +6,16 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.functions import clean_text, parse_timestamp
+from tierlake.functions import UNKNOWN, clean_text, parse_timestamp
 from tierlake.operators import quality as q
 from tierlake.operators.dedupe import latest_per_key, newest_first
 from tierlake.operators.entity import (
-    LINEAGE,
     EntitySpec,
     Run,
     add_lineage,
@@ -39,7 +39,7 @@ from tierlake.operators.star import (
     dim_patient,
     patient_bi,
 )
-from tierlake.operators.upsert import BUCKET, DEFAULT_BUCKETS, overwrite_bucketed, upsert_table
+from tierlake.operators.upsert import DEFAULT_BUCKETS, overwrite_bucketed, upsert_table
 from tierlake.operators.watermark import Watermarks, highest, newer_than
 from tierlake.plans.entities import (
     APPOINTMENT_STATES,
@@ -48,7 +48,6 @@ from tierlake.plans.entities import (
     ENTITIES,
     SEXES,
 )
-from tierlake.functions import UNKNOWN
 from tierlake.sources.staging import Staging
 from tierlake.sources.store import LayerStore
 
@@ -138,8 +137,17 @@ def quarantine_table(store: LayerStore) -> DataFrame:
     return store.read("bronze", "quarantine", schema)
 
 
+_silver_schemas: dict[str, T.StructType] = {}
+
+
 def silver_schema(spark: SparkSession, spec: EntitySpec) -> T.StructType:
-    """Types of a cleaned entity, by analysing its plan over an empty table."""
+    """Types of a cleaned and tagged entity, by analysing its plan over an empty table once."""
+    if spec.name not in _silver_schemas:
+        _silver_schemas[spec.name] = _analysed_schema(spark, spec)
+    return _silver_schemas[spec.name]
+
+
+def _analysed_schema(spark: SparkSession, spec: EntitySpec) -> T.StructType:
     run = Run("", datetime(1970, 1, 1), date(1970, 1, 1))
     bronze = spark.createDataFrame([], spec.bronze_schema())
     parents = {}
@@ -257,7 +265,7 @@ def clean_silver(settings: Settings, spec: EntitySpec, run: Run, mode: str) -> C
         counts = tagged.agg(
             F.count_if(ok).alias("valid"),
             F.count_if(~ok).alias("rejected"),
-            F.max(F.when(ok, F.col(spec.cursor))).cast("string").alias("reached"),
+            F.max(spec.cursor).cast("string").alias("reached"),
         ).first()
         if mode == FULL:
             overwrite_bucketed(valid, store, "silver", spec.name, spec.pk, settings.buckets)
@@ -275,12 +283,22 @@ def clean_silver(settings: Settings, spec: EntitySpec, run: Run, mode: str) -> C
 
 
 def sync_marks(settings: Settings, run: Run) -> None:
-    """After a full load, each silver mark is the highest cursor in its table."""
+    """After a full load, each silver mark is the highest cursor that was read, rejects included,
+    so that an unchanged source gives an incremental run nothing to do."""
+    rejects = rejects_table(settings.store).where(F.col("_batch_id") == run.batch_id)
+    reached = []
     for spec in ENTITIES:
-        reached = highest(settings.store.read("silver", spec.name), spec.cursor).select(
-            F.col("last_watermark").cast("string").alias("at")
+        consumed = settings.store.read("silver", spec.name).select(spec.cursor).unionAll(
+            rejects.where(F.col("_entity") == spec.name).select(spec.cursor)
+        )
+        reached.append(
+            highest(consumed, spec.cursor).select(
+                F.lit("silver").alias("layer"),
+                F.lit(spec.name).alias("source_table"),
+                F.col("last_watermark").alias("reached"),
+            )
         )
-        settings.marks.advance("silver", spec.name, reached.first().at, run)
+    settings.marks.advance_all(reduce(DataFrame.unionAll, reached), run)
 
 
 # --- gold --------------------------------------------------------------------------------------

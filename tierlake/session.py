@@ -31,6 +31,8 @@ def local_session(cores: int | str = "*", app_name: str = "tierlake", **settings
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        # No Python stack capture per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
