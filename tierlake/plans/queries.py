@@ -31,7 +31,7 @@ from tierlake.functions import (
     row_hash,
 )
 from tierlake.operators import profile, quality
-from tierlake.operators.dedupe import newest_first
+from tierlake.operators.dedupe import latest_per_key, newest_first
 from tierlake.operators.entity import Run, add_lineage, attach_parents, reject_counts, union_rejects
 from tierlake.operators.history import first_versions, next_versions
 from tierlake.operators.star import FACTS, calendar_spanning, patient_bi
@@ -41,7 +41,7 @@ from tierlake.operators.watermark import Watermarks, newer_than
 from tierlake.plans import jobs, kpis
 from tierlake.plans.chain import CALENDAR_SPAN, RUN, Chain, chain
 from tierlake.plans.entities import APPOINTMENT_STATES, BY_NAME, CURSOR, ENTITIES, OTHER_STATE
-from tierlake.plans.feed import raw_entity
+from tierlake.plans.feed import STATEMENTS
 from tierlake.sources.readers import read_as_text
 from tierlake.sources.store import LayerStore
 from tierlake.streaming import upsert_arrivals
@@ -324,14 +324,11 @@ def incremental_rows_with_lookback(c: Chain) -> DataFrame:
 
 def _slices(c: Chain) -> tuple[DataFrame, DataFrame]:
     """Appointments as known at the mark, and the versions that came after it."""
-    first_versions_only = newest_first(CURSOR)
-    from tierlake.operators.dedupe import latest_per_key
-
     cleaned = c.cleaned("citas")
     old = cleaned.where(F.col(CURSOR) <= F.lit(MARK).cast("timestamp"))
     new = newer_than(cleaned, CURSOR, MARK)
     keep = lambda df, n: c.staging.keep(
-        latest_per_key(df, "id_cita", first_versions_only, keep_missing_keys=False), n
+        latest_per_key(df, "id_cita", newest_first(CURSOR), keep_missing_keys=False), n
     )
     return keep(old, "slice-old"), keep(new, "slice-new")
 
@@ -411,8 +408,6 @@ def patient_history(c: Chain) -> DataFrame:
     attributes = ("ciudad", "estado", "aseguradora")
     rows = c.cleaned("pacientes")
     oldest = [F.col(CURSOR).asc_nulls_last(), F.col("estado"), F.col("_row_hash")]
-    from tierlake.operators.dedupe import latest_per_key
-
     first = latest_per_key(rows, "id_paciente", oldest, keep_missing_keys=False)
     second = c.latest("pacientes")
     at = lambda text: F.lit(text).cast("timestamp")
@@ -783,7 +778,7 @@ def job_incremental_runs(c: Chain) -> DataFrame:
     early["citas"] = everything["citas"].where(
         parse_timestamp(CURSOR).isNull() | (parse_timestamp(CURSOR) <= F.lit(MARK).cast("timestamp"))
     )
-    jobs.run_all(settings, early, RUN, gold=False, fail_on=())
+    jobs.run_all(settings, early, RUN, gold=False, check=False)
     rows = []
     for number in (1, 2):
         at = RUN.at + timedelta(days=number)
@@ -831,9 +826,7 @@ def streamed_appointments(c: Chain) -> DataFrame:
     )
 
     def to_raw(batch: DataFrame) -> DataFrame:
-        from tierlake.plans.feed import STATEMENTS
-
-        return c.spark.sql(STATEMENTS["citas"], orders=batch)
+        return batch.sparkSession.sql(STATEMENTS["citas"], orders=batch)
 
     for _ in range(2):
         stream = upsert_arrivals(
