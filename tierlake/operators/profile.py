@@ -74,21 +74,36 @@ def value_shapes(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(value_shape(column).alias("shape")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    """Keys (and their row counts) that no parent has; NULL is one of them.
+
+    Child rows are counted per key first, so a key that dominates the children is joined once.
+    """
+    counted = children.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(parents.select(key).distinct(), key, "left_anti")
+
+
 def orphan_count(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key no parent has; a NULL key is an orphan."""
-    return children.join(parents.select(key), key, "left_anti").agg(
-        F.count(F.lit(1)).alias("orphans")
-    )
+    """Child rows whose key no parent has."""
+    return orphans(children, parents, key).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("orphans"))
 
 
 def mismatch_count(left: DataFrame, right: DataFrame, key: str, column: str) -> DataFrame:
-    """Pairs with equal keys whose column differs (NULL on a side is no difference)."""
-    a = left.select(key, column).alias("a")
-    b = right.select(key, column).alias("b")
-    pairs = a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"))
-    return pairs.where(F.col(f"a.{column}") != F.col(f"b.{column}")).agg(
-        F.count(F.lit(1)).alias("mismatches")
+    """How many pairs of rows with equal keys differ in a column (NULL on a side is no difference).
+
+    The pairs are counted, not formed: all pairs of a key, less the pairs that agree.
+    """
+
+    def tally(df: DataFrame, name: str) -> DataFrame:
+        return df.where(F.col(column).isNotNull()).groupBy(key, column).agg(F.count(F.lit(1)).alias(name))
+
+    a, b = tally(left, "a"), tally(right, "b")
+    pairs = a.groupBy(key).agg(F.sum("a").alias("a")).join(b.groupBy(key).agg(F.sum("b").alias("b")), key)
+    agreeing = a.join(b, [key, column])
+    signed = pairs.select((F.col("a") * F.col("b")).alias("n")).unionAll(
+        agreeing.select(-(F.col("a") * F.col("b")))
     )
+    return signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("mismatches"))
 
 
 def unbalanced_count(df: DataFrame, gross: str, discount: str, net: str) -> DataFrame:

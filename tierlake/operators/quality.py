@@ -188,6 +188,11 @@ def empty_check(check_id: str, severity: str, detail: str) -> Check:
     return Check(check_id, severity, F.count(F.lit(1)), most=0, detail=detail)
 
 
+def total_check(check_id: str, severity: str, detail: str) -> Check:
+    """For frames that list violations with a ``rows`` count each."""
+    return Check(check_id, severity, F.coalesce(F.sum("rows"), F.lit(0)), most=0, detail=detail)
+
+
 def forbidden_columns(df: DataFrame, table: str, check_id: str, names: Iterable[str]) -> DataFrame:
     found = sorted(set(names) & set(df.columns))
     return known_result(

@@ -26,6 +26,7 @@ from tierlake.operators.entity import (
     tag,
     valid_rows,
 )
+from tierlake.operators.profile import orphans
 from tierlake.operators.skew import heavy_keys
 from tierlake.operators.star import (
     CALENDAR_END,
@@ -411,29 +412,25 @@ def silver_results(settings: Settings, sla: float = 0.99) -> list[DataFrame]:
             checks.append(q.band_check(spec.name, *settings.row_bands[spec.name]))
         frames.append(q.run_checks(silver[spec.name], f"silver.{spec.name}", checks))
 
-    def orphans(check_id: str, name: str, children: DataFrame, parents: DataFrame, key: str) -> None:
-        lost = children.select(key).join(parents.select(key), key, "left_anti")
-        frames.append(
-            q.run_checks(lost, f"silver.{name}", [q.empty_check(check_id, q.CRIT, f"{key} without a parent")])
-        )
-
-    orphans("Q-S02", "citas", visits, patients, "id_paciente")
-    orphans("Q-S03", "eventos_clinicos", events, visits, "id_cita")
-    orphans("Q-S04", "eventos_clinicos", events, patients, "id_paciente")
-    orphans("Q-S06", "facturacion", bills, visits, "id_cita")
-    orphans("Q-S07", "facturacion", bills, patients, "id_paciente")
+    for check_id, name, children, parents, key in (
+        ("Q-S02", "citas", visits, patients, "id_paciente"),
+        ("Q-S03", "eventos_clinicos", events, visits, "id_cita"),
+        ("Q-S04", "eventos_clinicos", events, patients, "id_paciente"),
+        ("Q-S06", "facturacion", bills, visits, "id_cita"),
+        ("Q-S07", "facturacion", bills, patients, "id_paciente"),
+    ):
+        check = q.total_check(check_id, q.CRIT, f"{key} without a parent")
+        frames.append(q.run_checks(orphans(children, parents, key), f"silver.{name}", [check]))
 
     owners = visits.select("id_cita", F.col("id_paciente").alias("_owner"))
     strangers = (
-        events.select("id_cita", "id_paciente").join(owners, "id_cita").where("id_paciente <> _owner")
-    )
-    frames.append(
-        q.run_checks(
-            strangers,
-            "silver.eventos_clinicos",
-            [q.empty_check("Q-S05", q.CRIT, "event patient differs from the appointment's")],
-        )
+        events.groupBy("id_cita", "id_paciente")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .join(owners, "id_cita")
+        .where("id_paciente <> _owner")
     )
+    check = q.total_check("Q-S05", q.CRIT, "event patient differs from the appointment's")
+    frames.append(q.run_checks(strangers, "silver.eventos_clinicos", [check]))
     # A birth date that was given but did not parse must be among the rejects, never in silver.
     given = store.read("bronze", "pacientes").where(clean_text("fecha_nacimiento").isNotNull())
     lost_dates = (

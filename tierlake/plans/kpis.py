@@ -198,18 +198,33 @@ def documented_appointments(appointments: DataFrame, events: DataFrame, by: tupl
 
 
 def appointment_to_event_hours(appointments: DataFrame, events: DataFrame) -> DataFrame:
-    """Time from an appointment to its events, by event type."""
-    times = appointments.select("id_cita", "fecha_hora_cita")
-    seconds = F.unix_timestamp("fecha_hora_evento") - F.unix_timestamp("fecha_hora_cita")
+    """Time from an appointment to its events, by event type.
+
+    Events are summed up per appointment before the join, so an appointment with very many of
+    them crosses the network as one row per task.
+    """
+    at = F.unix_timestamp("fecha_hora_evento")
+    per_visit = (
+        events.where(F.col("fecha_hora_evento").isNotNull())
+        .groupBy("id_cita", "tipo_evento")
+        .agg(_rows().alias("_n"), F.sum(at).alias("_sum"), F.min(at).alias("_min"), F.max(at).alias("_max"))
+    )
+    start = F.unix_timestamp("fecha_hora_cita")
     return (
-        events.select("id_cita", "tipo_evento", "fecha_hora_evento")
-        .join(times, "id_cita")
+        per_visit.join(appointments.select("id_cita", start.alias("_start")), "id_cita")
         .groupBy("tipo_evento")
         .agg(
-            _rows().alias("total_eventos"),
-            F.round(F.sum(seconds) / _rows() / 3600, 2).alias("horas_promedio"),
-            F.min(seconds).alias("segundos_min"),
-            F.max(seconds).alias("segundos_max"),
+            F.sum("_n").alias("total_eventos"),
+            F.sum(F.col("_sum") - F.col("_n") * F.col("_start")).alias("_seconds"),
+            F.min(F.col("_min") - F.col("_start")).alias("segundos_min"),
+            F.max(F.col("_max") - F.col("_start")).alias("segundos_max"),
+        )
+        .select(
+            "tipo_evento",
+            "total_eventos",
+            F.round(F.col("_seconds") / F.col("total_eventos") / 3600, 2).alias("horas_promedio"),
+            "segundos_min",
+            "segundos_max",
         )
     )
 
@@ -273,7 +288,7 @@ def patients_by_city(patients: DataFrame, unknown: str = UNKNOWN) -> DataFrame:
 
 def patients_without_appointments(patients: DataFrame, appointments: DataFrame) -> DataFrame:
     """Patients with no appointment among the given ones (filter those to a period first)."""
-    return patients.join(appointments.select("id_paciente"), "id_paciente", "left_anti")
+    return patients.join(appointments.select("id_paciente").distinct(), "id_paciente", "left_anti")
 
 
 def mean_age_by_specialty(patients: DataFrame, appointments: DataFrame) -> DataFrame:
