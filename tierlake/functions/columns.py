@@ -101,9 +101,11 @@ def canonical_number(value: str | Column) -> Column:
     """Plain digits for whole numbers written as ``123.0`` or ``1.23E5``; other text unchanged."""
     text = clean_text(value)
     whole = text.try_cast("decimal(38,0)")
-    exact = text.try_cast("decimal(38,6)")
+    # Compared at one type: mixing scales would let Spark round the fraction away first.
+    exact = text.try_cast("decimal(38,12)")
     widened = text.rlike(_WHOLE_WITH_ZERO_FRACTION) | text.rlike(_SCIENTIFIC)
-    return F.when(widened & (exact == whole), whole.cast("string")).otherwise(text)
+    integral = exact == whole.try_cast("decimal(38,12)")
+    return F.when(widened & integral, whole.cast("string")).otherwise(text)
 
 
 def row_hash(columns: Iterable[str]) -> Column:

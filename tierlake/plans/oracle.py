@@ -45,7 +45,7 @@ def _document(c: str) -> str:
     t = _text(c)
     return (
         f"(CASE WHEN (regexp_full_match({t}, '[0-9]+[.]0+') OR regexp_full_match({t}, '[0-9]+([.][0-9]+)?[eE][+]?[0-9]+'))"
-        f" AND try_cast({t} AS DECIMAL(38,6)) = try_cast({t} AS DECIMAL(38,0))"
+        f" AND try_cast({t} AS DECIMAL(38,12)) = try_cast(try_cast({t} AS DECIMAL(38,0)) AS DECIMAL(38,12))"
         f" THEN CAST(try_cast({t} AS DECIMAL(38,0)) AS VARCHAR) ELSE {t} END)"
     )
 
