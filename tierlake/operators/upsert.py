@@ -60,10 +60,17 @@ def bucket_of(pk: str, buckets: int) -> Column:
     return F.format_string(f"of{buckets}-%05d", number)
 
 
+def placed_by_bucket(df: DataFrame, pk: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Rows with their bucket, shuffled to line up with the bucket folders. Derive columns after
+    this rather than before, so that they need not travel. Adaptive execution splits a bucket
+    that many versions of one key have made too large."""
+    return df.withColumn(BUCKET, bucket_of(pk, buckets)).hint("rebalance", BUCKET)
+
+
 def overwrite_bucketed(
     df: DataFrame, store: LayerStore, layer: str, name: str, pk: str, buckets: int = DEFAULT_BUCKETS
 ) -> None:
-    store.overwrite(df.withColumn(BUCKET, bucket_of(pk, buckets)), layer, name, [BUCKET])
+    store.overwrite(placed_by_bucket(df, pk, buckets), layer, name, [BUCKET], placed=True)
 
 
 def upsert_table(

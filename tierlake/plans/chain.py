@@ -13,10 +13,20 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.operators.entity import Run, add_lineage, clean, latest, rejected_rows, split_missing_keys, tag, valid_rows
+from tierlake.functions import clean_text
+from tierlake.operators.entity import (
+    Run,
+    add_lineage,
+    clean,
+    latest,
+    rejected_rows,
+    split_missing_keys,
+    tag,
+    valid_rows,
+)
 from tierlake.operators.skew import heavy_keys
 from tierlake.operators.star import FACTS, build_fact, calendar, dim_lookup, dim_patient
-from tierlake.functions import clean_text
+from tierlake.operators.upsert import BUCKET, placed_by_bucket
 from tierlake.plans.entities import BY_NAME
 from tierlake.plans.feed import raw_entity
 from tierlake.session import pin_session
@@ -58,9 +68,12 @@ class Chain:
     def loaded(self, entity: str) -> DataFrame:
         """Raw rows with lineage, quarantine included."""
         spec = BY_NAME[entity]
-        return self._once(
-            f"loaded-{entity}", lambda: add_lineage(self.raw(entity), RUN, entity, spec.cursor)
-        )
+
+        def build() -> DataFrame:
+            placed = placed_by_bucket(self.raw(entity), spec.pk).drop(BUCKET)
+            return add_lineage(placed, RUN, entity, spec.cursor)
+
+        return self._once(f"loaded-{entity}", build)
 
     def bronze(self, entity: str) -> DataFrame:
         return split_missing_keys(self.loaded(entity), BY_NAME[entity].pk)[0]

@@ -40,7 +40,13 @@ from tierlake.operators.star import (
     dim_patient,
     patient_bi,
 )
-from tierlake.operators.upsert import DEFAULT_BUCKETS, overwrite_bucketed, upsert_table
+from tierlake.operators.upsert import (
+    BUCKET,
+    DEFAULT_BUCKETS,
+    overwrite_bucketed,
+    placed_by_bucket,
+    upsert_table,
+)
 from tierlake.operators.watermark import Watermarks, highest, newer_than
 from tierlake.plans.entities import (
     APPOINTMENT_STATES,
@@ -182,20 +188,24 @@ def load_bronze(
     if mode == INCREMENTAL:
         mark = marks.get("bronze", spec.name)
         raw = newer_than(raw, parse_timestamp(spec.cursor), mark, settings.lookback)
-    enriched = add_lineage(raw, run, source_file, spec.cursor)
     batch = {"_entity": spec.name, "_batch_id": run.batch_id}
 
     if mode == FULL:
-        # The source is scanned once per output; nothing is shuffled before the table write.
-        valid, quarantine = split_missing_keys(enriched, spec.pk)
-        overwrite_bucketed(valid, store, "bronze", spec.name, spec.pk, settings.buckets)
+        # The source is scanned once per output; the rows travel before they get their lineage.
+        valid, quarantine = split_missing_keys(raw, spec.pk)
+        placed = placed_by_bucket(valid, spec.pk, settings.buckets)
+        store.overwrite(
+            add_lineage(placed, run, source_file, spec.cursor), "bronze", spec.name, [BUCKET], placed=True
+        )
+        quarantine = add_lineage(quarantine, run, source_file, spec.cursor)
         store.replace_partition(quarantine, "bronze", "quarantine", batch)
         loaded = store.read("bronze", spec.name).agg(
             F.count(F.lit(1)).alias("rows"), F.max("_cursor").cast("string").alias("reached")
         ).first()
     else:
         with Staging(store.spark) as staging:
-            valid, quarantine = split_missing_keys(staging.keep(enriched, spec.name), spec.pk)
+            enriched = staging.keep(add_lineage(raw, run, source_file, spec.cursor), spec.name)
+            valid, quarantine = split_missing_keys(enriched, spec.pk)
             store.replace_partition(quarantine, "bronze", "quarantine", batch)
             loaded = valid.agg(
                 F.count(F.lit(1)).alias("rows"), F.max("_cursor").cast("string").alias("reached")

@@ -684,9 +684,9 @@ def profile_batches(c: Chain) -> DataFrame:
 
 @query
 def profile_integrity(c: Chain) -> DataFrame:
-    """Orphans, event/appointment mismatches and unbalanced bills, on current raw versions."""
-    visits, patients = c.latest("citas"), c.latest("pacientes")
-    events, bills = c.latest("eventos_clinicos"), c.latest("facturacion")
+    """Orphans, event/appointment mismatches and unbalanced bills, on current versions, valid or not."""
+    visits, patients = c.tagged("citas"), c.tagged("pacientes")
+    events, bills = c.tagged("eventos_clinicos"), c.tagged("facturacion")
     frames = {
         "appointments without patient": profile.orphan_count(visits, patients, "id_paciente"),
         "events without appointment": profile.orphan_count(events, visits, "id_cita"),

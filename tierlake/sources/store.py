@@ -43,11 +43,17 @@ class LayerStore:
         return True
 
     def overwrite(
-        self, df: DataFrame, layer: str, name: str, partition_by: Iterable[str] = ()
+        self,
+        df: DataFrame,
+        layer: str,
+        name: str,
+        partition_by: Iterable[str] = (),
+        placed: bool = False,
     ) -> None:
-        """Replace the whole table and its schema."""
+        """Replace the whole table and its schema. ``placed`` rows are already shuffled to suit
+        the partition folders."""
         keys = list(partition_by)
-        writer = self._spread(df, keys).write.mode("overwrite")
+        writer = (df if placed else self._spread(df, keys)).write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "static")
         (writer.partitionBy(*keys) if keys else writer).parquet(self.path(layer, name))
 
