@@ -62,6 +62,30 @@ def test_lookup_with_dominant_null_and_orphan_keys(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_lookup_balances_its_partitions(spark):
+    """With a matched key and a missing key on a third of the rows each, no task gets many more
+    rows than another."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(F.col("id").cast("string"))
+    left = spark.range(30000).select("id", key.alias("k"))
+    right = spark.range(30000).select(F.col("id").cast("string").alias("k")).union(spark.createDataFrame([("hot",)], "k STRING"))
+    right = right.withColumn("found", F.lit(True))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = lookup(left, right, "k", heavy_keys(left, "k", 8), ["id"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 30000 and len(sizes) == 16 and max(sizes) < 2 * min(sizes)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_heavy_keys_are_bounded(spark):
     df = spark.range(1000).select((F.col("id") % 500).cast("string").alias("k"))
     assert heavy_keys(df, "k", 7).count() == 7
