@@ -127,8 +127,14 @@ def test_incremental_scenario(spark, store, run):
 
 def test_rerunning_a_batch_does_not_duplicate(spark, store, run):
     settings = jobs.Settings(store, buckets=2)
-    for _ in range(2):
-        jobs.run_all(settings, extracts(spark), run, gold=False, check=False)
+    jobs.run_all(settings, extracts(spark), run, gold=False, check=False)
+    again = jobs.run_all(settings, extracts(spark), run, gold=False)
+    assert {c.check_id: c.passed for c in again.quality.checks if c.check_id.startswith(("Q-O03", "Q-B01"))} == {
+        f"{check}-{s.name}": True for check in ("Q-O03", "Q-B01") for s in ENTITIES
+    }
+    unchanged = jobs.run_all(settings, extracts(spark), later(run, 1), jobs.INCREMENTAL, gold=False)
+    assert unchanged.rows_in == 0
+    assert sum(c.check_id.startswith("Q-O04") and c.passed for c in unchanged.quality.checks) == 4
     assert jobs.quarantine_table(store).count() == 8
     assert jobs.rejects_table(store).count() == sum(len(r) for r in REASONS.values())
     assert store.read("silver", "citas").count() == 5

@@ -115,6 +115,18 @@ class RunResult:
     gold_rows: Mapping[str, int]
     quality: q.QualityReport | None
 
+    @property
+    def rows_in(self) -> int:
+        return sum(c.rows_in for c in self.cleaned)
+
+    @property
+    def rows_silver(self) -> int:
+        return sum(c.rows_silver for c in self.cleaned)
+
+    @property
+    def rows_rejected(self) -> int:
+        return sum(c.rows_rejected for c in self.cleaned)
+
 
 def new_run(now: datetime | None = None) -> Run:
     at = (now or datetime.now(timezone.utc)).astimezone(timezone.utc).replace(tzinfo=None)
@@ -139,11 +151,19 @@ _BATCH_PARTITIONS = [T.StructField("_entity", T.StringType()), T.StructField("_b
 def quarantine_table(store: LayerStore) -> DataFrame:
     """All entities' quarantined rows. The declared union of their columns stands in for merging
     file footers, which would read every file's schema on each query."""
-    reason = T.StructType([T.StructField("_reject_reason", T.StringType())])
+    reason = T.StructType(
+        [T.StructField("_reject_reason", T.StringType()), T.StructField("_quarantined_at", T.TimestampType())]
+    )
     schema = _merged([s.bronze_schema() for s in ENTITIES] + [reason], _BATCH_PARTITIONS)
     return store.read("bronze", "quarantine", schema)
 
 
+def write_quarantine(store: LayerStore, rows: DataFrame, run: Run, batch: Mapping[str, str]) -> None:
+    """Replace one batch's quarantined rows of one entity."""
+    stamped = rows.withColumn("_quarantined_at", run.timestamp())
+    store.replace_partition(stamped, "bronze", "quarantine", batch)
+
+
 _silver_schemas: dict[str, T.StructType] = {}
 
 
@@ -198,7 +218,7 @@ def load_bronze(
             add_lineage(placed, run, source_file, spec.cursor), "bronze", spec.name, [BUCKET], placed=True
         )
         quarantine = add_lineage(quarantine, run, source_file, spec.cursor)
-        store.replace_partition(quarantine, "bronze", "quarantine", batch)
+        write_quarantine(store, quarantine, run, batch)
         loaded = store.read("bronze", spec.name).agg(
             F.count(F.lit(1)).alias("rows"), F.max("_cursor").cast("string").alias("reached")
         ).first()
@@ -206,7 +226,7 @@ def load_bronze(
         with Staging(store.spark) as staging:
             enriched = staging.keep(add_lineage(raw, run, source_file, spec.cursor), spec.name)
             valid, quarantine = split_missing_keys(enriched, spec.pk)
-            store.replace_partition(quarantine, "bronze", "quarantine", batch)
+            write_quarantine(store, quarantine, run, batch)
             loaded = valid.agg(
                 F.count(F.lit(1)).alias("rows"), F.max("_cursor").cast("string").alias("reached")
             ).first()
@@ -492,6 +512,38 @@ def mark_results(settings: Settings, before: Mapping[str, str]) -> list[DataFram
     ]
 
 
+def silver_counts(store: LayerStore) -> dict[str, int]:
+    return {
+        s.name: store.read("silver", s.name).count() if store.exists("silver", s.name) else 0 for s in ENTITIES
+    }
+
+
+def repeat_results(settings: Settings, before: Mapping[str, int], check_id: str, severity: str) -> list[DataFrame]:
+    """Silver has as many rows as before a run that had nothing new to add."""
+    after = silver_counts(settings.store)
+    return [
+        q.known_result(
+            settings.store.spark,
+            f"silver.{name}",
+            f"{check_id}-{name}",
+            severity,
+            abs(after[name] - before[name]),
+            after[name] == before[name],
+            "rows added by a repeated or empty delivery",
+        )
+        for name in after
+    ]
+
+
+def already_succeeded(store: LayerStore, batch_id: str) -> bool:
+    if not store.exists("ops", "pipeline_runs"):
+        return False
+    done = store.read("ops", "pipeline_runs").where(
+        (F.col("batch_id") == batch_id) & (F.col("stage") == "silver") & (F.col("status") == "success")
+    )
+    return not done.isEmpty()
+
+
 def log_quality(settings: Settings, quality: q.QualityReport, run: Run) -> None:
     rows = [
         (c.check_id, quality.batch_id, c.severity, c.table_name, c.passed, c.metric_value, c.threshold, run.at)
@@ -558,6 +610,8 @@ def run_all(
     checks: tuple[q.CheckResult, ...] = ()
     quality = None
     run_id = str(uuid.uuid4())
+    repeated = check and already_succeeded(settings.store, run.batch_id)
+    rows_before = silver_counts(settings.store) if check else {}
     try:
         loaded = run_bronze(settings, sources, run, mode)
         rows = (
@@ -580,6 +634,12 @@ def run_all(
         if check:
             stage = "quality"
             frames = bronze_results(settings) + silver_results(settings) + mark_results(settings, before)
+            if mode == FULL:
+                frames += load_results(settings, sources, run)
+            if repeated:
+                frames += repeat_results(settings, rows_before, "Q-O03", q.CRIT)
+            elif mode == INCREMENTAL and rows[0] == 0:
+                frames += repeat_results(settings, rows_before, "Q-O04", q.INFO)
             checks = q.report(q.all_results(frames), run.batch_id).checks
             quality = q.QualityReport(run.batch_id, checks)
             if q.CRIT in fail_on:

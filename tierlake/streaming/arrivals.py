@@ -42,7 +42,8 @@ def upsert_arrivals(
             order = newest_first("_cursor")
             upsert_table(newest, store, "bronze", spec.name, spec.pk, buckets, order)
             partition = {"_entity": spec.name, "_batch_id": f"{run.batch_id}.{batch_number}"}
-            store.replace_partition(quarantine, "bronze", "quarantine", partition)
+            stamped = quarantine.withColumn("_quarantined_at", run.timestamp())
+            store.replace_partition(stamped, "bronze", "quarantine", partition)
 
     return (
         arrivals.writeStream.foreachBatch(merge)
