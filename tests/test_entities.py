@@ -1,9 +1,8 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
-from clinic import OLD, REASONS, ROWS, extract, extracts
+from clinic import REASONS, ROWS, extract, extracts
 from tierlake.operators.entity import (
     add_lineage,
     clean,

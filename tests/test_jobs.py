@@ -1,7 +1,6 @@
 from datetime import date, datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from clinic import MID, NEW, REASONS, extract, extracts
 from tierlake.operators import quality as q

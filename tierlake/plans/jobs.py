@@ -36,6 +36,7 @@ from tierlake.operators.star import (
     LOOKUP_DIMS,
     build_fact,
     calendar,
+    calendar_spanning,
     dim_lookup,
     dim_patient,
     patient_bi,
@@ -79,6 +80,7 @@ class Settings:
     buckets: int = DEFAULT_BUCKETS
     calendar_start: date = CALENDAR_START
     calendar_end: date = CALENDAR_END
+    calendar_from_facts: bool = False
     split_heavy_keys: bool = True
     row_bands: Mapping[str, tuple[int, int]] = field(default_factory=dict)
     identifier_salt: str | None = None
@@ -340,9 +342,15 @@ def build_gold(settings: Settings, run: Run) -> dict[str, int]:
     store = settings.store
     silver = {s.name: store.read("silver", s.name) for s in ENTITIES}
     with Staging(store.spark) as staging:
-        store.overwrite(
-            calendar(store.spark, settings.calendar_start, settings.calendar_end), "gold", "dim_tiempo"
-        )
+        if settings.calendar_from_facts:
+            days = calendar_spanning(
+                silver["citas"].select("fecha_cita"),
+                silver["facturacion"].select("fecha_factura_date"),
+                silver["eventos_clinicos"].select(F.to_date("fecha_hora_evento")),
+            )
+        else:
+            days = calendar(store.spark, settings.calendar_start, settings.calendar_end)
+        store.overwrite(days, "gold", "dim_tiempo")
         store.overwrite(
             dim_patient(silver["pacientes"], run, staging, settings.identifier_salt), "gold", "dim_paciente"
         )

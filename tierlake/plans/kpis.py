@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions import UNKNOWN, ratio, zero_filled
+from tierlake.operators.star import patient_bi
 
 MONTH = ("anio", "mes")
 
@@ -322,7 +323,9 @@ def run_health(rejects: DataFrame, checks: DataFrame, runs: DataFrame, batch_id:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("metric", "value")
 
 
-def create_kpi_views(spark, database: str = "gold", summary_view: str = "v_kpi_resumen") -> None:
+def create_kpi_views(
+    spark: SparkSession, database: str = "gold", summary_view: str = "v_kpi_resumen"
+) -> None:
     """Catalog views over published gold tables, for SQL users."""
     table = lambda name: spark.table(f"{database}.{name}")
     calendar = table("dim_tiempo")
@@ -332,13 +335,7 @@ def create_kpi_views(spark, database: str = "gold", summary_view: str = "v_kpi_r
         summary_view: monthly_summary(
             table("fact_citas"), table("fact_facturacion"), calendar, unique_appointments=True
         ),
-        "dim_paciente_bi": table("dim_paciente").select(*_bi_columns()),
+        "dim_paciente_bi": patient_bi(table("dim_paciente")),
     }
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
-
-
-def _bi_columns() -> tuple[str, ...]:
-    from tierlake.operators.star import PATIENT_BI_COLUMNS
-
-    return PATIENT_BI_COLUMNS

@@ -175,7 +175,8 @@ FROM latest_facturacion l LEFT JOIN silver_pacientes p ON l.id_paciente = p.id_p
 LEFT JOIN silver_citas c ON l.id_cita = c.id_cita"""
 _STEPS |= {f"silver_{n}": f"SELECT * FROM tagged_{n} WHERE _reject_reason IS NULL" for n in STATEMENTS}
 _STEPS["calendar"] = """
-SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS sk_fecha, CAST(d AS DATE) AS fecha, year(d) AS anio, month(d) AS mes
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS sk_fecha, CAST(d AS DATE) AS fecha, CAST(year(d) AS INTEGER) AS anio,
+  CAST(month(d) AS INTEGER) AS mes
 FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2000-12-31', INTERVAL 1 DAY) t(d)"""
 _STEPS["dim_pac"] = """
 SELECT row_number() OVER (ORDER BY id_paciente) AS sk_paciente, id_paciente, tipo_documento,
@@ -398,8 +399,8 @@ def _finals() -> dict[str, str]:
             + f" FROM loaded_{n} WHERE {_missing(_PK[n])}"
             for n in STATEMENTS
         ),
-        "calendar_from_data": f"""SELECT {_key('d')} AS sk_fecha, CAST(CAST(d AS DATE) AS VARCHAR) AS fecha, year(d) AS anio, month(d) AS mes,
-            quarter(d) AS trimestre, monthname(d) AS nombre_mes, dayofweek(d) IN (0, 6) AS es_fin_semana
+        "calendar_from_data": f"""SELECT {_key('d')} AS sk_fecha, CAST(CAST(d AS DATE) AS VARCHAR) AS fecha, CAST(year(d) AS INTEGER) AS anio,
+            CAST(month(d) AS INTEGER) AS mes, CAST(quarter(d) AS INTEGER) AS trimestre, monthname(d) AS nombre_mes, dayofweek(d) IN (0, 6) AS es_fin_semana
             FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM
               (SELECT CAST(min(d) AS TIMESTAMP) AS lo, CAST(max(d) AS TIMESTAMP) AS hi FROM ({days})))""",
         "text_cleaning": f"""SELECT {_missing('id_cita')} AS key_missing, {_text('id_cita')} AS id_cita, {_text('id_paciente')} AS id_paciente,
@@ -578,7 +579,7 @@ def _finals() -> dict[str, str]:
         ),
         "snapshot_partition_replaced": f"""SELECT b AS _batch_id, (SELECT count(*) FROM bronze_pacientes) AS rows
             FROM (VALUES ('{_BATCH}'), ('20020102_000000_cafe0002')) v(b)""",
-        "clustered_fact_rows": f"SELECT year(fecha_cita) AS anio, count(*) AS rows, {_int('sum(sk_paciente)', 'key_sum')} FROM fact_cit GROUP BY 1",
+        "clustered_fact_rows": f"SELECT CAST(year(fecha_cita) AS INTEGER) AS anio, count(*) AS rows, {_int('sum(sk_paciente)', 'key_sum')} FROM fact_cit GROUP BY 1",
         "streamed_appointments": f"""SELECT id_cita, estado_cita, {_time('_cursor')}, _row_hash FROM bronze_citas
             QUALIFY row_number() OVER (PARTITION BY id_cita ORDER BY _cursor DESC NULLS LAST, _row_hash) = 1""",
         "job_incremental_runs": f"""SELECT r AS run, _entity, CASE WHEN r = 1 AND _entity = 'citas' THEN late_raw ELSE 0 END AS rows_read,

@@ -28,7 +28,6 @@ from tierlake.functions import (
     parse_date,
     parse_timestamp,
     pseudonym,
-    row_hash,
 )
 from tierlake.operators import profile, quality
 from tierlake.operators.dedupe import latest_per_key, newest_first
@@ -648,7 +647,12 @@ def profile_top_values(c: Chain) -> DataFrame:
 
 @query
 def profile_time_ranges(c: Chain) -> DataFrame:
-    columns = {"pacientes": "fecha_nacimiento", "citas": "fecha_hora_cita", "eventos_clinicos": "fecha_hora_evento", "facturacion": "fecha_factura"}
+    columns = {
+        "pacientes": "fecha_nacimiento",
+        "citas": "fecha_hora_cita",
+        "eventos_clinicos": "fecha_hora_evento",
+        "facturacion": "fecha_factura",
+    }
     return _labelled({e: profile.time_range(c.loaded(e), col) for e, col in columns.items()}, "_entity")
 
 
