@@ -163,7 +163,7 @@ def quarantine_table(store: LayerStore) -> DataFrame:
 def write_quarantine(store: LayerStore, rows: DataFrame, run: Run, batch: Mapping[str, str]) -> None:
     """Replace one batch's quarantined rows of one entity."""
     stamped = rows.withColumn("_quarantined_at", run.timestamp())
-    store.replace_partition(stamped, "bronze", "quarantine", batch)
+    store.replace_partition(stamped, "bronze", "quarantine", batch, compact=True)
 
 
 _silver_schemas: dict[str, T.StructType] = {}
@@ -306,9 +306,8 @@ def clean_silver(settings: Settings, spec: EntitySpec, run: Run, mode: str) -> C
             upsert_table(
                 valid, store, "silver", spec.name, spec.pk, settings.buckets, newest_first(spec.cursor)
             )
-        store.replace_partition(
-            rejected_rows(tagged, spec.name), "silver", "rejects", {"_entity": spec.name, "_batch_id": run.batch_id}
-        )
+        batch = {"_entity": spec.name, "_batch_id": run.batch_id}
+        store.replace_partition(rejected_rows(tagged, spec.name), "silver", "rejects", batch, compact=True)
     if mode == INCREMENTAL:
         marks.advance("silver", spec.name, counts.reached, run)
     superseded = rows_in - counts.valid - counts.rejected

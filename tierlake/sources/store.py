@@ -78,16 +78,21 @@ class LayerStore:
         )
 
     def replace_partition(
-        self, df: DataFrame, layer: str, name: str, values: Mapping[str, str]
+        self, df: DataFrame, layer: str, name: str, values: Mapping[str, str], compact: bool = False
     ) -> None:
         """Replace exactly one partition, also when the frame is empty: writing a batch again
-        leaves that batch's rows only, however few there are now."""
+        leaves that batch's rows only, however few there are now.
+
+        ``compact`` is for the few rows that a filter leaves of a big frame: they are gathered
+        into files of a sensible size instead of one tiny file per task.
+        """
         for value in values.values():
             if not _PLAIN_VALUE.match(value):
                 raise ValueError(f"not usable as a partition folder: {value!r}")
         folder = "/".join(f"{column}={value}" for column, value in values.items())
         (
-            df.drop(*values)
+            (df.hint("rebalance") if compact else df)
+            .drop(*values)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .parquet(f"{self.path(layer, name)}/{folder}")
