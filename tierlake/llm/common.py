@@ -50,14 +50,21 @@ def in_fold(doc_id: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, stratum: str, order: list[Column], most: int) -> DataFrame:
-    """At most ``most`` rows of each stratum, the first in ``order``.
+def bounded_sample(rows: DataFrame, stratum: str, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each stratum, the first by hash of ``key``.
 
-    The rank limit is applied inside each task before rows travel, so a stratum that holds most
-    rows sends at most ``most`` of them per task.
+    Counts per stratum (a label set, so few) give a hash bound that leaves about twice as many rows
+    before any of them travels; the exact limit is taken among those.
     """
-    rank = F.row_number().over(Window.partitionBy(stratum).orderBy(*order))
-    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
+    counts = {r[0]: r[1] for r in rows.groupBy(stratum).count().collect()}
+    scale = 1 << 30
+    bounds = [v for k, n in counts.items() for v in (F.lit(k), F.lit(min(scale, scale * 2 * (most + 100) // n)))]
+    if not bounds:
+        return rows.limit(0)
+    slot = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(scale))
+    near = rows.filter(slot < F.create_map(*bounds)[F.col(stratum)])
+    rank = F.row_number().over(Window.partitionBy(stratum).orderBy(slot, key))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
 
 
 def _annotated(

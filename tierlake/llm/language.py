@@ -155,7 +155,7 @@ def fit(documents: DataFrame, staging: Staging, per_language: int = DOCS_PER_LAN
     # The most frequent languages; a label set, so the bound is far away.
     common = ids.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).select("lang")
     ids = ids.join(F.broadcast(common), "lang", "left_semi")
-    chosen = bounded_sample(ids, "lang", [F.xxhash64("doc_id"), F.col("doc_id")], per_language)
+    chosen = bounded_sample(ids, "lang", "doc_id", per_language)
     chosen = chosen.select("doc_id").distinct()
     # At most LANGUAGES * per_language ids.
     texts = documents.filter(usable & F.col("text").isNotNull()).select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id")

@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierlake.llm.decontaminate import op9_decontaminate
 from tierlake.llm.language import op5_language
+from tierlake.llm.simhash import op10_simhash
+from tierlake.llm.topk import op2_topk
 from tierlake.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_topk": op2_topk,
     "op5_language": op5_language,
     "op7_toxicity": op7_toxicity,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLES: dict[str, str] = {}

@@ -275,7 +275,7 @@ def fit(documents: DataFrame, labels: DataFrame, staging: Staging, per_label: in
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    chosen = bounded_sample(labelled, "label", [F.xxhash64("doc_id"), F.col("doc_id")], per_label)
+    chosen = bounded_sample(labelled, "label", "doc_id", per_label)
     # At most two labels times per_label ids of 12 bytes.
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     sample = staging.keep(texts.withColumn("part", _part("doc_id")), "toxic-sample")
