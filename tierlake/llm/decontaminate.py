@@ -67,6 +67,11 @@ class WindowIndex:
     place: np.ndarray
     rate: float
 
+    def __post_init__(self):
+        self.widths = np.array([len(p) for p in self.patterns], dtype=np.int64)
+        self.edits = np.array([budget(w, self.rate) for w in self.widths], dtype=np.int64)
+        self.bound = self.widths + 1 - Q * (self.edits + 1)
+
     @classmethod
     def build(cls, items: list[tuple[int | None, str | None]], rate: float = EDIT_RATE) -> WindowIndex:
         owners, patterns = [], []
@@ -118,17 +123,15 @@ def candidate_bands(data: bytes, index: WindowIndex, table: np.ndarray) -> tuple
         return none
     offset = np.repeat(index.first[slot] - (np.cumsum(counts) - counts), counts) + np.arange(total)
     window, diagonal = index.window[offset], np.repeat(at, counts) - index.place[offset]
-    widths = np.array([len(p) for p in index.patterns])
-    edits = np.array([budget(w, index.rate) for w in widths])
     band = diagonal // BAND_STEP
     # A band covers BAND_STEP + e diagonals, so the first e of a step also belong to the band before.
-    shared = diagonal - band * BAND_STEP < edits[window]
+    shared = diagonal - band * BAND_STEP < index.edits[window]
     window = np.concatenate([window, window[shared]])
     band = np.concatenate([band, band[shared] - 1])
     key = window * (1 << 40) + band + (1 << 20)
     keys, number = np.unique(key, return_counts=True)
     window = keys >> 40
-    enough = number >= (widths + 1 - Q * (edits + 1))[window]
+    enough = number >= index.bound[window]
     window, band = window[enough], (keys[enough] & ((1 << 40) - 1)) - (1 << 20)
     return window, band * BAND_STEP
 
@@ -184,28 +187,41 @@ def window_matches(data: bytes, index: WindowIndex, table: np.ndarray) -> list[t
     for first in range(0, len(windows), 512):
         w, s = windows[first : first + 512], starts[first : first + 512]
         patterns = [index.patterns[i] for i in w]
-        allowed = np.array([budget(len(p), index.rate) for p in patterns])
-        cost, begin, finish = align(data, patterns, s, allowed)
-        for i in np.flatnonzero(cost <= allowed):
-            found.append((int(w[i]), int(begin[i]), int(finish[i]), int(cost[i])))
+        allowed = index.edits[w]
+        # A copy without edits needs no alignment.
+        exact = np.array(
+            [
+                data.find(p, max(0, int(d)), max(0, int(d) + BAND_STEP + int(e) - 1 + len(p)))
+                for p, d, e in zip(patterns, s, allowed, strict=True)
+            ]
+        )
+        found += [(int(w[i]), int(exact[i]), int(exact[i]) + len(patterns[i]), 0) for i in np.flatnonzero(exact >= 0)]
+        rest = np.flatnonzero(exact < 0)
+        if not len(rest):
+            continue
+        cost, begin, finish = align(data, [patterns[i] for i in rest], s[rest], allowed[rest])
+        for k in np.flatnonzero(cost <= allowed[rest]):
+            found.append((int(w[rest[k]]), int(begin[k]), int(finish[k]), int(cost[k])))
     return found
 
 
 def _original(text: str) -> np.ndarray:
     """For every byte of the normalised text, the character of the text it comes from."""
-    origin: list[int] = []
-    pending = False
-    for i, c in enumerate(text):
-        kept = c.lower().encode("utf-8", "replace").translate(_KEEP)
-        for b in kept:
-            if b == 32:
-                pending = bool(origin)
-            else:
-                if pending:
-                    origin.append(i - 1)
-                    pending = False
-                origin.append(i)
-    return np.array(origin, dtype=np.int64)
+    lower = text.lower()
+    if len(lower) != len(text):  # a letter that has no lower case of one character
+        owner = np.array([i for i, c in enumerate(text) for _ in c.lower()], dtype=np.int64)
+        lower = "".join(c.lower() for c in text)
+    else:
+        owner = np.arange(len(text))
+    points = np.frombuffer(lower.encode("utf-32-le", "replace"), dtype="<u4")
+    size = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+    plain = np.frombuffer(_KEEP, dtype=np.uint8) != 32
+    kept = np.flatnonzero((points >= 128) | plain[np.minimum(points, 127)])
+    gap = np.diff(kept, prepend=kept[:1]) > 1
+    origin = np.repeat(owner[kept], size[kept] + gap)
+    begins = np.cumsum(size[kept] + gap) - (size[kept] + gap)
+    origin[begins[gap]] = owner[kept[gap] - 1]
+    return origin
 
 
 def spans(text: str | None, index: WindowIndex, table: np.ndarray) -> list[tuple[int, int, int, int, int]]:
