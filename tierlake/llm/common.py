@@ -100,3 +100,14 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str | None]:
 
 def bytes_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
+
+
+def masked(rows: DataFrame, used: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rows whose columns other than ``used`` have names no operator uses, and the way back.
+
+    Lets a filter carry any extra columns through operators that add columns of their own.
+    """
+    names = rows.columns
+    hidden = [c if c in set(used) else f"carried {i}" for i, c in enumerate(names)]
+    back = [F.col(f"`{c}`") for c in hidden]
+    return rows.toDF(*hidden), lambda result: result.select(*back).toDF(*names)

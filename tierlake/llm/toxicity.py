@@ -75,7 +75,7 @@ def _hidden(data: bytes, shapes: bytes, lexicon: dict[bytes, float]) -> int:
         left = shapes.rfind(b" ", 0, match.start()) + 1
         right = shapes.find(b" ", match.end())
         word = data[left : right if right >= 0 else len(data)]
-        found += word.translate(_PLAIN).strip(b"*") in lexicon or word.strip(b"*$!@") in lexicon
+        found += word.translate(_PLAIN) in lexicon or word.strip(b"*$!@").translate(_PLAIN) in lexicon
     for match in _APART.finditer(data.translate(_SPACED)):
         found += match.group().replace(b" ", b"").translate(_PLAIN) in lexicon
     return found
