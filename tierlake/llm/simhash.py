@@ -246,7 +246,7 @@ def link(prints: DataFrame, staging: Staging, radius: int = RADIUS, node_rows: i
         .select("_fp", (F.col("_n.mask") + (i + 1) * 1000).alias("mask"), "_n.pattern")
         for i, m in enumerate(masks)
     ]
-    return staging.keep(_links(functools.reduce(DataFrame.union, [plain, *again]), radius), "forest")
+    return staging.keep(_links(functools.reduce(DataFrame.unionByName, [plain, *again]), radius), "forest")
 
 
 def group(prints: DataFrame, staging: Staging, radius: int = RADIUS) -> DataFrame:

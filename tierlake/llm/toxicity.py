@@ -50,7 +50,6 @@ _MIXED = re.compile(rb"a1[a1]*a")
 _APART = re.compile(rb"(?<![a-z0-9])(?:[a-z0-9] ){2,}[a-z0-9](?![a-z0-9])")
 
 FEATURES = (
-    "words",
     "hits",
     "hit_density",
     "weight_density",
@@ -105,7 +104,6 @@ def features(text: str | None, lexicon: dict[bytes, float]) -> list[float]:
     apart = shapes.count(b" a a a ")
     hidden = _hidden(data, shapes, lexicon) if mixed or apart else 0
     return [
-        math.log1p(len(words)),
         math.log1p(len(hits)),
         len(hits) / total,
         sum(weights) / total,
