@@ -9,7 +9,7 @@ from tierlake.operators import profile
 from tierlake.operators.dedupe import latest_per_key
 from tierlake.operators.history import first_versions, next_versions
 from tierlake.operators.skew import heavy_keys, lookup
-from tierlake.operators.star import calendar, calendar_spanning, dim_lookup
+from tierlake.operators.star import calendar, calendar_of, dim_lookup
 from tierlake.operators.surrogate import dense_key, stable_key
 from tierlake.operators.upsert import mark_missing, overwrite_bucketed, upsert_table
 from tierlake.operators.watermark import EPOCH, Watermarks, newer_than
@@ -122,7 +122,7 @@ def test_lookup_dimension_skips_null(spark, staging):
 
 
 def test_calendar(spark):
-    days = calendar(spark)
+    days = calendar(spark, date(2025, 1, 1), date(2027, 12, 31))
     assert days.count() == 1095
     saturday = days.where("fecha = '2026-02-28'").first()
     assert (saturday.sk_fecha, saturday.trimestre, saturday.nombre_mes, saturday.es_fin_semana) == (
@@ -130,11 +130,11 @@ def test_calendar(spark):
     )
     with pytest.raises(ValueError):
         calendar(spark, date(2026, 1, 2), date(2026, 1, 1))
-    spans = [spark.createDataFrame([(date(2026, 1, d),)], "d DATE") for d in (3, 6)]
-    assert calendar_spanning(*spans).count() == 4
-    wide = spark.createDataFrame([(date(1, 1, 1),), (date(9000, 1, 1),)], "d DATE")
-    with pytest.raises(Exception, match="calendar span too large"):
-        calendar_spanning(wide).count()
+    dates = spark.createDataFrame([(date(2026, 1, 3),), (date(2026, 5, 6),), (None,)], "d DATE")
+    stray = spark.createDataFrame([(date(1, 1, 1),), (date(9000, 1, 1),)], "d DATE")
+    assert calendar_of(dates).count() == 365
+    assert calendar_of(dates, stray).count() == 3 * 365
+    assert calendar_of(dates.limit(0)).count() == 0
 
 
 # --- upsert, marks, history --------------------------------------------------------------------

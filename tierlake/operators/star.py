@@ -15,11 +15,7 @@ from tierlake.operators.skew import lookup
 from tierlake.operators.surrogate import dense_key
 from tierlake.sources.staging import Staging
 
-# The default calendar span.
-CALENDAR_START = date(2025, 1, 1)
-CALENDAR_END = date(2027, 12, 31)
-MAX_CALENDAR_DAYS = 200_000
-
+# Columns of the patient view for reports, and what it must not show.
 PATIENT_BI_COLUMNS = (
     "sk_paciente",
     "id_paciente",
@@ -49,31 +45,25 @@ def calendar_days(days: DataFrame) -> DataFrame:
     )
 
 
-def calendar(spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END) -> DataFrame:
+def calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row per day, ``start`` to ``end`` inclusive."""
-    span = (end - start).days + 1
-    if not 0 < span <= MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {span} days is outside 1..{MAX_CALENDAR_DAYS}")
+    if end < start:
+        raise ValueError(f"calendar ends on {end}, before it starts on {start}")
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("fecha"))
     return calendar_days(days)
 
 
-def calendar_spanning(*dates: DataFrame) -> DataFrame:
-    """Calendar from the first to the last date of one-column date frames, bounded like
-    ``calendar``: a span beyond the limit raises instead of growing."""
-    spans = None
+def calendar_of(*dates: DataFrame) -> DataFrame:
+    """Every day of every year in which a date of the one-column date frames falls.
+
+    A stray date costs its own year only, so no span between extremes is ever filled.
+    """
+    years = None
     for frame in dates:
-        c = F.col(frame.columns[0])
-        span = frame.agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
-        spans = span if spans is None else spans.unionByName(span)
-    bounds = spans.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    checked = bounds.where(F.col("lo").isNotNull()).select(
-        "lo",
-        F.when(F.datediff("hi", "lo") < MAX_CALENDAR_DAYS, F.col("hi"))
-        .otherwise(F.raise_error(F.lit("calendar span too large")).cast("date"))
-        .alias("hi"),
-    )
-    return calendar_days(checked.select(F.explode(F.sequence("lo", "hi")).alias("fecha")))
+        found = frame.select(F.year(F.col(frame.columns[0])).alias("anio")).where(F.col("anio").isNotNull()).distinct()
+        years = found if years is None else years.unionByName(found)
+    first, last = F.make_date("anio", F.lit(1), F.lit(1)), F.make_date("anio", F.lit(12), F.lit(31))
+    return calendar_days(years.distinct().select(F.explode(F.sequence(first, last)).alias("fecha")))
 
 
 def dim_patient(patients: DataFrame, run: Run, staging: Staging, salt: str | None = None) -> DataFrame:

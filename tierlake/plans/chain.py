@@ -8,7 +8,6 @@ read them, and every later query in the session scans it from there.
 from __future__ import annotations
 
 from datetime import date, datetime
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +24,7 @@ from tierlake.operators.entity import (
     valid_rows,
 )
 from tierlake.operators.skew import heavy_keys
-from tierlake.operators.star import FACTS, build_fact, calendar, dim_lookup, dim_patient
+from tierlake.operators.star import FACTS, build_fact, calendar_of, dim_lookup, dim_patient
 from tierlake.operators.upsert import BUCKET, placed_by_bucket
 from tierlake.plans.entities import BY_NAME
 from tierlake.plans.feed import raw_entity
@@ -34,7 +33,6 @@ from tierlake.sources.staging import Staging
 
 # A fixed run, so that results depend on the tables alone.
 RUN = Run("20020101_000000_cafe0001", datetime(2002, 1, 1), date(2002, 1, 1))
-CALENDAR_SPAN = (date(1995, 1, 1), date(2000, 12, 31))
 
 _chains: dict[tuple[str, str], Chain] = {}
 
@@ -111,9 +109,17 @@ class Chain:
     def rejects(self, entity: str) -> DataFrame:
         return rejected_rows(self.tagged(entity), entity)
 
-    @cached_property
+    @property
     def calendar(self) -> DataFrame:
-        return calendar(self.spark, *CALENDAR_SPAN)
+        """The years of all dates in silver."""
+        return self._once(
+            "calendar",
+            lambda: calendar_of(
+                self.silver("citas").select("fecha_cita"),
+                self.silver("facturacion").select("fecha_factura_date"),
+                self.silver("eventos_clinicos").select(F.to_date("fecha_hora_evento")),
+            ),
+        )
 
     @property
     def patients(self) -> DataFrame:

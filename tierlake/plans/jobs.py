@@ -29,14 +29,12 @@ from tierlake.operators.entity import (
 from tierlake.operators.profile import orphans
 from tierlake.operators.skew import heavy_keys
 from tierlake.operators.star import (
-    CALENDAR_END,
-    CALENDAR_START,
     DIRECT_IDENTIFIERS,
     FACTS,
     LOOKUP_DIMS,
     build_fact,
     calendar,
-    calendar_spanning,
+    calendar_of,
     dim_lookup,
     dim_patient,
     patient_bi,
@@ -78,9 +76,7 @@ class Settings:
 
     store: LayerStore
     buckets: int = DEFAULT_BUCKETS
-    calendar_start: date = CALENDAR_START
-    calendar_end: date = CALENDAR_END
-    calendar_from_facts: bool = False
+    calendar_span: tuple[date, date] | None = None  # None: the years of the data
     split_heavy_keys: bool = True
     row_bands: Mapping[str, tuple[int, int]] = field(default_factory=dict)
     identifier_salt: str | None = None
@@ -341,14 +337,14 @@ def build_gold(settings: Settings, run: Run) -> dict[str, int]:
     store = settings.store
     silver = {s.name: store.read("silver", s.name) for s in ENTITIES}
     with Staging(store.spark) as staging:
-        if settings.calendar_from_facts:
-            days = calendar_spanning(
+        if settings.calendar_span is None:
+            days = calendar_of(
                 silver["citas"].select("fecha_cita"),
                 silver["facturacion"].select("fecha_factura_date"),
                 silver["eventos_clinicos"].select(F.to_date("fecha_hora_evento")),
             )
         else:
-            days = calendar(store.spark, settings.calendar_start, settings.calendar_end)
+            days = calendar(store.spark, *settings.calendar_span)
         store.overwrite(days, "gold", "dim_tiempo")
         store.overwrite(
             dim_patient(silver["pacientes"], run, staging, settings.identifier_salt), "gold", "dim_paciente"
@@ -492,6 +488,12 @@ def gold_results(settings: Settings) -> list[DataFrame]:
         table = f"gold.{fact.name}"
         frames.append(q.same_total(silver, gold, table, f"Q-G01-{fact.name}", None, 0))
         frames.append(q.run_checks(gold, table, [q.null_check(f"Q-G03-{fact.name}", "sk_paciente", "rows without a patient key")]))
+        day = next(iter(fact.date_keys))
+        outside = gold.where(F.col(day).isNotNull()).join(
+            store.read("gold", "dim_tiempo").select(F.col("sk_fecha").alias(day)), day, "left_anti"
+        )
+        check = q.empty_check(f"Q-G05-{fact.name}", q.WARN, "dates outside the calendar")
+        frames.append(q.run_checks(outside, table, [check]))
     billing = store.read("gold", "fact_facturacion")
     frames.append(
         q.same_total(store.read("silver", "facturacion"), billing, "gold.fact_facturacion", "Q-G02", "valor_neto", 0.009)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierlake.functions import UNKNOWN, ratio, zero_filled
 from tierlake.operators.star import patient_bi
 
+# Names of the month columns, and below those of the three published views.
 MONTH = ("anio", "mes")
 
 
@@ -20,14 +21,23 @@ def _live_income() -> Column:
     return F.sum(F.when(F.col("es_factura_anulada") == 0, F.col("valor_neto")).otherwise(F.lit(0)))
 
 
-def with_month(fact: DataFrame, calendar: DataFrame, date_key: str, how: str = "inner") -> DataFrame:
-    """Fact rows with the calendar's year and month.
+def with_month(fact: DataFrame, date_key: str) -> DataFrame:
+    """Fact rows with year and month, taken from the date key itself: no date is left out, and
+    rows without a date keep a NULL month."""
+    key = F.col(date_key)
+    return fact.withColumns(
+        {"anio": F.floor(key / 10000).cast("int"), "mes": (F.floor(key / 100) % 100).cast("int")}
+    )
+
+
+def in_calendar(fact: DataFrame, calendar: DataFrame, date_key: str, how: str = "inner") -> DataFrame:
+    """Fact rows with the calendar's year and month, as the published views define them.
 
-    The calendar is broadcast: one row per day, with a span limit checked where it is built. A
-    left join keeps dates outside the calendar with a NULL month; an inner join drops them.
+    A left join keeps dates outside the calendar with a NULL month; an inner join drops them. The
+    calendar is a stored table of days, so Spark sees its size and broadcasts it when that is safe.
     """
     months = calendar.select(F.col("sk_fecha").alias("_day"), *MONTH)
-    return fact.join(F.broadcast(months), F.col(date_key) == F.col("_day"), how)
+    return fact.join(months, F.col(date_key) == F.col("_day"), how)
 
 
 # --- the three published views -------------------------------------------------------------
@@ -35,7 +45,7 @@ def with_month(fact: DataFrame, calendar: DataFrame, date_key: str, how: str = "
 
 def appointment_operations(appointments: DataFrame, calendar: DataFrame) -> DataFrame:
     return (
-        with_month(appointments, calendar, "sk_fecha_cita", "left")
+        in_calendar(appointments, calendar, "sk_fecha_cita", "left")
         .groupBy("fecha_cita", *MONTH, "especialidad", "sede", "estado_cita")
         .agg(
             _rows().alias("total_citas"),
@@ -48,7 +58,7 @@ def appointment_operations(appointments: DataFrame, calendar: DataFrame) -> Data
 
 def billing_monthly(billing: DataFrame, calendar: DataFrame) -> DataFrame:
     return (
-        with_month(billing, calendar, "sk_fecha_factura", "left")
+        in_calendar(billing, calendar, "sk_fecha_factura", "left")
         .groupBy(*MONTH, "pagador", "tipo_servicio")
         .agg(
             F.sum("valor_bruto").alias("total_bruto"),
@@ -75,7 +85,7 @@ def monthly_summary(
     """
     ids = F.count("id_cita") if unique_appointments else F.count_distinct("id_cita")
     visits = (
-        with_month(appointments, calendar, "sk_fecha_cita")
+        in_calendar(appointments, calendar, "sk_fecha_cita")
         .groupBy(*MONTH)
         .agg(
             ids.alias("total_citas"),
@@ -85,7 +95,7 @@ def monthly_summary(
         )
     )
     money = (
-        with_month(billing, calendar, "sk_fecha_factura")
+        in_calendar(billing, calendar, "sk_fecha_factura")
         .groupBy(*MONTH)
         .agg(
             _live_income().alias("ingreso_neto"),

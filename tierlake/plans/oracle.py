@@ -177,7 +177,10 @@ _STEPS |= {f"silver_{n}": f"SELECT * FROM tagged_{n} WHERE _reject_reason IS NUL
 _STEPS["calendar"] = """
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS sk_fecha, CAST(d AS DATE) AS fecha, CAST(year(d) AS INTEGER) AS anio,
   CAST(month(d) AS INTEGER) AS mes
-FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2000-12-31', INTERVAL 1 DAY) t(d)"""
+FROM (SELECT unnest(generate_series(make_timestamp(y, 1, 1, 0, 0, 0), make_timestamp(y, 12, 31, 0, 0, 0), INTERVAL 1 DAY)) AS d FROM (
+  SELECT DISTINCT CAST(year(t) AS BIGINT) AS y FROM (SELECT fecha_cita AS t FROM silver_citas
+    UNION ALL SELECT fecha_factura_date FROM silver_facturacion UNION ALL SELECT CAST(fecha_hora_evento AS DATE) FROM silver_eventos_clinicos)
+  WHERE t IS NOT NULL))"""
 _STEPS["dim_pac"] = """
 SELECT row_number() OVER (ORDER BY id_paciente) AS sk_paciente, id_paciente, tipo_documento,
   sha256(numero_documento) AS numero_documento_hash, sexo, aseguradora, ciudad, estado AS estado_paciente,
@@ -216,8 +219,14 @@ SELECT f.id_factura, f.id_cita, f.tipo_servicio, f.pagador, f.fecha_factura, f.f
   {_key('f.fecha_factura_date')} AS sk_fecha_factura, CAST(f.es_factura_anulada AS INTEGER) AS es_factura_anulada
 FROM silver_facturacion f JOIN dim_pac p ON f.id_paciente = p.id_paciente
 LEFT JOIN dim_tipo_servicio s ON f.tipo_servicio = s.nombre LEFT JOIN dim_pagador g ON f.pagador = g.nombre"""
-_STEPS["visits"] = "SELECT f.*, k.anio, k.mes FROM fact_cit f JOIN calendar k ON f.sk_fecha_cita = k.sk_fecha"
-_STEPS["bills"] = "SELECT f.*, k.anio, k.mes FROM fact_fac f JOIN calendar k ON f.sk_fecha_factura = k.sk_fecha"
+_STEPS |= {
+    name: f"SELECT *, CAST({key} // 10000 AS INTEGER) AS anio, CAST({key} // 100 % 100 AS INTEGER) AS mes FROM {fact}"
+    for name, fact, key in (
+        ("visits", "fact_cit", "sk_fecha_cita"),
+        ("bills", "fact_fac", "sk_fecha_factura"),
+        ("monthly_events", "fact_eve", "sk_fecha_evento"),
+    )
+}
 _STEPS["old_citas"] = f"""
 SELECT * FROM clean_citas WHERE actualizado_en <= {_MARK}
 QUALIFY row_number() OVER (PARTITION BY id_cita ORDER BY actualizado_en DESC, _row_hash) = 1"""
@@ -277,11 +286,11 @@ def _totals(by: str, source: str) -> str:
       FROM {source} GROUP BY {by}"""
 
 
-def _completion(by: str) -> str:
+def _completion(by: str, source: str = "fact_eve") -> str:
     select, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
     return f"""SELECT {select}count(*) AS total_eventos,
       {_round("count(*) FILTER (WHERE estado_evento = 'Finalizado')", 'count(*)', 4)} AS pct_finalizados,
-      {_round('sum(tiene_resultado)', 'count(*)', 4)} AS pct_con_resultado FROM fact_eve {group}"""
+      {_round('sum(tiene_resultado)', 'count(*)', 4)} AS pct_con_resultado FROM {source} {group}"""
 
 
 _SUMMARY = f"""
@@ -293,8 +302,8 @@ SELECT coalesce(c.anio, f.anio) AS anio, coalesce(c.mes, f.mes) AS mes, coalesce
   {_real('coalesce(income, 0)', 'ingreso_neto')}, {_real('coalesce(due, 0)', 'cartera_pendiente')},
   {_round_money('coalesce(income, 0)', 'coalesce(n, 0)')} AS ticket_promedio
 FROM (SELECT anio, mes, count(DISTINCT id_cita) AS total, sum(es_atendida) AS att, sum(es_cancelada) AS can,
-        sum(es_no_asistencia) AS mis FROM visits GROUP BY ALL) c
-FULL JOIN (SELECT anio, mes, {_LIVE} AS income, sum(monto_cartera) AS due, count(id_factura) AS n FROM bills GROUP BY ALL) f
+        sum(es_no_asistencia) AS mis FROM visits WHERE {{known}} GROUP BY ALL) c
+FULL JOIN (SELECT anio, mes, {_LIVE} AS income, sum(monto_cartera) AS due, count(id_factura) AS n FROM bills WHERE {{known}} GROUP BY ALL) f
   ON c.anio = f.anio AND c.mes = f.mes"""
 
 _SHAPE = """CASE WHEN {t} IS NULL THEN 'missing'
@@ -345,15 +354,21 @@ def _quality() -> str:
         parts.append(_measured(f"Q-SLA-{n}", "WARN", kept, f"bronze_{n}"))
     known_states = "('Atendida', 'Programada', 'Cancelada', 'No asistió')"
     parts += [
-        _measured("Q-COUNT-pacientes", "CRIT", "count(*)", "silver_pacientes"),
+        *[_measured(f"Q-COUNT-{n}", "CRIT", "count(*)", f"silver_{n}") for n in STATEMENTS],
+        *[f"SELECT 'Q-G05-{f}', 'WARN', 0.0" for f in ("fact_citas", "fact_eventos_clinicos", "fact_facturacion")],
         _measured("Q-S11", "WARN", "count(*) FILTER (WHERE sexo NOT IN ('F', 'M'))", "silver_pacientes"),
         _measured("Q-S14", "INFO", "count(*) FILTER (WHERE ciudad <> 'DESCONOCIDO') / count(*)", "silver_pacientes"),
         _measured("Q-S12", "WARN", f"count(*) FILTER (WHERE estado_cita NOT IN {known_states})", "silver_citas"),
         _measured("Q-S13", "WARN", "count(*) FILTER (WHERE motivo_cancelacion_faltante)", "silver_citas"),
         _measured("Q-S15", "INFO", "count(*) FILTER (WHERE tiene_resultado) / count(*)", "silver_eventos_clinicos"),
     ]
-    rule = """CASE WHEN check_id LIKE 'Q-SLA-%' THEN metric_value >= 0.99 WHEN check_id = 'Q-S14' THEN metric_value >= 0.98
-      WHEN check_id = 'Q-S15' THEN metric_value >= 0.5 WHEN check_id LIKE 'Q-COUNT-%' THEN metric_value >= 1 ELSE metric_value = 0 END"""
+    bands = " ".join(
+        f"WHEN check_id = 'Q-COUNT-{n}' THEN metric_value BETWEEN {keys} // 2 AND {keys}"
+        for n in STATEMENTS
+        for keys in [f"(SELECT count(DISTINCT {_text(_PK[n])}) FROM bronze_{n})"]
+    )
+    rule = f"""CASE {bands} WHEN check_id LIKE 'Q-SLA-%' THEN metric_value >= 0.99 WHEN check_id = 'Q-S14' THEN metric_value >= 0.98
+      WHEN check_id = 'Q-S15' THEN metric_value >= 0.5 ELSE metric_value = 0 END"""
     body = " UNION ALL ".join(parts)
     return f"SELECT replace(check_id, 'Q-SLA-', 'Q-SLA-silver.') AS check_id, severity, metric_value, {rule} AS passed FROM ({body})"
 
@@ -401,8 +416,8 @@ def _finals() -> dict[str, str]:
         ),
         "calendar_from_data": f"""SELECT {_key('d')} AS sk_fecha, CAST(CAST(d AS DATE) AS VARCHAR) AS fecha, CAST(year(d) AS INTEGER) AS anio,
             CAST(month(d) AS INTEGER) AS mes, CAST(quarter(d) AS INTEGER) AS trimestre, monthname(d) AS nombre_mes, dayofweek(d) IN (0, 6) AS es_fin_semana
-            FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM
-              (SELECT CAST(min(d) AS TIMESTAMP) AS lo, CAST(max(d) AS TIMESTAMP) AS hi FROM ({days})))""",
+            FROM (SELECT unnest(generate_series(make_timestamp(y, 1, 1, 0, 0, 0), make_timestamp(y, 12, 31, 0, 0, 0), INTERVAL 1 DAY)) AS d FROM
+              (SELECT DISTINCT CAST(year(CAST(d AS DATE)) AS BIGINT) AS y FROM ({days}) WHERE d IS NOT NULL))""",
         "text_cleaning": f"""SELECT {_missing('id_cita')} AS key_missing, {_text('id_cita')} AS id_cita, {_text('id_paciente')} AS id_paciente,
             {_text('id_profesional')} AS id_profesional, {_known('sede')} AS sede FROM raw_citas""",
         "timestamp_parsing": f"""SELECT id_cita, fecha_hora_cita, {_time(_stamp('fecha_hora_cita'), 'stamp')},
@@ -474,9 +489,10 @@ def _finals() -> dict[str, str]:
         "kpi_billing_monthly": f"""SELECT k.anio, k.mes, pagador, tipo_servicio, {_real('sum(valor_bruto)', 'total_bruto')}, {_real('sum(valor_descuento)', 'total_descuento')},
             {_real('sum(valor_neto)', 'total_neto')}, {_real(_LIVE, 'ingreso_neto_vigente')}, {_real('sum(monto_cartera)', 'cartera_pendiente')},
             count(*) AS lineas_factura FROM fact_fac f LEFT JOIN calendar k ON f.sk_fecha_factura = k.sk_fecha GROUP BY k.anio, k.mes, pagador, tipo_servicio""",
-        "kpi_monthly_summary": _SUMMARY,
-        "kpi_monthly_summary_distinct": _SUMMARY,
-        "job_stored_summary": _SUMMARY,
+        "kpi_monthly_summary": _SUMMARY.format(known="anio IS NOT NULL"),
+        "summary_outside_calendar": _SUMMARY.format(known="anio BETWEEN 1995 AND 2000"),
+        "kpi_monthly_summary_distinct": _SUMMARY.format(known="anio IS NOT NULL"),
+        "job_stored_summary": _SUMMARY.format(known="anio IS NOT NULL"),
         "kpi_active_patients": "SELECT count(DISTINCT id_paciente) AS pacientes_activos FROM dim_pac WHERE estado_paciente = 'Activo'",
         "kpi_rates_by_month_and_site": _rates("anio, mes, sede"),
         "kpi_rates_by_month_and_specialty": _rates("anio, mes, especialidad"),
@@ -489,6 +505,9 @@ def _finals() -> dict[str, str]:
             {_round('count(*)', 'count(DISTINCT id_paciente)', 4)} AS citas_por_paciente FROM visits GROUP BY anio, mes""",
         "kpi_events_by_type": _completion("tipo_evento"),
         "kpi_events_total": _completion(""),
+        "kpi_events_by_month": _completion("anio, mes", "monthly_events"),
+        "kpi_events_per_appointment_by_month": f"""SELECT anio, mes, count(*) AS total_eventos, count(DISTINCT id_cita) AS citas_con_evento,
+            {_round('count(*)', 'count(DISTINCT id_cita)', 4)} AS eventos_por_cita FROM monthly_events GROUP BY anio, mes""",
         "kpi_events_per_appointment": f"""SELECT tipo_evento, count(*) AS total_eventos, count(DISTINCT id_cita) AS citas_con_evento,
             {_round('count(*)', 'count(DISTINCT id_cita)', 4)} AS eventos_por_cita FROM fact_eve GROUP BY tipo_evento""",
         "kpi_documented_appointments": f"""SELECT anio, mes, count(*) AS citas_atendidas, count(*) FILTER (WHERE seen) AS citas_con_evento,

@@ -33,12 +33,12 @@ from tierlake.operators import profile, quality
 from tierlake.operators.dedupe import latest_per_key, newest_first
 from tierlake.operators.entity import Run, add_lineage, attach_parents, reject_counts, union_rejects
 from tierlake.operators.history import first_versions, next_versions
-from tierlake.operators.star import FACTS, calendar_spanning, patient_bi
+from tierlake.operators.star import FACTS, calendar, calendar_of, patient_bi
 from tierlake.operators.surrogate import dense_key, stable_key
 from tierlake.operators.upsert import BUCKET, mark_missing, overwrite_bucketed, upsert_table
 from tierlake.operators.watermark import Watermarks, newer_than
 from tierlake.plans import jobs, kpis
-from tierlake.plans.chain import CALENDAR_SPAN, RUN, Chain, chain
+from tierlake.plans.chain import RUN, Chain, chain
 from tierlake.plans.entities import APPOINTMENT_STATES, BY_NAME, CURSOR, ENTITIES, OTHER_STATE
 from tierlake.plans.feed import STATEMENTS
 from tierlake.sources.readers import read_as_text
@@ -122,7 +122,7 @@ def quarantine_rows(c: Chain) -> DataFrame:
 def calendar_from_data(c: Chain) -> DataFrame:
     ordered = c.table("orders").select(F.col("o_orderdate").cast("date"))
     shipped = c.table("lineitem").select(F.col("l_shipdate").cast("date"))
-    return calendar_spanning(ordered, shipped)
+    return calendar_of(ordered, shipped)
 
 
 # --- scalar functions ----------------------------------------------------------------------------
@@ -494,15 +494,26 @@ def kpi_monthly_summary_distinct(c: Chain) -> DataFrame:
     return kpis.monthly_summary(c.fact("citas"), c.fact("facturacion"), c.calendar)
 
 
+@query
+def summary_outside_calendar(c: Chain) -> DataFrame:
+    """The summary view's rule for dates outside a given calendar: they are left out."""
+    given = calendar(c.spark, date(1995, 1, 1), date(2000, 12, 31))
+    return kpis.monthly_summary(c.fact("citas"), c.fact("facturacion"), given, unique_appointments=True)
+
+
 # --- indicators ----------------------------------------------------------------------------------
 
 
 def _visits(c: Chain) -> DataFrame:
-    return kpis.with_month(c.fact("citas"), c.calendar, "sk_fecha_cita")
+    return kpis.with_month(c.fact("citas"), "sk_fecha_cita")
 
 
 def _bills(c: Chain) -> DataFrame:
-    return kpis.with_month(c.fact("facturacion"), c.calendar, "sk_fecha_factura")
+    return kpis.with_month(c.fact("facturacion"), "sk_fecha_factura")
+
+
+def _events(c: Chain) -> DataFrame:
+    return kpis.with_month(c.fact("eventos_clinicos"), "sk_fecha_evento")
 
 
 @query
@@ -565,6 +576,16 @@ def kpi_events_per_appointment(c: Chain) -> DataFrame:
     return kpis.events_per_appointment(c.fact("eventos_clinicos"), ("tipo_evento",))
 
 
+@query
+def kpi_events_by_month(c: Chain) -> DataFrame:
+    return kpis.event_completion(_events(c), MONTH)
+
+
+@query
+def kpi_events_per_appointment_by_month(c: Chain) -> DataFrame:
+    return kpis.events_per_appointment(_events(c), MONTH)
+
+
 @query
 def kpi_documented_appointments(c: Chain) -> DataFrame:
     return kpis.documented_appointments(_visits(c), c.fact("eventos_clinicos"), MONTH)
@@ -709,10 +730,19 @@ def profile_integrity(c: Chain) -> DataFrame:
 _settings: dict[str, jobs.Settings] = {}
 
 
+def _bands(c: Chain) -> dict[str, tuple[int, int]]:
+    """Silver rows may fall short of the distinct source keys by half, and never exceed them."""
+    bands = {}
+    for spec in ENTITIES:
+        keys = c.bronze(spec.name).select(clean_text(spec.pk)).distinct().count()
+        bands[spec.name] = (keys // 2, keys)
+    return bands
+
+
 def _loaded_store(c: Chain) -> jobs.Settings:
     """A store filled by the batch jobs: full load, silver and gold."""
     if c.staging.path not in _settings:
-        settings = jobs.Settings(_fresh_store(c), 8, *CALENDAR_SPAN, row_bands={"pacientes": (1, 10**12)})
+        settings = jobs.Settings(_fresh_store(c), 8, row_bands=_bands(c))
         sources = {s.name: c.raw(s.name) for s in ENTITIES}
         jobs.run_all(settings, sources, RUN, fail_on=(quality.CRIT,))
         _settings[c.staging.path] = settings
@@ -776,7 +806,7 @@ def job_run_health(c: Chain) -> DataFrame:
 @query
 def job_incremental_runs(c: Chain) -> DataFrame:
     """Full load of the versions up to the mark, then everything again incrementally, twice."""
-    settings = jobs.Settings(_fresh_store(c), 8, *CALENDAR_SPAN)
+    settings = jobs.Settings(_fresh_store(c), 8)
     everything = {s.name: c.raw(s.name) for s in ENTITIES}
     early = dict(everything)
     early["citas"] = everything["citas"].where(
