@@ -6,6 +6,7 @@ from tierlake.functions.columns import (
     as_utc,
     canonical_number,
     clean_text,
+    content_hash,
     date_key,
     decimal_or_null,
     in_domain_or,
@@ -34,6 +35,7 @@ __all__ = [
     "as_utc",
     "canonical_number",
     "clean_text",
+    "content_hash",
     "date_key",
     "decimal_or_null",
     "in_domain_or",

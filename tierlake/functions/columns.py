@@ -114,6 +114,15 @@ def row_hash(columns: Iterable[str]) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
+def content_hash(columns: Iterable[str]) -> Column:
+    """Hash for change detection: no two different rows of values share their hashed text.
+
+    JSON keeps NULL, empty text and separators inside values apart, which ``row_hash`` (a column
+    with a prescribed value) does not.
+    """
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256)
+
+
 def pseudonym(value: str | Column, salt: str | None = None) -> Column:
     """SHA-256 hex standing in for a direct identifier. NULL stays NULL."""
     text = _col(value).cast("string")

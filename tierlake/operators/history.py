@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.functions import row_hash
+from tierlake.functions import content_hash
 
 VALIDITY = ("_version_hash", "_valid_from", "_valid_to", "_is_current")
 
@@ -17,7 +17,7 @@ def first_versions(snapshot: DataFrame, pk: str, attributes: Iterable[str], at:
     return snapshot.select(
         pk,
         *columns,
-        row_hash(columns).alias("_version_hash"),
+        content_hash(columns).alias("_version_hash"),
         at.alias("_valid_from"),
         F.lit(None).cast("timestamp").alias("_valid_to"),
         F.lit(True).alias("_is_current"),

@@ -7,7 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierlake.functions import content_hash
 from tierlake.operators.dedupe import latest_per_key
+from tierlake.sources.staging import Staging
 from tierlake.sources.store import LayerStore
 
 BUCKET = "_bucket"
@@ -23,18 +25,16 @@ def replace_matching(target: DataFrame, source: DataFrame, pk: str) -> DataFrame
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def changed_rows(target: DataFrame, source: DataFrame, pk: str, hash_column: str) -> DataFrame:
-    """Source rows that are new or whose content hash differs from the target's."""
-    known = target.select(pk, F.col(hash_column).alias("_known_hash"))
-    return (
-        source.join(known, pk, "left")
-        .where(~F.col(hash_column).eqNullSafe(F.col("_known_hash")))
-        .select(*source.columns)
+def changed_rows(target: DataFrame, source: DataFrame, pk: str, by: str | Iterable[str]) -> DataFrame:
+    """Source rows that are new or differ from the target: in a hash column, or in given columns."""
+    content = F.col(by) if isinstance(by, str) else content_hash(by)
+    same = (
+        source.select(pk, content.alias("_new"))
+        .join(target.select(pk, content.alias("_old")), pk)
+        .where(F.col("_new").eqNullSafe(F.col("_old")))
+        .select(pk)
     )
-
-
-def replace_if_changed(target: DataFrame, source: DataFrame, pk: str, hash_column: str) -> DataFrame:
-    return replace_matching(target, changed_rows(target, source, pk, hash_column), pk)
+    return source.join(same, pk, "left_anti").select(*source.columns)
 
 
 def keep_newest(
@@ -81,32 +81,83 @@ def upsert_table(
     pk: str,
     buckets: int = DEFAULT_BUCKETS,
     newest: Iterable[Column] | None = None,
-    only_changed_by: str | None = None,
+    only_changed_by: str | Iterable[str] | None = None,
 ) -> None:
-    """Upsert a frame into a bucketed table, rewriting only the buckets its keys fall in.
+    """Upsert a frame into a bucketed table, rewriting only the buckets of rows that win.
 
-    An empty source changes nothing; an absent table is created. ``df`` is evaluated more than
-    once and must not shift in between: pass a staged frame. Re-running after a failure gives the
-    same table, because every rule above is idempotent by key.
+    Winners are decided on the source and the target rows of its keys alone; the source side is
+    small, so Spark broadcasts it and target rows are not shuffled. A source without winners
+    writes nothing; an absent table is created. ``df`` is evaluated more than once: pass a staged
+    frame. Running again after a failure gives the same table (see ``LayerStore.replace_logged``).
     """
-    source = df.withColumn(BUCKET, bucket_of(pk, buckets))
     if not store.exists(layer, name):
-        store.overwrite(source, layer, name, [BUCKET])
+        store.overwrite(df.withColumn(BUCKET, bucket_of(pk, buckets)), layer, name, [BUCKET])
         return
-    # At most ``buckets`` short strings, whatever the size of the data.
-    touched = [row[0] for row in source.select(BUCKET).distinct().collect()]
+    store.redo(layer, name, [BUCKET])
+    with Staging(store.spark) as staging:
+        table = _in_layout(store, layer, name, buckets, df)
+        source = df.withColumn(BUCKET, bucket_of(pk, buckets))
+        target = table.where(F.col(BUCKET).isin(_touched(source)))
+        if only_changed_by is not None:
+            source = changed_rows(target, source, pk, only_changed_by)
+        if newest is not None:
+            rivals = target.join(source.select(pk), pk, "left_semi").withColumn("_incoming", F.lit(False))
+            best = keep_newest(rivals, source.withColumn("_incoming", F.lit(True)), pk, newest)
+            known = target.select(pk, F.struct(*target.columns).alias("_stored"))
+            source = best.where("_incoming").select(*source.columns)
+            # A version that is already stored wins without changing anything.
+            again = source.join(known, pk).where(_same_row(source, target)).select(pk)
+            source = source.join(again, pk, "left_anti").select(*source.columns)
+        winners = staging.keep(source, "winners")
+        replace_keys(winners, winners.select(pk), store, layer, name, pk, buckets)
+
+
+def _same_row(source: DataFrame, target: DataFrame) -> Column:
+    stored = set(target.columns)
+    same = F.lit(True)
+    for c in source.columns:
+        if c in stored and c != BUCKET:
+            same = same & F.col(c).eqNullSafe(F.col(f"_stored.{c}"))
+    return same
+
+
+def replace_keys(
+    rows: DataFrame, keys: DataFrame, store: LayerStore, layer: str, name: str, pk: str, buckets: int = DEFAULT_BUCKETS
+) -> None:
+    """Give the keys exactly these rows: other rows of the keys go, keys without rows disappear.
+
+    Kept rows stay in the order of the files they come from; only the new rows are shuffled.
+    """
+    store.redo(layer, name, [BUCKET])
+    keys = keys.select(pk).withColumn(BUCKET, bucket_of(pk, buckets))
+    touched = _touched(keys)
     if not touched:
         return
-    table = store.read(layer, name)
-    stored = table.select(BUCKET).first()
-    if stored is not None and not stored[0].startswith(f"of{buckets}-"):
-        raise ValueError(f"{layer}.{name} is laid out as {stored[0]}, not in {buckets} buckets")
-
-    target = table.where(F.col(BUCKET).isin(touched))
-    if only_changed_by is not None:
-        source = changed_rows(target, source, pk, only_changed_by)
-    if newest is not None:
-        merged = keep_newest(target, source, pk, newest)
-    else:
-        merged = replace_matching(target, source, pk)
-    store.replace_partitions(merged, layer, name, [BUCKET])
+    table = _in_layout(store, layer, name, buckets, rows)
+    kept = table.where(F.col(BUCKET).isin(touched)).join(keys.select(pk), pk, "left_anti")
+    placed = rows.drop(BUCKET).withColumn(BUCKET, bucket_of(pk, buckets)).repartition(BUCKET)
+    merged = kept.unionByName(placed, allowMissingColumns=True)
+    # A bucket whose rows all go would not be replaced by an absent folder: it is emptied first.
+    bare = set(touched) - set(_touched(placed))
+    if bare:
+        bare -= set(_touched(kept.where(F.col(BUCKET).isin(sorted(bare)))))
+    if len(bare) < len(touched):
+        store.replace_logged(merged, layer, name, [BUCKET])
+    for bucket in sorted(bare):
+        store.drop_partition(layer, name, {BUCKET: bucket})
+
+
+def _touched(rows: DataFrame) -> list[str]:
+    """Buckets of the rows: at most ``buckets`` short strings, whatever the size of the data."""
+    return [row[0] for row in rows.select(BUCKET).distinct().collect()]
+
+
+def _in_layout(store: LayerStore, layer: str, name: str, buckets: int, like: DataFrame) -> DataFrame:
+    """The stored table; one without rows has the columns of the frame to be merged."""
+    labels = store.folders(layer, name, BUCKET)
+    if not labels:
+        schema = like.drop(BUCKET).withColumn(BUCKET, F.lit("")).schema
+        return store.read(layer, name, schema)
+    if not labels[0].startswith(f"of{buckets}-"):
+        raise ValueError(f"{layer}.{name} is laid out as {labels[0]}, not in {buckets} buckets")
+    return store.read(layer, name)

@@ -54,6 +54,15 @@ class Watermarks:
         )
         return row.at if row is not None and row.at is not None else EPOCH
 
+    def restart(self, layer: str, source: str, reached: datetime | str | None, run: Run) -> None:
+        """Set a mark to where a full load ended, also if that lies behind it."""
+        keys = self.store.spark.createDataFrame([(layer, source)], "layer STRING, source_table STRING")
+        self.restart_all(keys.withColumn("reached", _timestamp(EPOCH if reached is None else reached)), run)
+
+    def restart_all(self, reached: DataFrame, run: Run) -> None:
+        mark = F.coalesce("reached", _timestamp(EPOCH))
+        self._write(self._row(reached, mark, F.lit(run.batch_id), run))
+
     def advance(self, layer: str, source: str, reached: datetime | str | None, run: Run) -> None:
         """Move a mark forward; an older or missing time leaves it where it is."""
         if reached is None:

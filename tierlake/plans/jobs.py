@@ -44,6 +44,7 @@ from tierlake.operators.upsert import (
     DEFAULT_BUCKETS,
     overwrite_bucketed,
     placed_by_bucket,
+    replace_keys,
     upsert_table,
 )
 from tierlake.operators.watermark import Watermarks, highest, newer_than
@@ -182,6 +183,20 @@ def _analysed_schema(spark: SparkSession, spec: EntitySpec) -> T.StructType:
     return tag(spec, clean(spec, bronze, run), parents).schema
 
 
+_BUCKET_FIELD = T.StructField(BUCKET, T.StringType())
+
+
+def bronze_table(store: LayerStore, spec: EntitySpec) -> DataFrame:
+    """Declared columns, so that a table without rows (and so without files) reads as empty."""
+    return store.read("bronze", spec.name, T.StructType([*spec.bronze_schema().fields, _BUCKET_FIELD]))
+
+
+def silver_table(store: LayerStore, spec: EntitySpec) -> DataFrame:
+    """Valid rows: the tagged columns without the reason."""
+    fields = [f for f in silver_schema(store.spark, spec).fields if f.name != "_reject_reason"]
+    return store.read("silver", spec.name, T.StructType([*fields, _BUCKET_FIELD]))
+
+
 def rejects_table(store: LayerStore) -> DataFrame:
     schemas = [silver_schema(store.spark, s) for s in ENTITIES]
     return store.read("silver", "rejects", _merged(schemas, _BATCH_PARTITIONS))
@@ -191,7 +206,7 @@ def reset_rejects(store: LayerStore) -> None:
     """Empty, typed reject table."""
     schema = _merged([silver_schema(store.spark, s) for s in ENTITIES], _BATCH_PARTITIONS)
     empty = store.spark.createDataFrame([], schema)
-    empty.write.mode("overwrite").partitionBy("_entity", "_batch_id").parquet(store.path("silver", "rejects"))
+    store.overwrite(empty, "silver", "rejects", ("_entity", "_batch_id"))
 
 
 # --- bronze ------------------------------------------------------------------------------------
@@ -217,7 +232,7 @@ def load_bronze(
         )
         quarantine = add_lineage(quarantine, run, source_file, spec.cursor)
         write_quarantine(store, quarantine, run, batch)
-        loaded = store.read("bronze", spec.name).agg(
+        loaded = bronze_table(store, spec).agg(
             F.count(F.lit(1)).alias("rows"), F.max("_cursor").cast("string").alias("reached")
         ).first()
     else:
@@ -234,7 +249,7 @@ def load_bronze(
             upsert_table(
                 newest, store, "bronze", spec.name, spec.pk, settings.buckets, newest_first("_cursor")
             )
-    marks.advance("bronze", spec.name, loaded.reached, run)
+    (marks.restart if mode == FULL else marks.advance)("bronze", spec.name, loaded.reached, run)
     quarantined = (
         quarantine_table(store)
         .where((F.col("_entity") == spec.name) & (F.col("_batch_id") == run.batch_id))
@@ -253,7 +268,7 @@ def load_bronze_snapshot(settings: Settings, spec: EntitySpec, raw: DataFrame, r
 
 
 def _parents(store: LayerStore, spec: EntitySpec) -> dict[str, DataFrame]:
-    return {ref.parent: store.read("silver", ref.parent) for ref in spec.parents}
+    return {ref.parent: silver_table(store, BY_NAME[ref.parent]) for ref in spec.parents}
 
 
 def _heavy(settings: Settings, spec: EntitySpec, bronze: DataFrame, staging: Staging) -> dict[str, DataFrame]:
@@ -268,22 +283,37 @@ def _heavy(settings: Settings, spec: EntitySpec, bronze: DataFrame, staging: Sta
     }
 
 
-def clean_silver(settings: Settings, spec: EntitySpec, run: Run, mode: str) -> CleanResult:
+def clean_silver(
+    settings: Settings, spec: EntitySpec, run: Run, mode: str, moved: dict[str, DataFrame], kept: Staging
+) -> CleanResult:
     """Clean, deduplicate and validate one entity; write valid rows and rejects.
 
-    The tagged rows are computed once and staged; both outputs and all counts come from there.
+    An incremental run takes every key it can change: those of new bronze rows, and those of rows,
+    valid or rejected, whose parents are among the keys this run has taken (``moved``, staged in
+    ``kept``). All versions of these keys are cleaned again, and the table then holds exactly what they give, as
+    if it had been rebuilt. The tagged rows are computed once and staged; both outputs and all
+    counts come from there.
     """
     _check_mode(mode)
     store, marks = settings.store, settings.marks
-    bronze = store.read("bronze", spec.name)
+    bronze = fresh = bronze_table(store, spec)
     if mode == INCREMENTAL:
         mark = marks.get("silver", spec.name)
-        bronze = newer_than(bronze, "_cursor", mark, settings.lookback)
-    rows_in = bronze.count()
-    if rows_in == 0 and mode == INCREMENTAL:
-        return CleanResult(spec.name, 0, 0, 0, 0)
+        fresh = newer_than(bronze, "_cursor", mark, settings.lookback)
+    arrived = fresh.agg(F.count(F.lit(1)).alias("rows"), F.max("_cursor").cast("string").alias("reached")).first()
 
     with Staging(store.spark) as staging:
+        if mode == INCREMENTAL:
+            keys = kept.keep(_affected_keys(settings, spec, fresh, moved), f"keys-{spec.name}")
+            moved[spec.name] = keys
+            if keys.isEmpty():
+                return CleanResult(spec.name, 0, 0, 0, 0)
+            bronze = (
+                bronze.withColumn("_clean_key", clean_text(spec.pk))
+                .join(keys.withColumnRenamed(spec.pk, "_clean_key"), "_clean_key", "left_semi")
+                .drop("_clean_key")
+            )
+        taken = bronze.count() if mode == INCREMENTAL else arrived.rows
         current = latest(spec, clean(spec, bronze, run), keep_missing_keys=False)
         heavy = _heavy(settings, spec, bronze, staging)
         tagged = staging.keep(
@@ -291,23 +321,34 @@ def clean_silver(settings: Settings, spec: EntitySpec, run: Run, mode: str) -> C
         )
         valid = valid_rows(tagged)
         ok = F.col("_reject_reason").isNull()
-        counts = tagged.agg(
-            F.count_if(ok).alias("valid"),
-            F.count_if(~ok).alias("rejected"),
-            F.max(spec.cursor).cast("string").alias("reached"),
-        ).first()
-        if mode == FULL:
+        counts = tagged.agg(F.count_if(ok).alias("valid"), F.count_if(~ok).alias("rejected")).first()
+        if mode == FULL or not store.exists("silver", spec.name):
             overwrite_bucketed(valid, store, "silver", spec.name, spec.pk, settings.buckets)
         else:
-            upsert_table(
-                valid, store, "silver", spec.name, spec.pk, settings.buckets, newest_first(spec.cursor)
-            )
+            replace_keys(valid, moved[spec.name], store, "silver", spec.name, spec.pk, settings.buckets)
         batch = {"_entity": spec.name, "_batch_id": run.batch_id}
         store.replace_partition(rejected_rows(tagged, spec.name), "silver", "rejects", batch, compact=True)
     if mode == INCREMENTAL:
-        marks.advance("silver", spec.name, counts.reached, run)
-    superseded = rows_in - counts.valid - counts.rejected
-    return CleanResult(spec.name, rows_in, superseded, counts.valid, counts.rejected)
+        marks.advance("silver", spec.name, arrived.reached, run)
+    superseded = taken - counts.valid - counts.rejected
+    return CleanResult(spec.name, arrived.rows, superseded, counts.valid, counts.rejected)
+
+
+def _affected_keys(settings: Settings, spec: EntitySpec, fresh: DataFrame, moved: Mapping[str, DataFrame]) -> DataFrame:
+    """Keys of one entity that an incremental run may change, from scans of key columns only."""
+    store = settings.store
+    keys = fresh.select(clean_text(spec.pk).alias(spec.pk))
+    stored = []
+    if store.exists("silver", spec.name):
+        stored.append(silver_table(store, spec))
+    if store.exists("silver", "rejects"):
+        stored.append(rejects_table(store).where(F.col("_entity") == spec.name))
+    for ref in spec.parents:
+        if ref.parent in moved:
+            parents = moved[ref.parent].select(F.col(BY_NAME[ref.parent].pk).alias(ref.column))
+            for rows in stored:
+                keys = keys.unionAll(rows.select(spec.pk, ref.column).join(parents, ref.column, "left_semi").select(spec.pk))
+    return keys.where(F.col(spec.pk).isNotNull()).distinct()
 
 
 def sync_marks(settings: Settings, run: Run) -> None:
@@ -316,7 +357,7 @@ def sync_marks(settings: Settings, run: Run) -> None:
     rejects = rejects_table(settings.store).where(F.col("_batch_id") == run.batch_id)
     reached = []
     for spec in ENTITIES:
-        consumed = settings.store.read("silver", spec.name).select(spec.cursor).unionAll(
+        consumed = silver_table(settings.store, spec).select(spec.cursor).unionAll(
             rejects.where(F.col("_entity") == spec.name).select(spec.cursor)
         )
         reached.append(
@@ -326,7 +367,7 @@ def sync_marks(settings: Settings, run: Run) -> None:
                 F.col("last_watermark").alias("reached"),
             )
         )
-    settings.marks.advance_all(reduce(DataFrame.unionAll, reached), run)
+    settings.marks.restart_all(reduce(DataFrame.unionAll, reached), run)
 
 
 # --- gold --------------------------------------------------------------------------------------
@@ -335,7 +376,7 @@ def sync_marks(settings: Settings, run: Run) -> None:
 def build_gold(settings: Settings, run: Run) -> dict[str, int]:
     """Rebuild dimensions and facts from silver. Returns row counts."""
     store = settings.store
-    silver = {s.name: store.read("silver", s.name) for s in ENTITIES}
+    silver = {s.name: silver_table(store, s) for s in ENTITIES}
     with Staging(store.spark) as staging:
         if settings.calendar_span is None:
             days = calendar_of(
@@ -389,7 +430,7 @@ def bronze_results(settings: Settings) -> list[DataFrame]:
         if present:
             frames.append(
                 q.run_checks(
-                    settings.store.read("bronze", spec.name),
+                    bronze_table(settings.store, spec),
                     table,
                     [q.lineage_check(spec.name), q.missing_key_check(spec.name, spec.pk)],
                 )
@@ -403,7 +444,7 @@ def load_results(settings: Settings, sources: Mapping[str, DataFrame], run: Run)
     quarantine = quarantine_table(store).where(F.col("_batch_id") == run.batch_id)
     frames = []
     for spec in ENTITIES:
-        arrived = store.read("bronze", spec.name).select("_batch_id").unionAll(
+        arrived = bronze_table(store, spec).select("_batch_id").unionAll(
             quarantine.where(F.col("_entity") == spec.name).select("_batch_id")
         )
         frames.append(
@@ -414,7 +455,7 @@ def load_results(settings: Settings, sources: Mapping[str, DataFrame], run: Run)
 
 def silver_results(settings: Settings, sla: float = 0.99) -> list[DataFrame]:
     store = settings.store
-    silver = {s.name: store.read("silver", s.name) for s in ENTITIES}
+    silver = {s.name: silver_table(store, s) for s in ENTITIES}
     patients, visits = silver["pacientes"], silver["citas"]
     events, bills = silver["eventos_clinicos"], silver["facturacion"]
     own_checks = {
@@ -465,7 +506,7 @@ def silver_results(settings: Settings, sla: float = 0.99) -> list[DataFrame]:
     check = q.total_check("Q-S05", q.CRIT, "event patient differs from the appointment's")
     frames.append(q.run_checks(strangers, "silver.eventos_clinicos", [check]))
     # A birth date that was given but did not parse must be among the rejects, never in silver.
-    given = store.read("bronze", "pacientes").where(clean_text("fecha_nacimiento").isNotNull())
+    given = bronze_table(store, BY_NAME["pacientes"]).where(clean_text("fecha_nacimiento").isNotNull())
     lost_dates = (
         patients.where(F.col("fecha_nacimiento").isNull())
         .select("_row_hash")
@@ -475,7 +516,7 @@ def silver_results(settings: Settings, sla: float = 0.99) -> list[DataFrame]:
         q.run_checks(lost_dates, "silver.pacientes", [q.empty_check("Q-S10", q.CRIT, "birth dates lost in parsing")])
     )
     for spec in ENTITIES:
-        keys = store.read("bronze", spec.name).select(clean_text(spec.pk).alias("k")).distinct()
+        keys = bronze_table(store, spec).select(clean_text(spec.pk).alias("k")).distinct()
         frames.append(q.kept_share(silver[spec.name], keys, f"silver.{spec.name}", sla))
     return frames
 
@@ -484,7 +525,7 @@ def gold_results(settings: Settings) -> list[DataFrame]:
     store = settings.store
     frames = []
     for fact in FACTS:
-        silver, gold = store.read("silver", fact.entity), store.read("gold", fact.name)
+        silver, gold = silver_table(store, BY_NAME[fact.entity]), store.read("gold", fact.name)
         table = f"gold.{fact.name}"
         frames.append(q.same_total(silver, gold, table, f"Q-G01-{fact.name}", None, 0))
         frames.append(q.run_checks(gold, table, [q.null_check(f"Q-G03-{fact.name}", "sk_paciente", "rows without a patient key")]))
@@ -496,7 +537,7 @@ def gold_results(settings: Settings) -> list[DataFrame]:
         frames.append(q.run_checks(outside, table, [check]))
     billing = store.read("gold", "fact_facturacion")
     frames.append(
-        q.same_total(store.read("silver", "facturacion"), billing, "gold.fact_facturacion", "Q-G02", "valor_neto", 0.009)
+        q.same_total(silver_table(store, BY_NAME["facturacion"]), billing, "gold.fact_facturacion", "Q-G02", "valor_neto", 0.009)
     )
     frames.append(
         q.forbidden_columns(
@@ -523,7 +564,7 @@ def mark_results(settings: Settings, before: Mapping[str, str]) -> list[DataFram
 
 def silver_counts(store: LayerStore) -> dict[str, int]:
     return {
-        s.name: store.read("silver", s.name).count() if store.exists("silver", s.name) else 0 for s in ENTITIES
+        s.name: silver_table(store, s).count() if store.exists("silver", s.name) else 0 for s in ENTITIES
     }
 
 
@@ -590,7 +631,9 @@ def run_silver(settings: Settings, run: Run, mode: str = FULL) -> tuple[CleanRes
     """All entities in dependency order: parents must be in place before children are checked."""
     if mode == FULL:
         reset_rejects(settings.store)
-    results = tuple(clean_silver(settings, s, run, mode) for s in ENTITIES)
+    moved: dict[str, DataFrame] = {}
+    with Staging(settings.store.spark) as kept:
+        results = tuple(clean_silver(settings, s, run, mode, moved, kept) for s in ENTITIES)
     if mode == FULL:
         sync_marks(settings, run)
     return results

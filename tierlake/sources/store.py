@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -33,14 +32,16 @@ class LayerStore:
         return reader.parquet(self.path(layer, name))
 
     def exists(self, layer: str, name: str) -> bool:
-        """False only when the table is missing; any other failure is raised."""
-        try:
-            self.spark.read.parquet(self.path(layer, name))
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
-            raise
-        return True
+        """Whether the table's folder is there; one look-up, however many files it has."""
+        return self._has(self.path(layer, name))
+
+    def _folder(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+
+    def _has(self, path: str) -> bool:
+        files, folder = self._folder(path)
+        return files.exists(folder)
 
     def overwrite(
         self,
@@ -77,6 +78,27 @@ class LayerStore:
             .parquet(self.path(layer, name))
         )
 
+    def replace_logged(self, df: DataFrame, layer: str, name: str, partition_by: Iterable[str]) -> None:
+        """Replace the partitions present in the frame so that a lost driver loses no row.
+
+        The rows are written aside in full first. Only then are the partitions swapped, from that
+        copy; ``redo`` repeats a swap that was interrupted. The frame keeps its own layout.
+        """
+        self.redo(layer, name, partition_by)
+        self.overwrite(df, layer, f"{name}__pending", partition_by, placed=True)
+        self.redo(layer, name, partition_by)
+
+    def redo(self, layer: str, name: str, partition_by: Iterable[str]) -> None:
+        """Finish a replacement whose rows were written aside completely."""
+        pending = self.path(layer, f"{name}__pending")
+        if self._has(f"{pending}/_SUCCESS"):
+            keys = list(partition_by)
+            rows = self.spark.read.parquet(pending)
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(*keys).parquet(self.path(layer, name))
+        files, folder = self._folder(pending)
+        files.delete(folder, True)
+
     def replace_partition(
         self, df: DataFrame, layer: str, name: str, values: Mapping[str, str], compact: bool = False
     ) -> None:
@@ -98,6 +120,18 @@ class LayerStore:
             .parquet(f"{self.path(layer, name)}/{folder}")
         )
 
+    def folders(self, layer: str, name: str, column: str) -> list[str]:
+        """Values of the first partition column, from folder names."""
+        files, folder = self._folder(self.path(layer, name))
+        prefix = f"{column}="
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+    def drop_partition(self, layer: str, name: str, values: Mapping[str, str]) -> None:
+        steps = "/".join(f"{column}={value}" for column, value in values.items())
+        files, folder = self._folder(f"{self.path(layer, name)}/{steps}")
+        files.delete(folder, True)
+
     def clustered(self, df: DataFrame, layer: str, name: str, by: Iterable[str], unique: str) -> None:
         """Replace a table, range-clustered on columns so that Parquet min/max ranges skip files.
 
@@ -120,8 +154,7 @@ class LayerStore:
             for name in names:
                 self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
                 self.spark.catalog.createTable(f"{layer}.{name}", self.path(layer, name), "parquet")
-                if self.spark.read.parquet(self.path(layer, name)).inputFiles():
-                    self._recover(layer, name)
+                self._recover(layer, name)
 
     def _recover(self, layer: str, name: str) -> None:
         """Make partition folders visible to the catalog."""
