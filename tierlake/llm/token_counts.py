@@ -19,22 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tierlake.llm.common import annotate, prepare, read_table, texts_of
-from tierlake.llm.unigram import NEVER, VOCABULARY, Vocabulary, load, normalised
+from tierlake.llm.unigram import NEVER, VOCABULARY, Remembered, Vocabulary, automaton, load, normalised
 
-_REMEMBERED = 150_000
-_LONG_UNIT = 64
 #: A unit's score and count in one whole number, so that one sum adds both.
 _SHIFT = 40
 
 
-def automaton(vocabulary: Vocabulary) -> ahocorasick.Automaton:
-    found = ahocorasick.Automaton()
-    for piece, (_, score) in vocabulary.pieces.items():
-        found.add_word(piece, (len(piece), score))
-    found.make_automaton()
-    return found
-
-
 def best_count(matcher: ahocorasick.Automaton, unknown: int, unit: str) -> tuple[int, int]:
     """Score of the best segmentation and the number of its tokens."""
     best, count = [0], [0]
@@ -43,7 +33,7 @@ def best_count(matcher: ahocorasick.Automaton, unknown: int, unit: str) -> tuple
     for at, letter in enumerate(unit):
         score, pieces, own = NEVER, 0, False
         while end == at:
-            length, worth = found
+            length, worth, _ = found
             start = at + 1 - length
             if best[start] + worth > score:
                 score, pieces = best[start] + worth, count[start] + 1
@@ -56,19 +46,15 @@ def best_count(matcher: ahocorasick.Automaton, unknown: int, unit: str) -> tuple
     return best[-1], count[-1]
 
 
-class UnitCounts(dict):
+class UnitCounts(Remembered):
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.matcher, self.unknown = automaton(vocabulary), vocabulary.unknown
-
-    def __missing__(self, unit: str) -> int:
-        score, count = best_count(self.matcher, self.unknown, unit)
-        packed = (score << _SHIFT) + count
-        if len(unit) <= _LONG_UNIT:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[unit] = packed
-        return packed
+        matcher, unknown = automaton(vocabulary), vocabulary.unknown
+
+        def packed(unit: str) -> int:
+            score, count = best_count(matcher, unknown, unit)
+            return (score << _SHIFT) + count
+
+        super().__init__(packed)
 
 
 class _Counter:

@@ -17,7 +17,9 @@ decode to nothing; a space sign in a text decodes to a space; repeated rows are
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,35 +27,42 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tierlake.llm.common import annotate, prepare, read_table, texts_of
-from tierlake.llm.unigram import NEVER, VOCABULARY, Vocabulary, backtrace, forward, load, normalised, unit_ids
+from tierlake.llm.unigram import (
+    NEVER,
+    VOCABULARY,
+    Remembered,
+    Vocabulary,
+    automaton,
+    backtrace,
+    forward,
+    load,
+    normalised,
+    segment,
+)
 from tierlake.sources.staging import Staging
 
 #: Characters of a chunk; texts that are longer are encoded by the parallel scan.
 CHUNK = 32_768
 GROUP = 64
-_REMEMBERED = 150_000
-_LONG_UNIT = 64
 _IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
-class UnitIds(dict):
-    """Ids of units as packed bytes, made when first met; long units are not remembered."""
+class UnitIds(Remembered):
+    """Ids of units as packed bytes, and their scores."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.vocabulary = vocabulary
+        matcher = automaton(vocabulary)
 
-    def __missing__(self, unit: str) -> bytes:
-        ids = np.array(unit_ids(self.vocabulary, unit), dtype=np.int32).tobytes()
-        if len(unit) <= _LONG_UNIT:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[unit] = ids
-        return ids
+        def packed(unit: str) -> tuple[bytes, int]:
+            ids, score = segment(vocabulary, matcher, unit)
+            return array("i", ids).tobytes(), score
+
+        super().__init__(packed)
 
     def encode(self, text: str) -> np.ndarray:
         units = self.vocabulary.units.findall(normalised(text))
-        return np.frombuffer(b"".join(map(self.__getitem__, units)), dtype=np.int32)
+        return np.frombuffer(b"".join([self[u][0] for u in units]), dtype=np.int32)
 
 
 def _lists(rows: list[np.ndarray | None]) -> pa.Array:
@@ -113,7 +122,23 @@ def _split(chunk: int, reach: int, batches: Iterable[pa.RecordBatch]) -> Iterato
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", "chunk", "chunks", "size", "part"])
 
 
-def transfer(vocabulary: Vocabulary, part: str, size: int) -> np.ndarray:
+@dataclass
+class Chunk:
+    """A chunk as seen by the scan: its matrix, and what the backtrace will need of it.
+
+    Between its first and last cut a chunk has one best way, whose ids are final. ``head`` ends at
+    the first cut, ``tail`` begins at the last; without a cut the head is the whole chunk.
+    """
+
+    matrix: np.ndarray
+    head: str
+    head_size: int
+    middle: bytes
+    tail: str
+    tail_size: int  # -1: no cut
+
+
+def transfer(vocabulary: Vocabulary, units: UnitIds, part: str, size: int) -> Chunk:
     """Best scores from each entry to each exit state of a chunk of ``size`` characters."""
     states = vocabulary.longest
     out = np.full((states, states), NEVER, dtype=np.int64)
@@ -121,19 +146,48 @@ def transfer(vocabulary: Vocabulary, part: str, size: int) -> np.ndarray:
     def exits(best: list[int], base: int) -> list[int]:
         return [best[base + t] if base + t < len(best) else NEVER for t in range(states)]
 
-    cuts = [i for i in range(states - 1, size + 1) if vocabulary.is_cut(part, i)]
-    if cuts:
-        first, last = cuts[0], cuts[-1]
-        middle = forward(vocabulary, part[first:last], [0], last - first)[0][-1] if last > first else 0
-        tail = exits(forward(vocabulary, part[last:], [0], size - last)[0], size - last)
+    first = next((i for i in range(states - 1, size + 1) if vocabulary.is_cut(part, i)), None)
+    if first is None:
         for s in range(states):
-            head = forward(vocabulary, part[:first], [NEVER] * s + [0], first)[0][first]
-            if head > NEVER:
-                out[s] = [NEVER if t == NEVER else head + middle + t for t in tail]
-        return out
+            out[s] = exits(forward(vocabulary, part, [NEVER] * s + [0], size)[0], size)
+        return Chunk(out, part, size, b"", "", -1)
+    last = next(i for i in range(size, first - 1, -1) if i == first or vocabulary.is_cut(part, i))
+    found = [units[u] for u in vocabulary.units.findall(part[first:last])]
+    middle = sum(score for _, score in found)
+    tail = exits(forward(vocabulary, part[last:], [0], size - last)[0], size - last)
     for s in range(states):
-        out[s] = exits(forward(vocabulary, part, [NEVER] * s + [0], size)[0], size)
-    return out
+        head = forward(vocabulary, part[:first], [NEVER] * s + [0], first)[0][first]
+        if head > NEVER:
+            out[s] = [NEVER if t == NEVER else head + middle + t for t in tail]
+    return Chunk(out, part[:first], first, b"".join(ids for ids, _ in found), part[last:], size - last)
+
+
+def state_map(vocabulary: Vocabulary, entry: list[int], head: str, head_size: int, tail_size: int) -> bytes:
+    """For every exit state of a chunk, the entry state its best way leads back to."""
+    _, start = forward(vocabulary, head, entry, head_size)
+    back = []
+    for state in range(vocabulary.longest):
+        at = head_size + (state if tail_size < 0 else 0)
+        if at >= len(start) or start[at] == -2:
+            back.append(0)
+            continue
+        while start[at] >= 0:
+            at = start[at]
+        back.append(at)
+    return bytes(back)
+
+
+def chunk_ids(vocabulary: Vocabulary, entry: list[int], exit_state: int, chunk: Chunk) -> np.ndarray:
+    """Ids of the pieces that start in a chunk, given where it is entered and left."""
+    _, start = forward(vocabulary, chunk.head, entry, chunk.head_size)
+    cut = chunk.tail_size >= 0
+    ids, _ = backtrace(vocabulary, chunk.head, start, chunk.head_size + (0 if cut else exit_state))
+    parts = [np.array(ids, dtype=np.int32), np.frombuffer(chunk.middle, dtype=np.int32)]
+    if cut:
+        _, start = forward(vocabulary, chunk.tail, [0], chunk.tail_size)
+        ids, _ = backtrace(vocabulary, chunk.tail, start, chunk.tail_size + exit_state)
+        parts.append(np.array(ids, dtype=np.int32))
+    return np.concatenate(parts)
 
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -150,10 +204,18 @@ def _chunk_rows(batch: pa.RecordBatch) -> Iterator[dict]:
     yield from batch.to_pylist()
 
 
+_CHUNKS = "row long, chunk long, m binary, head string, head_size long, middle binary, tail string, tail_size long"
+
+
 def _transfers(vocabulary: Vocabulary, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    units = UnitIds(vocabulary)
+    names = ["row", "chunk", "m", "head", "head_size", "middle", "tail", "tail_size"]
+    kinds = [pa.binary(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int64()]
     for batch in batches:
-        made = [transfer(vocabulary, r["part"], r["size"]).tobytes() for r in _chunk_rows(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=["row", "chunk", "m"])
+        made = [transfer(vocabulary, units, r["part"], r["size"]) for r in _chunk_rows(batch)]
+        rows = [(c.matrix.tobytes(), c.head, c.head_size, c.middle, c.tail, c.tail_size) for c in made]
+        columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
 
 def _square(data: bytes, states: int) -> np.ndarray:
@@ -185,22 +247,11 @@ def _entries(states: int, given: bool, batches: Iterable[pa.RecordBatch]) -> Ite
 
 
 def _state_maps(vocabulary: Vocabulary, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For every exit state of a chunk, the entry state its best way leads back to."""
     for batch in batches:
-        maps = []
-        for r in _chunk_rows(batch):
-            entry = np.frombuffer(r["v"], dtype=np.int64).tolist()
-            _, start = forward(vocabulary, r["part"], entry, r["size"])
-            back = []
-            for state in range(vocabulary.longest):
-                at = r["size"] + state
-                if at >= len(start) or start[at] == -2:
-                    back.append(0)
-                    continue
-                while start[at] >= 0:
-                    at = start[at]
-                back.append(at)
-            maps.append(bytes(back))
+        maps = [
+            state_map(vocabulary, np.frombuffer(r["v"], dtype=np.int64).tolist(), r["head"], r["head_size"], r["tail_size"])
+            for r in _chunk_rows(batch)
+        ]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())], names=["row", "chunk", "back"])
 
 
@@ -223,9 +274,8 @@ def _chunk_ids(vocabulary: Vocabulary, batches: Iterable[pa.RecordBatch]) -> Ite
     for batch in batches:
         made = []
         for r in _chunk_rows(batch):
-            entry = np.frombuffer(r["v"], dtype=np.int64).tolist()
-            _, start = forward(vocabulary, r["part"], entry, r["size"])
-            made.append(np.array(backtrace(vocabulary, r["part"], start, r["size"] + r["exit"])[0], dtype=np.int32))
+            chunk = Chunk(np.empty((0, 0)), r["head"], r["head_size"], r["middle"], r["tail"], r["tail_size"])
+            made.append(chunk_ids(vocabulary, np.frombuffer(r["v"], dtype=np.int64).tolist(), r["exit"], chunk))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(made)], names=["row", "chunk", "ids"])
 
 
@@ -241,9 +291,9 @@ def scan(long: DataFrame, vocabulary: Vocabulary, staging: Staging, chunk: int =
     split = long.select("text", "_row").mapInArrow(
         functools.partial(_split, max(chunk, states), reach), "row long, chunk long, chunks long, size long, part string"
     )
-    chunks = staging.keep(split.repartition("row", "chunk"), "chunks")
-    matrices = staging.keep(chunks.mapInArrow(functools.partial(_transfers, vocabulary), binary), "matrices")
-    grouped = matrices.groupBy("row", F.expr(f"chunk div {GROUP}").alias("part")).agg(
+    dealt = split.repartition("row", "chunk")
+    chunks = staging.keep(dealt.mapInArrow(functools.partial(_transfers, vocabulary), _CHUNKS), "chunks")
+    grouped = chunks.groupBy("row", F.expr(f"chunk div {GROUP}").alias("part")).agg(
         F.collect_list(F.struct("chunk", "m")).alias("parts")
     )
     products = grouped.mapInArrow(functools.partial(_products, states), binary)
@@ -253,8 +303,9 @@ def scan(long: DataFrame, vocabulary: Vocabulary, staging: Staging, chunk: int =
     entries = staging.keep(
         grouped.join(starts, ["row", "part"]).mapInArrow(functools.partial(_entries, states, True), vectors), "entries"
     )
-    entered = chunks.join(entries, ["row", "chunk"])
-    maps = entered.mapInArrow(functools.partial(_state_maps, vocabulary), "row long, chunk long, back binary")
+    entered = chunks.drop("m").join(entries, ["row", "chunk"])
+    ends = entered.select("row", "chunk", "v", "head", "head_size", "tail_size")
+    maps = ends.mapInArrow(functools.partial(_state_maps, vocabulary), "row long, chunk long, back binary")
     ways = maps.groupBy("row").agg(F.collect_list(F.struct("chunk", "back")).alias("parts"))
     exits = staging.keep(ways.mapInArrow(_exits, "row long, chunk long, exit int"), "exits")
     made = entered.join(exits, ["row", "chunk"]).mapInArrow(

@@ -13,6 +13,8 @@ import math
 import re
 from dataclasses import dataclass
 
+import ahocorasick
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10
 NEVER = -(1 << 60)
@@ -114,6 +116,63 @@ def backtrace(vocabulary: Vocabulary, text: str, start: list[int], at: int) -> t
     return [i for piece in reversed(pieces) for i in piece_ids(vocabulary, piece)], at
 
 
-def unit_ids(vocabulary: Vocabulary, unit: str) -> list[int]:
-    _, start = forward(vocabulary, unit, [0], len(unit))
-    return backtrace(vocabulary, unit, start, len(unit))[0]
+def automaton(vocabulary: Vocabulary) -> ahocorasick.Automaton:
+    """Finds every piece in a text; a match tells the piece's length, score and id."""
+    found = ahocorasick.Automaton()
+    for piece, (number, score) in vocabulary.pieces.items():
+        found.add_word(piece, (len(piece), score, number))
+    found.make_automaton()
+    return found
+
+
+def segment(vocabulary: Vocabulary, matcher: ahocorasick.Automaton, unit: str) -> tuple[list[int], int]:
+    """Ids and score of the best segmentation. Matches come by end, longest (earliest start) first."""
+    best, last = [0], []
+    unknown = vocabulary.unknown
+    matches = iter(matcher.iter(unit))
+    end, found = next(matches, (-1, None))
+    for at in range(len(unit)):
+        score, piece, own = NEVER, (1, -1), False
+        while end == at:
+            length, worth, number = found
+            total = best[at + 1 - length] + worth
+            if total > score:
+                score, piece = total, (length, number)
+            own |= length == 1
+            end, found = next(matches, (-1, None))
+        if not own and best[at] + unknown > score:
+            score, piece = best[at] + unknown, (1, -1)
+        best.append(score)
+        last.append(piece)
+    ids: list[int] = []
+    at = len(unit)
+    while at > 0:
+        length, number = last[at - 1]
+        if number >= 0:
+            ids.append(number)
+        else:
+            ids.extend(vocabulary.byte_ids[b] for b in reversed(unit[at - 1].encode("utf-8", "replace")))
+        at -= length
+    ids.reverse()
+    return ids, best[-1]
+
+
+class Remembered(dict):
+    """Results per unit, made when first met. Two generations of ``most`` units are kept, so that
+    units in use stay and memory is bounded; units longer than ``longest`` are not kept."""
+
+    def __init__(self, make, most: int = 150_000, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest = make, most, longest
+        self.older: dict = {}
+
+    def __missing__(self, unit: str):
+        value = self.older.pop(unit, None)
+        if value is None:
+            value = self.make(unit)
+        if len(unit) <= self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = value
+        return value
