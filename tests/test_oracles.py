@@ -31,8 +31,7 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
 
-# test_jobs.py walks through whole runs in more detail; here they would only take long.
-STEPS = sorted(n for n in plan_queries.QUERIES if not n.startswith("job_"))
+STEPS = sorted(plan_queries.QUERIES)
 
 
 @pytest.mark.parametrize("name", STEPS)

@@ -7,23 +7,30 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Keys tracked at once, and entries of the sketch that finds them.
 HEAVY_LIMIT = 256
-SPREAD_SLOTS = 4096
+SKETCH_ENTRIES = 16_384
 
 
-def heavy_keys(df: DataFrame, key: str, limit: int = HEAVY_LIMIT) -> DataFrame:
-    """The most frequent keys, at most ``limit`` of them.
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    Counts are combined map-side, so the scan of this one column shuffles one row per key and
-    task at most. Which keys make the list only steers the join strategy, never its result.
+
+def heavy_keys(df: DataFrame, key: str, limit: int = HEAVY_LIMIT, least_share: float | None = None) -> DataFrame:
+    """Keys that hold a large share of the rows: by default more than an eighth of a partition's.
+
+    Found by a sketch of bounded size in one aggregation, without a shuffle of keys. Which keys
+    make the list only steers the join strategy, never its result, and no more than a few thousand
+    keys can have so large a share; rarer ones share partitions as usual.
     """
+    share = 1 / (8 * _partitions(df)) if least_share is None else least_share
+    found = df.where(F.col(key).isNotNull()).agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(`{key}`, {limit}, {max(limit, SKETCH_ENTRIES)})").alias("top")
+    )
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .count()
-        .orderBy(F.desc("count"), F.col(key))
-        .limit(limit)
-        .select(key)
+        found.select("rows", F.explode("top").alias("t"))
+        .where(F.col("t.count") >= F.col("rows") * share)
+        .select(F.col("t.item").alias(key))
     )
 
 
@@ -39,8 +46,8 @@ def lookup(
     Without ``heavy`` this is a plain left join: Spark broadcasts the right side when its size
     allows and otherwise splits skewed partitions adaptively. With ``heavy`` (a bounded key
     list, see ``heavy_keys``) those keys are matched by a broadcast of at most that many rows,
-    found or not, and their rows and the NULL keys are scattered over many hash slots for the
-    remaining join instead of meeting in one task.
+    found or not, and their rows and the NULL keys are scattered over a few hash slots per shuffle
+    partition for the remaining join instead of meeting in one task.
     """
     if heavy is None:
         return left.join(right, key, "left").select(*left.columns, *_carried(right, key))
@@ -53,7 +60,7 @@ def lookup(
     first = left.join(F.broadcast(settled_keys), F.col(key) == F.col("_heavy"), "left")
 
     settled = F.col("_heavy").isNotNull() | F.col(key).isNull()
-    slot = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(SPREAD_SLOTS))
+    slot = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(max(64, 4 * _partitions(left))))
     first = first.select(
         "*",
         F.when(~settled, F.col(key)).alias("_probe"),

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,9 +62,10 @@ from tierlake.sources.store import LayerStore
 FULL, INCREMENTAL = "full", "incremental"
 DIMS = ("dim_tiempo", "dim_paciente", *LOOKUP_DIMS.values())
 
+# Columns of the two log tables.
 RUN_LOG_SCHEMA = (
     "run_id STRING, batch_id STRING, stage STRING, status STRING, started_at TIMESTAMP, "
-    "ended_at TIMESTAMP, rows_in BIGINT, rows_out BIGINT, rows_rejected BIGINT, error_message STRING"
+    "ended_at TIMESTAMP, rows_in BIGINT, rows_out BIGINT, rows_rejected BIGINT, error_message STRING, checks_failed BIGINT"
 )
 QUALITY_LOG_SCHEMA = (
     "check_id STRING, batch_id STRING, severity STRING, table_name STRING, passed BOOLEAN, "
@@ -112,7 +114,7 @@ class RunResult:
     loaded: tuple[LoadResult, ...]
     cleaned: tuple[CleanResult, ...]
     gold_rows: Mapping[str, int]
-    quality: q.QualityReport | None
+    quality: DataFrame | None  # one row per check
 
     @property
     def rows_in(self) -> int:
@@ -407,11 +409,25 @@ def build_gold(settings: Settings, run: Run) -> dict[str, int]:
 
 
 def publish(settings: Settings) -> None:
-    """Register the layers in the catalog so SQL users can query ``layer.table``."""
-    entities = [s.name for s in ENTITIES]
-    settings.store.publish(
-        {"bronze": entities, "silver": entities, "gold": [*DIMS, *[f.name for f in FACTS]]}
-    )
+    """Register all layers in the catalog so SQL users can query ``layer.table``."""
+    store = settings.store
+    batches = ("_entity", "_batch_id")
+    tables: dict[str, dict[str, tuple[T.StructType, tuple[str, ...]]]] = {
+        "bronze": {s.name: (bronze_table(store, s).schema, (BUCKET,)) for s in ENTITIES if store.exists("bronze", s.name)},
+        "silver": {s.name: (silver_table(store, s).schema, (BUCKET,)) for s in ENTITIES if store.exists("silver", s.name)},
+        "gold": {n: (store.read("gold", n).schema, ()) for n in (*DIMS, *[f.name for f in FACTS]) if store.exists("gold", n)},
+        "ops": {
+            "pipeline_runs": (T.StructType.fromDDL(RUN_LOG_SCHEMA), ()),
+            "data_quality_results": (T.StructType.fromDDL(QUALITY_LOG_SCHEMA), ()),
+        },
+    }
+    if store.exists("bronze", "quarantine"):
+        tables["bronze"]["quarantine"] = (quarantine_table(store).schema, batches)
+    if store.exists("silver", "rejects"):
+        tables["silver"]["rejects"] = (rejects_table(store).schema, batches)
+    if store.exists("ops", "ingestion_watermark"):
+        tables["ops"]["ingestion_watermark"] = (settings.marks.table().schema, ("layer", "source_table"))
+    store.publish(tables)
 
 
 # --- quality -----------------------------------------------------------------------------------
@@ -594,32 +610,37 @@ def already_succeeded(store: LayerStore, batch_id: str) -> bool:
     return not done.isEmpty()
 
 
-def log_quality(settings: Settings, quality: q.QualityReport, run: Run) -> None:
-    rows = [
-        (c.check_id, quality.batch_id, c.severity, c.table_name, c.passed, c.metric_value, c.threshold, run.at)
-        for c in quality.checks
-    ]
-    if rows:
-        frame = settings.store.spark.createDataFrame(rows, QUALITY_LOG_SCHEMA)
-        settings.store.append(frame, "ops", "data_quality_results")
+def log_quality(settings: Settings, results: DataFrame, run: Run) -> None:
+    stamped = results.withColumns({"batch_id": F.lit(run.batch_id), "evaluated_at": run.timestamp()})
+    columns = [field.split()[0] for field in QUALITY_LOG_SCHEMA.split(", ")]
+    settings.store.append(stamped.select(*columns), "ops", "data_quality_results")
 
 
 # --- runs --------------------------------------------------------------------------------------
 
 
-def log_run(
-    settings: Settings,
-    run_id: str,
-    run: Run,
-    stage: str,
-    status: str,
-    ended_at: datetime,
-    rows: tuple[int | None, int | None, int | None] = (None, None, None),
-    error: str | None = None,
-) -> None:
-    row = (run_id, run.batch_id, stage, status, run.at, ended_at, *rows, error)
-    frame = settings.store.spark.createDataFrame([row], RUN_LOG_SCHEMA)
-    settings.store.append(frame, "ops", "pipeline_runs")
+@dataclass
+class StageNote:
+    """What a stage has to say when it ends."""
+
+    rows: tuple[int | None, int | None, int | None] = (None, None, None)
+    checks_failed: int | None = None
+
+
+@contextmanager
+def logged_stage(settings: Settings, run: Run, run_id: str, stage: str) -> Iterator[StageNote]:
+    """Log a stage with its own start and end, and how it ended."""
+    note, started, error = StageNote(), _now(), None
+    try:
+        yield note
+    except Exception as failure:
+        error = str(failure)
+        raise
+    finally:
+        status = "success" if error is None else "failed"
+        row = (run_id, run.batch_id, stage, status, started, _now(), *note.rows, error, note.checks_failed)
+        frame = settings.store.spark.createDataFrame([row], RUN_LOG_SCHEMA)
+        settings.store.append(frame, "ops", "pipeline_runs")
 
 
 def run_bronze(settings: Settings, sources: Mapping[str, DataFrame], run: Run, mode: str = FULL) -> tuple[LoadResult, ...]:
@@ -654,69 +675,55 @@ def run_all(
     ones merge by key, and marks move only after data is written.
     """
     _check_mode(mode)
-    run = run or new_run()
-    stage, rows, error, status = "bronze", (None, None, None), None, "failed"
-    loaded: tuple[LoadResult, ...] = ()
-    cleaned: tuple[CleanResult, ...] = ()
-    gold_rows: dict[str, int] = {}
-    checks: tuple[q.CheckResult, ...] = ()
-    quality = None
-    run_id = str(uuid.uuid4())
+    run, run_id = run or new_run(), str(uuid.uuid4())
     repeated = check and already_succeeded(settings.store, run.batch_id)
     rows_before = silver_counts(settings.store) if check else {}
-    try:
-        loaded = run_bronze(settings, sources, run, mode)
-        rows = (
-            sum(r.rows_read for r in loaded),
-            sum(r.rows_bronze for r in loaded),
-            sum(r.rows_quarantined for r in loaded),
-        )
-        log_run(settings, run_id, run, stage, "success", _now(), rows)
-
-        stage = "silver"
-        before = {s.name: str(settings.marks.get("silver", s.name)) for s in ENTITIES}
-        cleaned = run_silver(settings, run, mode)
-        rows = (
-            sum(r.rows_in for r in cleaned),
-            sum(r.rows_silver for r in cleaned),
-            sum(r.rows_rejected for r in cleaned),
-        )
-        log_run(settings, run_id, run, stage, "success", _now(), rows)
-
+    gold_rows: dict[str, int] = {}
+    results: DataFrame | None = None
+    stage = partial(logged_stage, settings, run, run_id)
+    with stage("pipeline"):
+        with stage("bronze") as note:
+            loaded = run_bronze(settings, sources, run, mode)
+            note.rows = _sums(loaded, "rows_read", "rows_bronze", "rows_quarantined")
+        with stage("silver") as note:
+            marks = {s.name: str(settings.marks.get("silver", s.name)) for s in ENTITIES}
+            cleaned = run_silver(settings, run, mode)
+            note.rows = _sums(cleaned, "rows_in", "rows_silver", "rows_rejected")
         if check:
-            stage = "quality"
-            frames = bronze_results(settings) + silver_results(settings) + mark_results(settings, before)
+            frames = bronze_results(settings) + silver_results(settings)
             if mode == FULL:
                 frames += load_results(settings, sources, run)
+            else:
+                frames += mark_results(settings, marks)
             if repeated:
                 frames += repeat_results(settings, rows_before, "Q-O03", q.CRIT)
-            elif mode == INCREMENTAL and rows[0] == 0:
+            elif mode == INCREMENTAL and not any(r.rows_in for r in cleaned):
                 frames += repeat_results(settings, rows_before, "Q-O04", q.INFO)
-            checks = q.report(q.all_results(frames), run.batch_id).checks
-            quality = q.QualityReport(run.batch_id, checks)
-            if q.CRIT in fail_on:
-                q.require(quality, (q.CRIT,))
+            gate = fail_on if not gold else tuple(s for s in fail_on if s == q.CRIT)
+            results = _checked(settings, run, stage, frames, gate)
         if gold:
-            stage = "gold"
-            gold_rows = build_gold(settings, run)
-            total = sum(gold_rows.values())
-            log_run(settings, run_id, run, stage, "success", _now(), (total, total, 0))
+            with stage("gold") as note:
+                gold_rows = build_gold(settings, run)
+                total = sum(gold_rows.values())
+                note.rows = (total, total, 0)
         if check and gold:
-            stage = "quality"
-            checks += q.report(q.all_results(gold_results(settings)), run.batch_id).checks
-            quality = q.QualityReport(run.batch_id, checks)
-        if quality is not None:
-            q.require(quality, fail_on)
-        stage, status = "pipeline", "success"
-    except Exception as failure:
-        error = str(failure)
-        raise
-    finally:
-        if quality is not None:
-            log_quality(settings, quality, run)
-        failed = len(quality.failed_ids) if quality is not None else None
-        log_run(settings, run_id, run, stage, status, _now(), (None, None, failed), error)
-    return RunResult(run.batch_id, mode, loaded, cleaned, gold_rows, quality)
+            results = results.unionByName(_checked(settings, run, stage, gold_results(settings), ()))
+            q.require(results, fail_on)
+    return RunResult(run.batch_id, mode, loaded, cleaned, gold_rows, results)
+
+
+def _checked(settings: Settings, run: Run, stage, frames: list[DataFrame], gate: tuple[str, ...]) -> DataFrame:
+    """Evaluate checks, log them, and stop the run if one of the gate's severities failed."""
+    with stage("quality") as note:
+        results = q.evaluated(q.all_results(frames))
+        log_quality(settings, results, run)
+        note.checks_failed = results.where(~F.col("passed")).count()
+        q.require(results, gate)
+    return results
+
+
+def _sums(parts: Iterable, *names: str) -> tuple[int, ...]:
+    return tuple(sum(getattr(p, name) for p in parts) for name in names)
 
 
 def _now() -> datetime:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions import UNKNOWN, ratio, zero_filled
-from tierlake.operators.star import patient_bi
+from tierlake.operators.star import PATIENT_BI_COLUMNS
 
 # Names of the month columns, and below those of the three published views.
 MONTH = ("anio", "mes")
@@ -333,19 +333,42 @@ def run_health(rejects: DataFrame, checks: DataFrame, runs: DataFrame, batch_id:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("metric", "value")
 
 
-def create_kpi_views(
-    spark: SparkSession, database: str = "gold", summary_view: str = "v_kpi_resumen"
-) -> None:
-    """Catalog views over published gold tables, for SQL users."""
-    table = lambda name: spark.table(f"{database}.{name}")
-    calendar = table("dim_tiempo")
-    views = {
-        "v_kpi_operacion_citas": appointment_operations(table("fact_citas"), calendar),
-        "v_kpi_facturacion_mensual": billing_monthly(table("fact_facturacion"), calendar),
-        summary_view: monthly_summary(
-            table("fact_citas"), table("fact_facturacion"), calendar, unique_appointments=True
-        ),
-        "dim_paciente_bi": patient_bi(table("dim_paciente")),
-    }
-    for name, frame in views.items():
-        frame.createOrReplaceTempView(name)
+# The published views' names, columns and rules.
+_VIEWS = {
+    "v_kpi_operacion_citas": """
+        SELECT fecha_cita, anio, mes, especialidad, sede, estado_cita, count(*) AS total_citas, sum(es_atendida) AS citas_atendidas,
+          sum(es_cancelada) AS citas_canceladas, sum(es_no_asistencia) AS citas_no_asistencia
+        FROM {db}.fact_citas LEFT JOIN {db}.dim_tiempo ON sk_fecha_cita = sk_fecha
+        GROUP BY fecha_cita, anio, mes, especialidad, sede, estado_cita""",
+    "v_kpi_facturacion_mensual": """
+        SELECT anio, mes, pagador, tipo_servicio, sum(valor_bruto) AS total_bruto, sum(valor_descuento) AS total_descuento,
+          sum(valor_neto) AS total_neto, sum(CASE WHEN es_factura_anulada = 0 THEN valor_neto ELSE 0 END) AS ingreso_neto_vigente,
+          sum(monto_cartera) AS cartera_pendiente, count(*) AS lineas_factura
+        FROM {db}.fact_facturacion LEFT JOIN {db}.dim_tiempo ON sk_fecha_factura = sk_fecha
+        GROUP BY anio, mes, pagador, tipo_servicio""",
+    "summary": """
+        WITH visits AS (
+          SELECT anio, mes, count(id_cita) AS total_citas, sum(es_atendida) AS attended, sum(es_cancelada) AS cancelled,
+            sum(es_no_asistencia) AS missed
+          FROM {db}.fact_citas JOIN {db}.dim_tiempo ON sk_fecha_cita = sk_fecha GROUP BY anio, mes
+        ), money AS (
+          SELECT anio, mes, sum(CASE WHEN es_factura_anulada = 0 THEN valor_neto ELSE 0 END) AS income,
+            sum(monto_cartera) AS due, count(id_factura) AS lines
+          FROM {db}.fact_facturacion JOIN {db}.dim_tiempo ON sk_fecha_factura = sk_fecha GROUP BY anio, mes
+        )
+        SELECT anio, mes, coalesce(total_citas, 0) AS total_citas, coalesce(attended, 0) AS citas_atendidas,
+          coalesce(cancelled, 0) AS citas_canceladas, coalesce(missed, 0) AS citas_no_asistencia,
+          round(attended / nullif(attended + cancelled + missed, 0), 4) AS tasa_asistencia,
+          round(cancelled / nullif(total_citas, 0), 4) AS tasa_cancelacion,
+          coalesce(income, 0) AS ingreso_neto, coalesce(due, 0) AS cartera_pendiente,
+          round(income / nullif(lines, 0), 2) AS ticket_promedio
+        FROM visits FULL JOIN money USING (anio, mes)""",
+}
+
+
+def create_kpi_views(spark: SparkSession, database: str = "gold", summary_view: str = "v_kpi_resumen") -> None:
+    """Views in the catalog over published gold tables, for every session that shares it."""
+    views = {summary_view if name == "summary" else name: text.format(db=database) for name, text in _VIEWS.items()}
+    views["dim_paciente_bi"] = f"SELECT {', '.join(PATIENT_BI_COLUMNS)} FROM {database}.dim_paciente"
+    for name, text in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text}")

@@ -596,6 +596,17 @@ def _finals() -> dict[str, str]:
                 ) + ")",
             ]
         ),
+        "job_published_tables": f"""SELECT 'silver.rejects' AS table_name, count(*) AS rows FROM ({_REJECTS})
+            UNION ALL SELECT 'bronze.quarantine', ({" + ".join(f"(SELECT count(*) FROM loaded_{n} WHERE {_missing(_PK[n])})" for n in STATEMENTS)})
+            UNION ALL SELECT 'gold.dim_paciente_bi', count(*) FROM dim_pac
+            UNION ALL SELECT 'gold.v_kpi_resumen', count(*) FROM ({_SUMMARY.format(known="anio IS NOT NULL")})
+            UNION ALL SELECT 'ops.ingestion_watermark', 8""",
+        "job_incremental_state": " UNION ALL ".join(
+            f"SELECT '{n}' AS _entity, {_PK[n]} AS key, _row_hash FROM silver_{n}" for n in STATEMENTS
+        ),
+        "job_with_empty_entity": """SELECT 'silver.pacientes' AS table_name, count(*) AS rows FROM silver_pacientes
+            UNION ALL SELECT 'silver.citas', count(*) FROM silver_citas UNION ALL SELECT 'gold.fact_citas', count(*) FROM fact_cit
+            UNION ALL SELECT n, 0 FROM (VALUES ('silver.eventos_clinicos'), ('silver.facturacion'), ('gold.fact_eventos_clinicos'), ('gold.fact_facturacion')) v(n)""",
         "snapshot_partition_replaced": f"""SELECT b AS _batch_id, (SELECT count(*) FROM bronze_pacientes) AS rows
             FROM (VALUES ('{_BATCH}'), ('20020102_000000_cafe0002')) v(b)""",
         "clustered_fact_rows": f"SELECT CAST(year(fecha_cita) AS INTEGER) AS anio, count(*) AS rows, {_int('sum(sk_paciente)', 'key_sum')} FROM fact_cit GROUP BY 1",

@@ -33,6 +33,7 @@ from tierlake.operators import profile, quality
 from tierlake.operators.dedupe import latest_per_key, newest_first
 from tierlake.operators.entity import Run, add_lineage, attach_parents, reject_counts, union_rejects
 from tierlake.operators.history import first_versions, next_versions
+from tierlake.operators.skew import lookup
 from tierlake.operators.star import FACTS, calendar, calendar_of, patient_bi
 from tierlake.operators.surrogate import dense_key, stable_key
 from tierlake.operators.upsert import BUCKET, mark_missing, overwrite_bucketed, upsert_table
@@ -283,24 +284,28 @@ def row_conservation(c: Chain) -> DataFrame:
     return _labelled({s.name: count(s) for s in ENTITIES}, "_entity")
 
 
+def _with_patient(c: Chain) -> DataFrame:
+    known = c.silver("pacientes").select("id_paciente", F.lit(True).alias("_known"))
+    return lookup(c.latest("citas"), known, "id_paciente", c.heavy("citas", "id_paciente"), ["id_cita"])
+
+
 @query
 def appointments_of_known_patients(c: Chain) -> DataFrame:
-    known = c.silver("pacientes").select("id_paciente")
-    return c.latest("citas").join(known, "id_paciente", "left_semi").select("id_cita", "id_paciente")
+    return _with_patient(c).where("_known").select("id_cita", "id_paciente")
 
 
 @query
 def orphan_appointments(c: Chain) -> DataFrame:
-    known = c.silver("pacientes").select("id_paciente")
-    return c.latest("citas").join(known, "id_paciente", "left_anti").select("id_cita", "id_paciente")
+    return _with_patient(c).where("_known IS NULL").select("id_cita", "id_paciente")
 
 
 @query
 def event_patient_coherence(c: Chain) -> DataFrame:
     spec = BY_NAME["eventos_clinicos"]
     parents = {"citas": c.silver("citas"), "pacientes": c.silver("pacientes")}
+    heavy = {ref.column: c.heavy(spec.name, ref.column) for ref in spec.parents}
     return (
-        attach_parents(spec, c.latest(spec.name), parents)
+        attach_parents(spec, c.latest(spec.name), parents, heavy)
         .groupBy("paciente_coherente_con_cita")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
@@ -786,7 +791,18 @@ def job_stored_summary(c: Chain) -> DataFrame:
     settings = _loaded_store(c)
     jobs.publish(settings)
     kpis.create_kpi_views(c.spark)
-    return c.spark.sql("SELECT * FROM v_kpi_resumen ORDER BY anio, mes")
+    return c.spark.newSession().sql("SELECT * FROM gold.v_kpi_resumen ORDER BY anio, mes")
+
+
+@query
+def job_published_tables(c: Chain) -> DataFrame:
+    """Rows of log, reject and quarantine tables and of a view, by catalog name from another session."""
+    settings = _loaded_store(c)
+    jobs.publish(settings)
+    kpis.create_kpi_views(c.spark)
+    other = c.spark.newSession()
+    names = ("bronze.quarantine", "silver.rejects", "gold.dim_paciente_bi", "gold.v_kpi_resumen", "ops.ingestion_watermark")
+    return _labelled({n: other.table(n).agg(F.count(F.lit(1)).alias("rows")) for n in names}, "table_name")
 
 
 @query
@@ -825,6 +841,39 @@ def job_incremental_runs(c: Chain) -> DataFrame:
     return c.spark.createDataFrame(rows, "run INT, _entity STRING, rows_read BIGINT, rows_cleaned BIGINT")
 
 
+@query
+def job_incremental_state(c: Chain) -> DataFrame:
+    """Silver after a full load of part of the data and two increments: late parents first, then
+    all remaining versions, valid or not. It must hold what a rebuild from all rows holds."""
+    settings = jobs.Settings(_fresh_store(c), 8, lookback="20000 days")
+    everything = {s.name: c.raw(s.name) for s in ENTITIES}
+    cursor = parse_timestamp(CURSOR)
+    early = everything["citas"].where(cursor.isNull() | (cursor <= F.lit(MARK).cast("timestamp")))
+    # Rows without a cursor arrive with full loads only.
+    some = everything["pacientes"].where(cursor.isNull() | (F.pmod(F.xxhash64("id_paciente"), F.lit(2)) == 0))
+    jobs.run_all(settings, {**everything, "citas": early, "pacientes": some}, RUN, gold=False, check=False)
+    for number, sources in enumerate(({**everything, "citas": early}, everything), 1):
+        at = RUN.at + timedelta(days=number)
+        run = Run(f"{at:%Y%m%d}_000000_cafe100{number}", at, RUN.as_of)
+        jobs.run_all(settings, sources, run, jobs.INCREMENTAL, gold=False, check=False)
+    silver = {s.name: jobs.silver_table(settings.store, s).select(F.col(s.pk).alias("key"), "_row_hash") for s in ENTITIES}
+    return _labelled(silver, "_entity")
+
+
+@query
+def job_with_empty_entity(c: Chain) -> DataFrame:
+    """A full run in which one entity delivers nothing and another nothing valid."""
+    settings = jobs.Settings(_fresh_store(c), 8)
+    sources = {s.name: c.raw(s.name) for s in ENTITIES}
+    sources["eventos_clinicos"] = sources["eventos_clinicos"].where("id_evento = ''")
+    sources["facturacion"] = sources["facturacion"].withColumn("id_paciente", F.lit("nobody"))
+    jobs.run_all(settings, sources, RUN, check=False)
+    store = settings.store
+    tables = {f"silver.{s.name}": jobs.silver_table(store, s) for s in ENTITIES}
+    tables |= {f"gold.{f.name}": store.read("gold", f.name) for f in FACTS}
+    return _labelled({n: t.agg(F.count(F.lit(1)).alias("rows")) for n, t in tables.items()}, "table_name")
+
+
 @query
 def snapshot_partition_replaced(c: Chain) -> DataFrame:
     """Two batches kept side by side; loading the first again replaces only its partition."""

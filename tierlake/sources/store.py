@@ -147,20 +147,27 @@ class LayerStore:
             .parquet(self.path(layer, name))
         )
 
-    def publish(self, tables: Mapping[str, Iterable[str]]) -> None:
-        """Register tables as ``layer.name`` in the session catalog, over the same files."""
-        for layer, names in tables.items():
+    def publish(self, tables: Mapping[str, Mapping[str, tuple[T.StructType, Iterable[str]]]]) -> None:
+        """Register stored tables as ``layer.name`` in the catalog, over the same files.
+
+        Each name comes with its declared schema and partition columns, so that tables without
+        rows, and files that lack each other's columns, are read as one table.
+        """
+        for layer, named in tables.items():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            for name in names:
+            for name, (schema, partition_by) in named.items():
+                if not self.exists(layer, name):
+                    continue
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+                keys = ", ".join(f"`{c}`" for c in partition_by)
                 self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-                self.spark.catalog.createTable(f"{layer}.{name}", self.path(layer, name), "parquet")
-                self._recover(layer, name)
-
-    def _recover(self, layer: str, name: str) -> None:
-        """Make partition folders visible to the catalog."""
-        described = self.spark.catalog.listColumns(f"{layer}.{name}")
-        if any(column.isPartition for column in described):
-            self.spark.sql(f"MSCK REPAIR TABLE {layer}.{name}")
+                self.spark.sql(
+                    f"CREATE TABLE {layer}.{name} ({columns}) USING parquet "
+                    + (f"PARTITIONED BY ({keys}) " if keys else "")
+                    + f"LOCATION '{self.path(layer, name)}'"
+                )
+                if keys:
+                    self.spark.sql(f"MSCK REPAIR TABLE {layer}.{name}")
 
     @staticmethod
     def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
