@@ -373,6 +373,55 @@ def _quality() -> str:
     return f"SELECT replace(check_id, 'Q-SLA-', 'Q-SLA-silver.') AS check_id, severity, metric_value, {rule} AS passed FROM ({body})"
 
 
+def _has(key: str, digit: str) -> str:
+    return f"starts_with(md5({key}), '{digit}')"
+
+
+_STEPS["hurt_citas"] = f"""
+SELECT * REPLACE (CASE WHEN {_has('id_cita', '2')} THEN 'nobody' ELSE id_paciente END AS id_paciente,
+  CASE WHEN {_has('id_cita', '3')} THEN 'Otra' ELSE estado_cita END AS estado_cita)
+FROM (SELECT * FROM silver_citas UNION ALL SELECT * FROM silver_citas WHERE {_has('id_cita', '1')})"""
+_STEPS["hurt_eventos"] = f"""
+SELECT * REPLACE (CASE WHEN {_has('id_evento', '4')} THEN 'none' ELSE id_cita END AS id_cita,
+  CASE WHEN {_has('id_evento', '5')} THEN 'nobody' ELSE id_paciente END AS id_paciente) FROM silver_eventos_clinicos"""
+_STEPS["hurt_bills"] = f"""
+SELECT * REPLACE (CASE WHEN {_has('id_factura', '6')} THEN valor_neto + 1 ELSE valor_neto END AS valor_neto,
+  CASE WHEN {_has('id_factura', '7')} THEN -1 ELSE valor_bruto END AS valor_bruto,
+  CASE WHEN {_has('id_factura', '8')} THEN 'none' ELSE id_cita END AS id_cita) FROM silver_facturacion"""
+
+
+def _failures() -> str:
+    sizes = {"pacientes": "silver_pacientes", "citas": "hurt_citas", "eventos_clinicos": "hurt_eventos", "facturacion": "hurt_bills"}
+    facts = {"fact_citas": ("fact_cit", "id_cita"), "fact_eventos_clinicos": ("fact_eve", "id_evento"), "fact_facturacion": ("fact_fac", "id_factura")}
+    facts_of = dict(zip(facts, list(sizes.values())[1:]))
+    checks = {}
+    for n, table in sizes.items():
+        checks[f"Q-B00-{n}"] = "SELECT 0"
+        checks[f"Q-B02-{n}"] = f"SELECT count(*) FROM bronze_{n} WHERE {_has('_row_hash', '9')}"
+        checks[f"Q-B03-{n}"] = f"SELECT count(*) FROM bronze_{n} WHERE {_has('_row_hash', 'a')}"
+        checks[f"Q-S01-{n}"] = f"SELECT count({_PK[n]}) - count(DISTINCT {_PK[n]}) FROM {table}"
+        checks[f"Q-COUNT-{n}"] = f"SELECT count(*) FROM {table}"
+    orphan = "SELECT count(*) FROM {0} WHERE {2} NOT IN (SELECT {2} FROM {1})"
+    checks |= {
+        "Q-S02": orphan.format("hurt_citas", "silver_pacientes", "id_paciente"),
+        "Q-S03": orphan.format("hurt_eventos", "hurt_citas", "id_cita"),
+        "Q-S04": orphan.format("hurt_eventos", "silver_pacientes", "id_paciente"),
+        "Q-S05": "SELECT count(*) FROM hurt_eventos e JOIN hurt_citas v ON e.id_cita = v.id_cita WHERE e.id_paciente <> v.id_paciente",
+        "Q-S06": orphan.format("hurt_bills", "hurt_citas", "id_cita"),
+        "Q-S07": orphan.format("hurt_bills", "silver_pacientes", "id_paciente"),
+        "Q-S08": "SELECT count(*) FROM hurt_bills WHERE round(valor_bruto - valor_descuento, 2) <> round(valor_neto, 2)",
+        "Q-S09": "SELECT count(*) FROM hurt_bills WHERE valor_bruto < 0 OR valor_descuento < 0 OR valor_neto < 0",
+        "Q-S12": "SELECT count(*) FROM hurt_citas WHERE estado_cita NOT IN ('Atendida', 'Programada', 'Cancelada', 'No asistió')",
+    }
+    for name, (step, pk) in facts.items():
+        checks[f"Q-G01-{name}"] = (
+            f"SELECT (SELECT count(*) FROM {facts_of[name]}) - (SELECT count(*) FROM {step} WHERE NOT {_has(pk, 'b')})"
+        )
+        checks[f"Q-G03-{name}"] = f"SELECT count(*) FROM {step} WHERE {_has(pk, 'c')}"
+    rows = " UNION ALL ".join(f"SELECT '{k}' AS check_id, CAST(({v}) AS DOUBLE) AS metric_value" for k, v in checks.items())
+    return f"SELECT check_id, metric_value, check_id NOT LIKE 'Q-COUNT-%' AND metric_value = 0 AS passed FROM ({rows})"
+
+
 _REJECTS = " UNION ALL ".join(
     [
         "SELECT 'pacientes' AS _entity, _reject_reason, id_paciente, NULL AS id_cita, NULL AS id_evento, NULL AS id_factura, NULL AS valor_bruto FROM tagged_pacientes WHERE _reject_reason IS NOT NULL",
@@ -578,6 +627,7 @@ def _finals() -> dict[str, str]:
             ]
         ),
         "job_quality_report": _quality(),
+        "job_quality_failures": _failures(),
         "job_rejects_table": f"SELECT _entity, '{_BATCH}' AS _batch_id, _reject_reason, id_paciente, id_cita, id_evento, id_factura FROM ({_REJECTS})",
         "job_run_health": f"""SELECT 'rejected_rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM ({_REJECTS})
             UNION ALL SELECT 'failed_critical_checks', '0' UNION ALL SELECT 'last_successful_load', 'true'""",

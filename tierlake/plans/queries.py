@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import datetime, date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -778,6 +778,47 @@ def job_quality_report(c: Chain) -> DataFrame:
     )
 
 
+def _starts(key: str, digit: str) -> Column:
+    """A sixteenth of the keys, chosen by their digest."""
+    return F.md5(key).startswith(digit)
+
+
+def _changed(df: DataFrame, key: str, digit: str, column: str, value: Column) -> DataFrame:
+    changed = F.when(_starts(key, digit), value).otherwise(F.col(column))
+    return df.withColumn(column, changed.cast(df.schema[column].dataType))
+
+
+@query
+def job_quality_failures(c: Chain) -> DataFrame:
+    """The checks over copies of all layers that were damaged on purpose, each in a sixteenth of a table."""
+    source = _loaded_store(c).store
+    settings = jobs.Settings(_fresh_store(c), 8, row_bands={s.name: (10**12, 10**13) for s in ENTITIES})
+    silver = {s.name: jobs.silver_table(source, s) for s in ENTITIES}
+    visits = silver["citas"]
+    visits = visits.unionAll(visits.where(_starts("id_cita", "1")))
+    visits = _changed(visits, "id_cita", "2", "id_paciente", F.lit("nobody"))
+    silver["citas"] = _changed(visits, "id_cita", "3", "estado_cita", F.lit("Otra"))
+    events = _changed(silver["eventos_clinicos"], "id_evento", "4", "id_cita", F.lit("none"))
+    silver["eventos_clinicos"] = _changed(events, "id_evento", "5", "id_paciente", F.lit("nobody"))
+    bills = _changed(silver["facturacion"], "id_factura", "6", "valor_neto", F.col("valor_neto") + 1)
+    bills = _changed(bills, "id_factura", "7", "valor_bruto", F.lit(-1))
+    silver["facturacion"] = _changed(bills, "id_factura", "8", "id_cita", F.lit("none"))
+    for spec in ENTITIES:
+        settings.store.overwrite(silver[spec.name], "silver", spec.name, [BUCKET])
+        bronze = _changed(jobs.bronze_table(source, spec), "_row_hash", "9", "_batch_id", F.lit(None))
+        bronze = _changed(bronze, "_row_hash", "a", spec.pk, F.lit("nan"))
+        settings.store.overwrite(bronze, "bronze", spec.name, [BUCKET])
+    for fact in FACTS:
+        rows = source.read("gold", fact.name).where(~_starts(fact.pk, "b"))
+        settings.store.overwrite(_changed(rows, fact.pk, "c", "sk_paciente", F.lit(None)), "gold", fact.name)
+    for name in ("dim_tiempo", "dim_paciente"):
+        settings.store.overwrite(source.read("gold", name), "gold", name)
+    frames = jobs.bronze_results(settings) + jobs.silver_results(settings) + jobs.gold_results(settings)
+    found = quality.all_results(frames).where((F.col("severity") == quality.CRIT) | (F.col("check_id") == "Q-S12"))
+    # Q-S10 compares row hashes with bronze, Q-G02 amounts with silver; both are damaged otherwise.
+    return found.where(~F.col("check_id").isin("Q-S10", "Q-G02", "Q-G04")).select("check_id", "metric_value", "passed")
+
+
 @query
 def job_rejects_table(c: Chain) -> DataFrame:
     return jobs.rejects_table(_loaded_store(c).store).select(
