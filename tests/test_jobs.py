@@ -150,6 +150,33 @@ def test_critical_failure_stops_before_gold_and_is_logged(spark, store, run):
     assert last.status == "failed" and "Q-COUNT-citas" in last.error_message
 
 
+def test_reject_reset_does_not_depend_on_the_overwrite_mode(lake, spark, store, run):
+    schema = jobs.rejects_table(lake[0].store)
+    batch = {"_entity": "citas", "_batch_id": run.batch_id}
+    store.replace_partition(schema.limit(2), "silver", "rejects", batch)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        jobs.reset_rejects(store)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert jobs.rejects_table(store).count() == 0
+
+
+def test_late_parent_and_newly_invalid_version(spark, store, run):
+    """An orphan is taken in when its parent arrives; a key whose newest version is invalid goes."""
+    settings = jobs.Settings(store, buckets=2)
+    jobs.run_all(settings, extracts(spark), run, gold=False, check=False)
+    child = extract(spark, "citas", [{"id_cita": "x1", "id_paciente": "late", "actualizado_en": MID}])
+    jobs.run_all(settings, {**extracts(spark), "citas": child}, later(run, 1), jobs.INCREMENTAL, gold=False, check=False)
+    keys = lambda: {r.id_cita for r in store.read("silver", "citas").select("id_cita").collect()}
+    assert "x1" not in keys() and "c1" in keys()
+    parent = extract(spark, "pacientes", [{"id_paciente": "late", "actualizado_en": NEW}])
+    broken = extract(spark, "citas", [{"id_cita": "c1", "id_paciente": "zz", "actualizado_en": NEW}])
+    sources = {**extracts(spark), "pacientes": parent, "citas": broken}
+    jobs.run_all(settings, sources, later(run, 2), jobs.INCREMENTAL, gold=False, check=False)
+    assert "x1" in keys() and "c1" not in keys()
+
+
 def test_missing_bronze_table_is_reported(spark, store, run):
     found = q.by_severity(q.all_results(jobs.bronze_results(jobs.Settings(store)))).collect()
     assert [r.failed_checks for r in found] == [[f"Q-B00-{n}" for n in sorted(s.name for s in ENTITIES)]]

@@ -11,7 +11,8 @@ from tierlake.operators.history import first_versions, next_versions
 from tierlake.operators.skew import heavy_keys, lookup
 from tierlake.operators.star import calendar, calendar_of, dim_lookup
 from tierlake.operators.surrogate import dense_key, stable_key
-from tierlake.operators.upsert import mark_missing, overwrite_bucketed, upsert_table
+from tierlake.operators.upsert import changed_rows, mark_missing, overwrite_bucketed, replace_keys, upsert_table
+from tierlake.sources.store import LayerStore
 from tierlake.operators.watermark import EPOCH, Watermarks, newer_than
 
 
@@ -181,6 +182,53 @@ def test_unchanged_hash_is_not_rewritten(spark, store):
     assert stamps == {"a": OLD, "b": NEW}
 
 
+def test_identical_delivery_writes_no_file(spark, store):
+    rows = versions(spark, *[(str(i), "1", OLD) for i in range(50)])
+    upsert_table(rows, store, "silver", "t", "k", 4)
+    before = set(store.read("silver", "t").inputFiles())
+    upsert_table(rows, store, "silver", "t", "k", 4, only_changed_by="_row_hash")
+    upsert_table(rows, store, "silver", "t", "k", 4, only_changed_by=["v", "at"])
+    upsert_table(rows, store, "silver", "t", "k", 4, [F.col("at").desc_nulls_last()])
+    assert set(store.read("silver", "t").inputFiles()) == before
+
+
+def test_changes_to_null_and_across_separators_are_seen(spark, store):
+    schema = "k STRING, a STRING, b STRING"
+    old = spark.createDataFrame([("1", None, "x"), ("2", "p|q", ""), ("3", "same", None)], schema)
+    new = spark.createDataFrame([("1", "", "x"), ("2", "p", "q|"), ("3", "same", None)], schema)
+    assert {r.k for r in changed_rows(old, new, "k", ["a", "b"]).collect()} == {"1", "2"}
+    at = lambda day: F.lit(f"2026-01-0{day} 00:00:00").cast("timestamp")
+    history = next_versions(first_versions(old, "k", ["a", "b"], at(1)), new, "k", ["a", "b"], at(2))
+    assert rows_of(history.where("NOT _is_current").select("k")) == [("1",), ("2",)]
+
+
+def test_interrupted_swap_is_repeated(spark, store, monkeypatch):
+    upsert_table(versions(spark, ("a", "1", OLD), ("b", "1", OLD)), store, "silver", "t", "k", 2)
+    real = LayerStore.redo
+    calls = []
+
+    def fails_once(self, *args):
+        calls.append(args)
+        if len(calls) == 4:  # after the rows were written aside
+            raise RuntimeError("driver lost")
+        return real(self, *args)
+
+    monkeypatch.setattr(LayerStore, "redo", fails_once)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        upsert_table(versions(spark, ("a", "2", MID)), store, "silver", "t", "k", 2)
+    assert current(store) == {"a": "1", "b": "1"}
+    monkeypatch.undo()
+    store.redo("silver", "t", ["_bucket"])
+    assert current(store) == {"a": "2", "b": "1"} and not store.exists("silver", "t__pending")
+
+
+def test_keys_without_rows_disappear(spark, store):
+    upsert_table(versions(spark, ("a", "1", OLD), ("b", "1", OLD), ("c", "1", OLD)), store, "silver", "t", "k", 8)
+    keys = spark.createDataFrame([("a",), ("b",)], "k STRING")
+    replace_keys(versions(spark, ("b", "2", MID)), keys, store, "silver", "t", "k", 8)
+    assert current(store) == {"b": "2", "c": "1"}
+
+
 def test_bucket_layouts_do_not_mix(spark, store):
     overwrite_bucketed(versions(spark, ("a", "1", OLD)), store, "silver", "t", "k", 4)
     with pytest.raises(ValueError, match="not in 8 buckets"):

@@ -106,11 +106,19 @@ def mismatch_count(left: DataFrame, right: DataFrame, key: str, column: str) ->
     return signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("mismatches"))
 
 
-def unbalanced_count(df: DataFrame, gross: str, discount: str, net: str) -> DataFrame:
+def unbalanced_rows(df: DataFrame, gross: str, discount: str, net: str) -> DataFrame:
     """Rows whose raw amounts, read as doubles, do not add up at two decimals."""
     amounts = [F.col(c).try_cast("double") for c in (gross, discount, net)]
-    bad = F.round(amounts[0] - amounts[1], 2) != F.round(amounts[2], 2)
-    return df.agg(F.count_if(bad).alias("unbalanced"))
+    return df.where(F.round(amounts[0] - amounts[1], 2) != F.round(amounts[2], 2))
+
+
+def unbalanced_count(df: DataFrame, gross: str, discount: str, net: str) -> DataFrame:
+    return unbalanced_rows(df, gross, discount, net).agg(F.count(F.lit(1)).alias("unbalanced"))
+
+
+def preview(df: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """A few rows to look at: those with the first digests of their keys, so the same every time."""
+    return df.orderBy(F.md5(F.col(key).cast("string")), *df.columns).limit(n)
 
 
 def batch_count(df: DataFrame) -> DataFrame:

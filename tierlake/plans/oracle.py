@@ -615,6 +615,9 @@ def _finals() -> dict[str, str]:
             ]
         ),
         "profile_batches": _per_entity("SELECT CAST(count(*) > 0 AS BIGINT) AS batches FROM bronze_{n}"),
+        "profile_unbalanced_rows": """SELECT id_factura, valor_bruto, valor_descuento, valor_neto FROM loaded_facturacion
+            WHERE round(try_cast(valor_bruto AS DOUBLE) - try_cast(valor_descuento AS DOUBLE), 2) <> round(try_cast(valor_neto AS DOUBLE), 2)""",
+        "profile_preview": "SELECT id_cita, id_paciente, estado_cita FROM tagged_citas ORDER BY md5(id_cita), id_cita, id_paciente, estado_cita LIMIT 20",
         "profile_integrity": " UNION ALL ".join(
             [
                 _orphans("citas", "pacientes", "id_paciente", "appointments without patient"),

@@ -730,6 +730,17 @@ def profile_integrity(c: Chain) -> DataFrame:
     return _labelled({k: f.toDF("rows") for k, f in frames.items()}, "check")
 
 
+@query
+def profile_unbalanced_rows(c: Chain) -> DataFrame:
+    found = profile.unbalanced_rows(c.loaded("facturacion"), "valor_bruto", "valor_descuento", "valor_neto")
+    return found.select("id_factura", "valor_bruto", "valor_descuento", "valor_neto")
+
+
+@query
+def profile_preview(c: Chain) -> DataFrame:
+    return profile.preview(c.tagged("citas").select("id_cita", "id_paciente", "estado_cita"), "id_cita", 20)
+
+
 # --- whole-run queries ---------------------------------------------------------------------------
 
 _settings: dict[str, jobs.Settings] = {}

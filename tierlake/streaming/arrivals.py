@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -31,6 +32,9 @@ def upsert_arrivals(
     ``to_raw`` shapes a micro-batch into the entity's text columns.
     """
 
+    # Named by the stream, not the run: a micro-batch replayed by a later run replaces its rows.
+    stream = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def merge(batch: DataFrame, batch_number: int) -> None:
         raw = to_raw(batch) if to_raw is not None else batch
         with Staging(store.spark) as staging:
@@ -41,9 +45,9 @@ def upsert_arrivals(
             )
             order = newest_first("_cursor")
             upsert_table(newest, store, "bronze", spec.name, spec.pk, buckets, order)
-            partition = {"_entity": spec.name, "_batch_id": f"{run.batch_id}.{batch_number}"}
+            partition = {"_entity": spec.name, "_batch_id": f"{stream}.{batch_number}"}
             stamped = quarantine.withColumn("_quarantined_at", run.timestamp())
-            store.replace_partition(stamped, "bronze", "quarantine", partition)
+            store.replace_partition(stamped, "bronze", "quarantine", partition, compact=True)
 
     return (
         arrivals.writeStream.foreachBatch(merge)
