@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import licenses
+from tierlake.llm import licenses, topk
 from tierlake.llm.brown import op6_brown
 from tierlake.llm.decontaminate import op9_decontaminate
 from tierlake.llm.language import op5_language
@@ -14,12 +14,11 @@ from tierlake.llm.resample import op8_resample
 from tierlake.llm.simhash import op10_simhash
 from tierlake.llm.token_counts import op4_token_counts
 from tierlake.llm.tokens import op1_sentencepiece
-from tierlake.llm.topk import op2_topk
 from tierlake.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
-    "op2_topk": op2_topk,
+    "op2_topk": topk.op2_topk,
     "op3_licenses": licenses.op3_licenses,
     "op4_token_counts": op4_token_counts,
     "op5_language": op5_language,
@@ -31,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 # Iterative, learned and tokenizing operators are tested against brute force instead.
-ORACLES: dict[str, str] = {"op3_licenses": licenses.ORACLE}
+ORACLES: dict[str, str] = {"op2_topk": topk.ORACLE, "op3_licenses": licenses.ORACLE}
