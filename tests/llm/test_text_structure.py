@@ -67,7 +67,7 @@ def test_transfer_matrices_are_associative(vocabulary):
     text = unigram.normalised("thein" * 40 + " and the end" + "x" * 30)
     reach, size = vocabulary.longest, 40
     parts = [(text[i : i + size + reach], min(size, len(text) - i)) for i in range(0, len(text), size)]
-    units = tokens.UnitIds(vocabulary)
+    units = tokens.ScoredUnits(vocabulary)
     made = [tokens.transfer(vocabulary, units, p, n).matrix for p, n in parts]
     left = made[0]
     for m in made[1:]:

@@ -48,21 +48,29 @@ _IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
 class UnitIds(Remembered):
-    """Ids of units as packed bytes, and their scores."""
+    """Ids of units as packed bytes."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         matcher = automaton(vocabulary)
+        super().__init__(lambda unit: array("i", segment(vocabulary, matcher, unit)[0]).tobytes())
 
-        def packed(unit: str) -> tuple[bytes, int]:
+    def encode(self, text: str) -> np.ndarray:
+        units = self.vocabulary.units.findall(normalised(text))
+        return np.frombuffer(b"".join(map(self.__getitem__, units)), dtype=np.int32)
+
+
+class ScoredUnits(Remembered):
+    """Packed ids of units with their scores, which only matrices need."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        matcher = automaton(vocabulary)
+
+        def scored(unit: str) -> tuple[bytes, int]:
             ids, score = segment(vocabulary, matcher, unit)
             return array("i", ids).tobytes(), score
 
-        super().__init__(packed)
-
-    def encode(self, text: str) -> np.ndarray:
-        units = self.vocabulary.units.findall(normalised(text))
-        return np.frombuffer(b"".join([self[u][0] for u in units]), dtype=np.int32)
+        super().__init__(scored)
 
 
 def _lists(rows: list[np.ndarray | None]) -> pa.Array:
@@ -138,7 +146,7 @@ class Chunk:
     tail_size: int  # -1: no cut
 
 
-def transfer(vocabulary: Vocabulary, units: UnitIds, part: str, size: int) -> Chunk:
+def transfer(vocabulary: Vocabulary, units: ScoredUnits, part: str, size: int) -> Chunk:
     """Best scores from each entry to each exit state of a chunk of ``size`` characters."""
     states = vocabulary.longest
     out = np.full((states, states), NEVER, dtype=np.int64)
@@ -208,7 +216,7 @@ _CHUNKS = "row long, chunk long, m binary, head string, head_size long, middle b
 
 
 def _transfers(vocabulary: Vocabulary, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    units = UnitIds(vocabulary)
+    units = ScoredUnits(vocabulary)
     names = ["row", "chunk", "m", "head", "head_size", "middle", "tail", "tail_size"]
     kinds = [pa.binary(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int64()]
     for batch in batches:

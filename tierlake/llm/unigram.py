@@ -161,7 +161,7 @@ class Remembered(dict):
     """Results per unit, made when first met. Two generations of ``most`` units are kept, so that
     units in use stay and memory is bounded; units longer than ``longest`` are not kept."""
 
-    def __init__(self, make, most: int = 150_000, longest: int = 64):
+    def __init__(self, make, most: int = 60_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest = make, most, longest
         self.older: dict = {}
