@@ -142,6 +142,29 @@ def test_top_k_equals_brute_force(spark, staging, kind):
     assert sorted(map(tuple, found.collect())) == sorted(brute_top(table))
 
 
+@pytest.mark.parametrize("kind", ["sparse", "one", "two", "three"])
+def test_top_k_of_queries_along_an_axis(kind, monkeypatch):
+    """Coordinate pruning keeps the hits of queries that one coordinate dominates."""
+    monkeypatch.setattr(topk, "BUCKET_ROWS", 16)
+    rng = np.random.default_rng(5)
+    width = {"sparse": 12, "one": 1, "two": 2, "three": 3}[kind]
+    vectors = rng.normal(0, 1, (300, width))
+    if kind == "sparse":
+        vectors = np.where(rng.random((300, width)) < 0.85, 0, vectors)
+        vectors[np.arange(300), rng.integers(0, width, 300)] += rng.choice([-2, 2], 300)
+    whole = np.floor(256 * vectors)
+    norms, ids = np.linalg.norm(whole, axis=1), np.arange(300)
+    order = np.argsort(norms)
+    q = np.concatenate([whole[:60], 256 * np.eye(width)])
+    q_id = np.concatenate([ids[:60], 1000 + np.arange(width)])
+    found = topk.search_slice(q, np.linalg.norm(q, axis=1), q_id, np.full(len(q), -np.inf), whole[order], norms[order], ids[order], 5)
+    expected = []
+    for i, row in enumerate(q):
+        scores = sorted((-int(s), int(v)) for s, v in zip(whole @ row, ids, strict=True) if v != q_id[i])
+        expected += [(i, v, -s) for s, v in scores[:5]]
+    assert sorted(zip(*(x.tolist() for x in found), strict=True)) == sorted(expected)
+
+
 def test_top_k_of_few_or_no_vectors(spark, staging):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0])], "vec_id long, embedding array<float>")
     assert list(map(tuple, topk.top_k(few, F.col("vec_id") == 0, staging).collect())) == [(0, 1, 1, 256 * 768)]

@@ -80,12 +80,18 @@ def _best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.n
 
 
 def _feasible(query: np.ndarray, unit: np.ndarray, cosine: float) -> np.ndarray:
-    """Vectors whose coordinates allow an angle of at least ``cosine`` with the (unit) query."""
+    """Vectors whose coordinates allow a cosine of at least ``cosine`` with the (unit) query.
+
+    The interval of a coordinate ends at the axis itself where the axis is within that angle.
+    """
     possible = np.ones(len(unit), dtype=bool)
     for f in np.argsort(-np.abs(query))[:FOCUS]:
         middle = query[f] * cosine
         reach = np.sqrt(max(0.0, (1 - cosine * cosine) * (1 - query[f] * query[f]))) + 1e-6
-        possible &= np.abs(unit[:, f] - middle) <= reach
+        if query[f] < cosine:
+            possible &= unit[:, f] <= middle + reach
+        if query[f] > -cosine:
+            possible &= unit[:, f] >= middle - reach
     return possible
 
 
