@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierlake.llm import components, decontaminate, licenses, simhash, token_counts, tokens, topk, unigram
+from tierlake.llm import components, decontaminate, licenses, near_copies, simhash, token_counts, tokens, topk, unigram
 from tierlake.llm.common import prepare
 
 random.seed(5)
@@ -349,3 +349,54 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() == len(seen["tokens"])
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents.limit(0), folder).count() == 0, name
+
+
+@pytest.mark.parametrize(("block_rows", "frequent_from"), [(256, 3), (8, 10**9)])
+def test_near_copies_equal_brute_force(spark, staging, monkeypatch, block_rows, frequent_from):
+    """Edited copies, chains of copies and a passage common to many texts; blocks and sample do not matter."""
+    prepare(spark)
+    monkeypatch.setattr(near_copies, "FREQUENT_FROM", frequent_from)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    passage = rng.choices(words, k=30)
+    texts = [rng.choices(words, k=rng.choice([3, 5, 40, 150])) + passage * rng.randint(0, 1) for _ in range(60)]
+    for i in range(160):
+        copy = list(texts[rng.choice([7, 11, rng.randrange(len(texts))])])
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(len(copy))] = f"e{rng.randrange(9)}"
+        texts.append(copy[: len(copy) - rng.randint(0, 4)])
+    rows = [(500 - i, " ".join(t)) for i, t in enumerate(texts)] + [(900, None), (901, ""), (None, " ".join(texts[0]))]
+    sets = []
+    for _, text in rows:
+        t = (text or "").split()
+        sets.append({tuple(t[j : j + 5]) for j in range(max(1, len(t) - 4))} if t else set())
+    root = list(range(len(rows)))
+    linked = 0
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            linked += sets[i] != sets[j]
+            a, b = root[i], root[j]
+            root = [a if r == b else r for r in root]
+    assert linked > 100
+    best: dict[int, int] = {}
+    for r, (doc_id, _) in zip(root, rows, strict=True):
+        if doc_id is not None:
+            best[r] = min(doc_id, best.get(r, doc_id))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("extra", F.lit("x"))
+    kept = near_copies.keep_one(docs, staging, block_rows)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(best.values())
+    assert near_copies.keep_one(docs.limit(0), staging).count() == 0
+
+
+def test_pipeline_drops_near_copies(spark):
+    """Copies with a few edited words, far more than 2 bits away, go; less similar ones stay."""
+    rng = random.Random(6)
+    base = [f"word{rng.randrange(900)}" for _ in range(120)]
+    near, far = list(base), list(base)
+    near[30], near[80] = "changed", "altered"
+    for i in range(10, 120, 20):
+        far[i] = f"other{i}"
+    rows = [(1, base), (2, near), (3, far)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 3]
