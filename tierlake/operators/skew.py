@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 #: Keys tracked at once, and entries of the sketch that finds them.
 HEAVY_LIMIT = 256
 SKETCH_ENTRIES = 16_384
+#: Hash slots per shuffle partition that settled rows are scattered over: many, so that partitions
+#: get about equally many of them.
+SLOTS_PER_PARTITION = 64
 
 
 def _partitions(df: DataFrame) -> int:
@@ -34,6 +37,11 @@ def heavy_keys(df: DataFrame, key: str, limit: int = HEAVY_LIMIT, least_share: f
     )
 
 
+def some_or_none(heavy: DataFrame) -> DataFrame | None:
+    """A staged list of heavy keys, or None if it is empty: then a plain join does."""
+    return None if heavy.isEmpty() else heavy
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -46,7 +54,7 @@ def lookup(
     Without ``heavy`` this is a plain left join: Spark broadcasts the right side when its size
     allows and otherwise splits skewed partitions adaptively. With ``heavy`` (a bounded key
     list, see ``heavy_keys``) those keys are matched by a broadcast of at most that many rows,
-    found or not, and their rows and the NULL keys are scattered over a few hash slots per shuffle
+    found or not, and their rows and the NULL keys are scattered over many hash slots per shuffle
     partition for the remaining join instead of meeting in one task.
     """
     if heavy is None:
@@ -60,7 +68,7 @@ def lookup(
     first = left.join(F.broadcast(settled_keys), F.col(key) == F.col("_heavy"), "left")
 
     settled = F.col("_heavy").isNotNull() | F.col(key).isNull()
-    slot = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(max(64, 4 * _partitions(left))))
+    slot = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(max(1024, SLOTS_PER_PARTITION * _partitions(left))))
     first = first.select(
         "*",
         F.when(~settled, F.col(key)).alias("_probe"),

@@ -66,9 +66,9 @@ def calendar_of(*dates: DataFrame) -> DataFrame:
     return calendar_days(years.distinct().select(F.explode(F.sequence(first, last)).alias("fecha")))
 
 
-def dim_patient(patients: DataFrame, run: Run, staging: Staging, salt: str | None = None) -> DataFrame:
-    """Patient dimension by allow-list: names never enter, the document number only as a hash."""
-    described = patients.select(
+def describe_patients(patients: DataFrame, salt: str | None = None) -> DataFrame:
+    """Patient attributes by allow-list: names never enter, the document number only as a hash."""
+    return patients.select(
         "id_paciente",
         "tipo_documento",
         pseudonym("numero_documento", salt).alias("numero_documento_hash"),
@@ -79,6 +79,11 @@ def dim_patient(patients: DataFrame, run: Run, staging: Staging, salt: str | Non
         "fecha_nacimiento",
         "edad_anios",
     )
+
+
+def dim_patient(patients: DataFrame, run: Run, staging: Staging, salt: str | None = None) -> DataFrame:
+    """Patient dimension: described patients, numbered in the order of their ids."""
+    described = describe_patients(patients, salt)
     keyed = dense_key(described, "id_paciente", "sk_paciente", staging)
     return keyed.withColumn("_valid_from", run.timestamp())
 

@@ -23,7 +23,7 @@ from tierlake.operators.entity import (
     tag,
     valid_rows,
 )
-from tierlake.operators.skew import heavy_keys
+from tierlake.operators.skew import heavy_keys, some_or_none
 from tierlake.operators.star import FACTS, build_fact, calendar_of, dim_lookup, dim_patient
 from tierlake.operators.upsert import BUCKET, placed_by_bucket
 from tierlake.plans.entities import BY_NAME
@@ -51,6 +51,7 @@ class Chain:
         self.dir = tables_dir
         self.staging = Staging(spark)
         self._kept: dict[str, DataFrame] = {}
+        self._lists: dict[str, DataFrame | None] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -87,11 +88,14 @@ class Chain:
     def latest(self, entity: str) -> DataFrame:
         return latest(BY_NAME[entity], self.cleaned(entity), keep_missing_keys=False)
 
-    def heavy(self, entity: str, column: str) -> DataFrame:
+    def heavy(self, entity: str, column: str) -> DataFrame | None:
         def build() -> DataFrame:
             return heavy_keys(self.bronze(entity).select(clean_text(column).alias(column)), column)
 
-        return self._once(f"heavy-{entity}-{column}", build)
+        name = f"heavy-{entity}-{column}"
+        if name not in self._lists:
+            self._lists[name] = some_or_none(self._once(name, build))
+        return self._lists[name]
 
     def tagged(self, entity: str) -> DataFrame:
         spec = BY_NAME[entity]

@@ -28,7 +28,7 @@ from tierlake.operators.entity import (
     valid_rows,
 )
 from tierlake.operators.profile import orphans
-from tierlake.operators.skew import heavy_keys
+from tierlake.operators.skew import heavy_keys, some_or_none
 from tierlake.operators.star import (
     DIRECT_IDENTIFIERS,
     FACTS,
@@ -84,6 +84,7 @@ class Settings:
     row_bands: Mapping[str, tuple[int, int]] = field(default_factory=dict)
     identifier_salt: str | None = None
     lookback: str | None = None
+    record_changes: bool = False  # increments write down the keys they may change, for incremental gold
 
     @property
     def marks(self) -> Watermarks:
@@ -273,13 +274,13 @@ def _parents(store: LayerStore, spec: EntitySpec) -> dict[str, DataFrame]:
     return {ref.parent: silver_table(store, BY_NAME[ref.parent]) for ref in spec.parents}
 
 
-def _heavy(settings: Settings, spec: EntitySpec, bronze: DataFrame, staging: Staging) -> dict[str, DataFrame]:
+def _heavy(settings: Settings, spec: EntitySpec, bronze: DataFrame, staging: Staging) -> dict[str, DataFrame | None]:
     """Most frequent foreign keys, from a scan of just those columns. At most a few hundred each."""
     if not settings.split_heavy_keys:
         return {}
     return {
-        ref.column: staging.keep(
-            heavy_keys(bronze.select(clean_text(ref.column).alias(ref.column)), ref.column), ref.column
+        ref.column: some_or_none(
+            staging.keep(heavy_keys(bronze.select(clean_text(ref.column).alias(ref.column)), ref.column), ref.column)
         )
         for ref in spec.parents
     }
@@ -324,6 +325,10 @@ def clean_silver(
         valid = valid_rows(tagged)
         ok = F.col("_reject_reason").isNull()
         counts = tagged.agg(F.count_if(ok).alias("valid"), F.count_if(~ok).alias("rejected")).first()
+        if mode == INCREMENTAL and settings.record_changes:
+            # Before silver changes: a run that fails after it must not lose track of its keys.
+            recorded = keys.select(F.col(spec.pk).alias("key"))
+            store.replace_partition(recorded, "ops", CHANGED_KEYS, {"_batch_id": run.batch_id, "_entity": spec.name}, compact=True)
         if mode == FULL or not store.exists("silver", spec.name):
             overwrite_bucketed(valid, store, "silver", spec.name, spec.pk, settings.buckets)
         else:
@@ -336,6 +341,16 @@ def clean_silver(
     return CleanResult(spec.name, arrived.rows, superseded, counts.valid, counts.rejected)
 
 
+CHANGED_KEYS = "changed_keys"
+
+
+def changed_keys(store: LayerStore) -> DataFrame | None:
+    """``(key, _batch_id, _entity)`` that increments have recorded; None if there are none."""
+    if not store.exists("ops", CHANGED_KEYS) or not store.folders("ops", CHANGED_KEYS, "_batch_id"):
+        return None
+    return store.read("ops", CHANGED_KEYS, T.StructType.fromDDL("key STRING, _batch_id STRING, _entity STRING"))
+
+
 def _affected_keys(settings: Settings, spec: EntitySpec, fresh: DataFrame, moved: Mapping[str, DataFrame]) -> DataFrame:
     """Keys of one entity that an incremental run may change, from scans of key columns only."""
     store = settings.store
@@ -375,8 +390,8 @@ def sync_marks(settings: Settings, run: Run) -> None:
 # --- gold --------------------------------------------------------------------------------------
 
 
-def build_gold(settings: Settings, run: Run) -> dict[str, int]:
-    """Rebuild dimensions and facts from silver. Returns row counts."""
+def build_dimensions(settings: Settings, run: Run) -> None:
+    """Rebuild calendar, patients and lookup dimensions from silver."""
     store = settings.store
     silver = {s.name: silver_table(store, s) for s in ENTITIES}
     with Staging(store.spark) as staging:
@@ -396,13 +411,21 @@ def build_gold(settings: Settings, run: Run) -> dict[str, int]:
             for column, key in fact.lookups.items():
                 values = dim_lookup(silver[fact.entity], column, key, staging)
                 store.overwrite(values, "gold", LOOKUP_DIMS[column])
+
+
+def build_gold(settings: Settings, run: Run) -> dict[str, int]:
+    """Rebuild dimensions and facts from silver. Returns row counts."""
+    store = settings.store
+    build_dimensions(settings, run)
+    silver = {s.name: silver_table(store, s) for s in ENTITIES}
+    with Staging(store.spark) as staging:
         patients = store.read("gold", "dim_paciente")
         lookups = {c: store.read("gold", name) for c, name in LOOKUP_DIMS.items()}
         for fact in FACTS:
             rows = silver[fact.entity]
             heavy = None
             if settings.split_heavy_keys:
-                heavy = staging.keep(heavy_keys(rows, "id_paciente"), "heavy-patients")
+                heavy = some_or_none(staging.keep(heavy_keys(rows, "id_paciente"), "heavy-patients"))
             built = build_fact(fact, rows, patients, lookups, run, heavy)
             store.clustered(built, "gold", fact.name, fact.cluster_by, fact.pk)
     return {name: store.read("gold", name).count() for name in (*DIMS, *[f.name for f in FACTS])}

@@ -657,6 +657,9 @@ def _finals() -> dict[str, str]:
         "job_incremental_state": " UNION ALL ".join(
             f"SELECT '{n}' AS _entity, {_PK[n]} AS key, _row_hash FROM silver_{n}" for n in STATEMENTS
         ),
+        "incremental_gold_facts": """SELECT 'fact_citas' AS fact, f.id_cita AS key, p.id_paciente AS patient, f.especialidad AS value FROM fact_cit f JOIN dim_pac p USING (sk_paciente)
+            UNION ALL SELECT 'fact_eventos_clinicos', f.id_evento, p.id_paciente, f.tipo_evento FROM fact_eve f JOIN dim_pac p USING (sk_paciente)
+            UNION ALL SELECT 'fact_facturacion', f.id_factura, p.id_paciente, f.tipo_servicio FROM fact_fac f JOIN dim_pac p USING (sk_paciente)""",
         "job_with_empty_entity": """SELECT 'silver.pacientes' AS table_name, count(*) AS rows FROM silver_pacientes
             UNION ALL SELECT 'silver.citas', count(*) FROM silver_citas UNION ALL SELECT 'gold.fact_citas', count(*) FROM fact_cit
             UNION ALL SELECT n, 0 FROM (VALUES ('silver.eventos_clinicos'), ('silver.facturacion'), ('gold.fact_eventos_clinicos'), ('gold.fact_facturacion')) v(n)""",
@@ -671,6 +674,11 @@ def _finals() -> dict[str, str]:
             (SELECT (SELECT count(*) FROM loaded_citas WHERE _cursor > {_reached()}) AS late_raw,
               (SELECT count(DISTINCT trim(id_cita)) FROM bronze_citas WHERE _cursor > {_reached()}) AS late_clean)""",
     }
+    finals |= {
+        "incremental_gold_operations": finals["kpi_appointment_operations"],
+        "incremental_gold_billing": finals["kpi_billing_monthly"],
+        "incremental_gold_summary": finals["kpi_monthly_summary"],
+    }
     return finals
 
 

@@ -34,11 +34,11 @@ from tierlake.operators.dedupe import latest_per_key, newest_first
 from tierlake.operators.entity import Run, add_lineage, attach_parents, reject_counts, union_rejects
 from tierlake.operators.history import first_versions, next_versions
 from tierlake.operators.skew import lookup
-from tierlake.operators.star import FACTS, calendar, calendar_of, patient_bi
+from tierlake.operators.star import FACTS, LOOKUP_DIMS, calendar, calendar_of, patient_bi
 from tierlake.operators.surrogate import dense_key, stable_key
 from tierlake.operators.upsert import BUCKET, mark_missing, overwrite_bucketed, upsert_table
 from tierlake.operators.watermark import Watermarks, newer_than
-from tierlake.plans import jobs, kpis
+from tierlake.plans import incremental_gold, jobs, kpis
 from tierlake.plans.chain import RUN, Chain, chain
 from tierlake.plans.entities import APPOINTMENT_STATES, BY_NAME, CURSOR, ENTITIES, OTHER_STATE
 from tierlake.plans.feed import STATEMENTS
@@ -912,6 +912,58 @@ def job_incremental_state(c: Chain) -> DataFrame:
     return _labelled(silver, "_entity")
 
 
+def _followed_store(c: Chain) -> LayerStore:
+    """Gold started from part of the data and brought up by two increments: late parents first, then
+    all remaining versions, valid or not. It is never rebuilt."""
+    name = f"{c.staging.path}-followed"
+    if name not in _settings:
+        settings = jobs.Settings(_fresh_store(c), 8, lookback="20000 days", record_changes=True)
+        everything = {s.name: c.raw(s.name) for s in ENTITIES}
+        cursor = parse_timestamp(CURSOR)
+        early = everything["citas"].where(cursor.isNull() | (cursor <= F.lit(MARK).cast("timestamp")))
+        # Rows without a cursor arrive with full loads only.
+        some = everything["pacientes"].where(cursor.isNull() | (F.pmod(F.xxhash64("id_paciente"), F.lit(2)) == 0))
+        jobs.run_all(settings, {**everything, "citas": early, "pacientes": some}, RUN, gold=False, check=False)
+        incremental_gold.start_gold(settings, RUN)
+        for number, sources in enumerate(({**everything, "citas": early}, everything), 1):
+            at = RUN.at + timedelta(days=number)
+            run = Run(f"{at:%Y%m%d}_000000_cafe200{number}", at, RUN.as_of)
+            jobs.run_all(settings, sources, run, jobs.INCREMENTAL, gold=False, check=False)
+            incremental_gold.update_gold(settings, run)
+        _settings[name] = settings
+    return _settings[name].store
+
+
+@query
+def incremental_gold_operations(c: Chain) -> DataFrame:
+    """Stored sums of appointments that followed the increments; equal to those of a rebuild."""
+    return incremental_gold.stored_operations(_followed_store(c))
+
+
+@query
+def incremental_gold_billing(c: Chain) -> DataFrame:
+    return incremental_gold.stored_billing(_followed_store(c))
+
+
+@query
+def incremental_gold_summary(c: Chain) -> DataFrame:
+    return incremental_gold.stored_summary(_followed_store(c))
+
+
+@query
+def incremental_gold_facts(c: Chain) -> DataFrame:
+    """Rows of the three facts, each with the patient and the lookup value that its keys lead to."""
+    store = _followed_store(c)
+    patients = store.read("gold", "dim_paciente").select("sk_paciente", F.col("id_paciente").alias("patient"))
+    frames = {}
+    for fact in FACTS:
+        column, key = next(iter(fact.lookups.items()))
+        names = store.read("gold", LOOKUP_DIMS[column]).select(key, F.col("nombre").alias("value"))
+        rows = store.read("gold", fact.name).join(patients, "sk_paciente", "left").join(names, key, "left")
+        frames[fact.name] = rows.select(F.col(fact.pk).alias("key"), "patient", "value")
+    return _labelled(frames, "fact")
+
+
 @query
 def job_with_empty_entity(c: Chain) -> DataFrame:
     """A full run in which one entity delivers nothing and another nothing valid."""

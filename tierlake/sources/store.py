@@ -52,12 +52,22 @@ class LayerStore:
         placed: bool = False,
     ) -> None:
         """Replace the whole table and its schema. ``placed`` rows are already shuffled to suit
-        the partition folders."""
+        the partition folders. A swap of the former table that was left open must not be repeated
+        over the new one, so its rows go first."""
         keys = list(partition_by)
+        self.drop(layer, f"{name}__pending")
         writer = (df if placed else self._spread(df, keys)).write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "static")
         (writer.partitionBy(*keys) if keys else writer).parquet(self.path(layer, name))
 
+    def drop(self, layer: str, name: str) -> None:
+        files, folder = self._folder(self.path(layer, name))
+        files.delete(folder, True)
+
+    def complete(self, layer: str, name: str) -> bool:
+        """Whether the last write of the whole table ended."""
+        return self._has(f"{self.path(layer, name)}/_SUCCESS")
+
     def append(self, df: DataFrame, layer: str, name: str) -> None:
         df.write.mode("append").parquet(self.path(layer, name))
 
@@ -90,14 +100,13 @@ class LayerStore:
 
     def redo(self, layer: str, name: str, partition_by: Iterable[str]) -> None:
         """Finish a replacement whose rows were written aside completely."""
-        pending = self.path(layer, f"{name}__pending")
-        if self._has(f"{pending}/_SUCCESS"):
+        pending = f"{name}__pending"
+        if self.complete(layer, pending):
             keys = list(partition_by)
-            rows = self.spark.read.parquet(pending)
+            rows = self.spark.read.parquet(self.path(layer, pending))
             writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(*keys).parquet(self.path(layer, name))
-        files, folder = self._folder(pending)
-        files.delete(folder, True)
+        self.drop(layer, pending)
 
     def replace_partition(
         self, df: DataFrame, layer: str, name: str, values: Mapping[str, str], compact: bool = False
@@ -139,6 +148,7 @@ class LayerStore:
         over several ranges instead of landing in one task.
         """
         order = [*by, unique]
+        self.drop(layer, f"{name}__pending")
         (
             df.repartitionByRange(*order)
             .sortWithinPartitions(*order)
