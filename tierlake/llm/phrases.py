@@ -28,9 +28,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+from tierlake.llm.bitmap import Bitmap
 from tierlake.llm.common import bytes_of, prepare, read_table
 from tierlake.sources.staging import Staging
 
@@ -40,12 +41,11 @@ COVERED_PERCENT = 80
 TOP = 2000
 SCALE = 2_000_000
 UNDETERMINED = "und"
-#: Bytes of text handled at once, phrases held in a task, and counters of a summary.
-SEGMENT = 8 << 20
-HELD = 2 << 20
+#: Bytes of text handled at once, hashes and phrases held in a task, and counters of a summary.
+SEGMENT = 4 << 20
+HELD = 1 << 20
+SUMS_HELD = 400_000
 COUNTERS = 1 << 16
-#: A bitmap has 2^26 bits.
-BITMAP_BITS = 26
 
 _STOP = b","
 _MARKS = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
@@ -108,16 +108,45 @@ def _numbers(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return ids, list(known)
 
 
+class Sums:
+    """Counts per language and key, summed inside a task as far as memory allows."""
+
+    def __init__(self, key: str, held: int = SUMS_HELD):
+        self.key = key
+        self.most = held
+        self.held: dict[bytes, dict[bytes | None, int]] = {}
+        self.size = 0
+
+    def add(self, lang: bytes, keys: list[bytes | None], counts: list[int]) -> Iterator[pa.RecordBatch]:
+        own = self.held.setdefault(lang, {})
+        before = len(own)
+        get = own.get
+        for key, n in zip(keys, counts, strict=True):
+            own[key] = get(key, 0) + n
+        self.size += len(own) - before
+        if self.size > self.most:
+            yield from self.emit()
+
+    def emit(self, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+        for lang, own in self.held.items():
+            keys, counts = list(own), list(own.values())
+            for at in range(0, len(keys), rows):
+                part = keys[at : at + rows]
+                arrays = [pa.array([lang] * len(part), pa.binary()), pa.array(part, pa.binary())]
+                arrays.append(pa.array(counts[at : at + rows], pa.int64()))
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", self.key, "n"])
+        self.held, self.size = {}, 0
+
+
 def _count_words(segment: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts per language and word, and under a null word the number of words."""
+    sums = Sums("word")
     for lang, words, carried in word_runs(batches, segment):
         ids, known = _numbers(words)
         counts = np.bincount(ids[carried:], minlength=len(known))[1:]
         at = np.flatnonzero(counts)
-        named = [None, *(known[i + 1] for i in at.tolist())]
-        arrays = [pa.array([lang] * len(named), pa.binary()), pa.array(named, pa.binary())]
-        arrays.append(pa.array(np.concatenate([[counts.sum()], counts[at]]).astype(np.int64)))
-        yield pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "n"])
+        yield from sums.add(lang, [None, *(known[i + 1] for i in at.tolist())], [int(counts.sum()), *counts[at].tolist()])
+    yield from sums.emit()
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -128,37 +157,6 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Bitmap:
-    """Two bits per hash in a fixed number of bits; built on Spark, looked up in tasks."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    @staticmethod
-    def of(hashes: DataFrame) -> Bitmap:
-        """From a frame of one long column; at most 2^20 rows, whatever the frame, reach the driver."""
-        high, low = Bitmap._places(F.col(hashes.columns[0]))
-        at = hashes.select(F.explode(F.array(high, low)).alias("at"))
-        bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
-        rows = at.groupBy(F.expr("cast(shiftright(at, 6) as int)").alias("slot")).agg(F.bit_or(bit).alias("word")).toPandas()
-        bits = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
-        bits[rows["slot"].to_numpy(np.int64)] = rows["word"].to_numpy(np.int64).view(np.uint64)
-        return Bitmap(bits)
-
-    @staticmethod
-    def _places(h: Column) -> tuple[Column, Column]:
-        top = 64 - BITMAP_BITS
-        low = F.shiftrightunsigned(h, top - BITMAP_BITS).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-        return F.shiftrightunsigned(h, top), low
-
-    def holds(self, h: np.ndarray) -> np.ndarray:
-        top = 64 - BITMAP_BITS
-        high = h >> np.uint64(top)
-        low = (h >> np.uint64(top - BITMAP_BITS)) & np.uint64((1 << BITMAP_BITS) - 1)
-        six, rest = np.uint64(6), np.uint64(63)
-        return ((self.bits[high >> six] >> (high & rest)) & (self.bits[low >> six] >> (low & rest)) & np.uint64(1)).astype(bool)
-
-
 def _word_hashes(lang: bytes, known: list[bytes]) -> np.ndarray:
     start = lang + b"\0"
     return np.fromiter((xxhash.xxh64_intdigest(start + w, _SEED) for w in known), dtype=np.uint64, count=len(known))
@@ -287,9 +285,9 @@ def _merge_summaries(least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[
 
 def _count_phrases(found: dict[int, Bitmap], segment: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact counts of surviving phrases, by their words."""
+    sums = Sums("phrase")
     for lang, words, carried in word_runs(batches, segment):
         ids, known = _numbers(words)
-        named, sums = [], []
         before = ids
         for length, own, alive in phrase_hashes(lang, ids, known, max(found), found):
             at = np.flatnonzero(alive & found[length].holds(own))
@@ -300,13 +298,9 @@ def _count_phrases(found: dict[int, Bitmap], segment: int, batches: Iterable[pa.
             before[at] = inverse
             counts = np.bincount(inverse[at >= carried - length + 1], minlength=len(first))
             some = np.flatnonzero(counts)
-            for start in at[first[some]].tolist():
-                named.append(b" ".join(words[start : start + length]))
-            sums.append(counts[some])
-        if named:
-            arrays = [pa.array([lang] * len(named), pa.binary()), pa.array(named, pa.binary())]
-            arrays.append(pa.array(np.concatenate(sums).astype(np.int64)))
-            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "n"])
+            named = [b" ".join(words[start : start + length]) for start in at[first[some]].tolist()]
+            yield from sums.add(lang, named, counts[some].tolist())
+    yield from sums.emit()
 
 
 def frequent(documents: DataFrame, staging: Staging, least: int = LEAST, segment: int = SEGMENT, counters: int = COUNTERS) -> DataFrame:
