@@ -351,6 +351,26 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, documents.limit(0), folder).count() == 0, name
 
 
+def test_every_excerpt_of_the_smallest_length_is_found(spark):
+    """Verbatim excerpts at every offset of an item, from the stated length on, inside other words."""
+    prepare(spark)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9)))
+    items = [" ".join(word() for _ in range(60)), " ".join(word() for _ in range(16))]
+    rows, owner = [], {}
+    for number, item in enumerate(items):
+        for size in (decontaminate.SMALLEST_EXCERPT, 100, 128):
+            for start in range(len(item) - size + 1):
+                owner[len(rows)] = number
+                rows.append((len(rows), f"{word()} {word()} {item[start : start + size]} {word()}"))
+    first_clean = len(rows)
+    rows += [(first_clean + i, " ".join(word() for _ in range(40))) for i in range(100)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.matches(documents, benchmark).collect()}
+    assert found == set(owner.items())
+
+
 @pytest.mark.parametrize(("block_rows", "frequent_from"), [(256, 3), (8, 10**9)])
 def test_near_copies_equal_brute_force(spark, staging, monkeypatch, block_rows, frequent_from):
     """Edited copies, chains of copies and a passage common to many texts; blocks and sample do not matter."""

@@ -1,14 +1,16 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Benchmark items are normalised (lower case, runs of anything but letters and digits become one
-space) and cut into overlapping windows. A passage within ``e`` edits of a window of ``w`` bytes
-shares at least ``w + 1 - q (e + 1)`` q-grams with it, all on ``e + 1`` neighbouring diagonals, so
+space) and cut into overlapping windows of 64 bytes, one every 16 bytes and one at the end. So every
+excerpt of an item of at least 79 normalised bytes (13 words of five letters) holds a whole window,
+wherever it begins; shorter excerpts are found if they hold one, and items under 64 bytes as a whole.
+A passage within ``e`` edits of a window of ``w`` bytes shares at least ``w + 1 - q (e + 1)`` q-grams with it, all on ``e + 1`` neighbouring diagonals, so
 shared q-grams are counted in overlapping diagonal bands; a band that reaches the bound is verified
-by an alignment restricted to it. The filter loses nothing: the result is every passage within the
-edit budget. Hits of windows of one item that overlap in the text are merged into spans.
+by an alignment restricted to it. The filter loses nothing: the result is every window that
+occurs within its edit budget. Hits of windows of one item that overlap in the text are merged into spans.
 
-The windows travel to the tasks only in blocks of bounded size; a larger benchmark takes further
-passes over the documents.
+The items travel to the tasks only in blocks of bounded size. A larger benchmark takes further passes
+over the documents, each written before the next block is read.
 
 Edge cases: null texts, null items and windows shorter than one q-gram match nothing; null ids are
 carried along; repeated items are each reported; repeated documents are reported as often as they occur.
@@ -17,7 +19,7 @@ carried along; repeated items are each reported; repeated documents are reported
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,11 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tierlake.llm.common import annotate, prepare, read_table, texts_of
+from tierlake.sources.staging import Staging
 
 Q = 10
-WINDOW = 96
-STRIDE = 48
-EDIT_RATE = 0.08
+WINDOW = 64
+STRIDE = 16
+#: Bytes of an excerpt that is sure to hold a window.
+SMALLEST_EXCERPT = WINDOW + STRIDE - 1
+#: Four edits in a whole window; a fifth would leave the lemma a bound of five q-grams, which filters little.
+EDIT_RATE = 0.07
 #: Width of the diagonal steps between overlapping bands.
 BAND_STEP = 16
 #: Characters of benchmark text in one pass over the documents.
@@ -77,8 +83,8 @@ class WindowIndex:
         owners, patterns = [], []
         for number, (_, text) in enumerate(items):
             data = normalise(text)
-            starts = range(0, max(1, len(data) - WINDOW + STRIDE), STRIDE)
-            cuts = sorted({max(0, min(s, len(data) - WINDOW)) for s in starts})
+            last = max(0, len(data) - WINDOW)
+            cuts = sorted({*range(0, last + 1, STRIDE), last})
             for cut in cuts:
                 if len(data) >= Q:
                     owners.append(number)
@@ -284,37 +290,53 @@ class _Matcher:
         return {"items": self.items, "rate": self.rate, "index": None}
 
 
-def with_spans(documents: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Documents plus ``_spans``, the benchmark passages found in each."""
+def _blocks(benchmark: DataFrame) -> tuple[int, Callable[[int], list[tuple[int | None, str]]]]:
+    """How many blocks the items make, and the items of a block; only that block is read."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter(F.col("text").isNotNull())
-    # One number reaches the driver; it decides how many bounded blocks the items are read in.
+    # One number reaches the driver.
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // BLOCK_CHARS))
-    field = T.StructField("_spans", T.ArrayType(_SPAN))
-    result, parts = documents, []
-    for block in range(blocks):
-        here = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(blocks)) == block)
-        rows = [(r.item_id, r.text) for r in here.orderBy("item_id", "text").collect()]
-        name = f"_spans{block}"
-        result = annotate(result, [field], _Matcher(rows, rate)).withColumnRenamed("_spans", name)
-        parts.append(name)
-    result = result.withColumn("_spans", F.concat(*parts))
-    return result.drop(*parts, *drop)
-
-
-def matches(documents: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
-    """One row per passage: doc_id, item_id, start, end (characters), edits, windows."""
-    found = with_spans(documents.select("doc_id", "text"), benchmark, rate, ("text",))
-    return found.select("doc_id", F.explode("_spans").alias("s")).select("doc_id", "s.*")
+
+    def block(number: int) -> list[tuple[int | None, str]]:
+        here = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(blocks)) == number)
+        return [(r.item_id, r.text) for r in here.orderBy("item_id", "text").collect()]
+
+    return blocks, block
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
+def _spanned(documents: DataFrame, items: list[tuple[int | None, str]], rate: float, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Documents plus ``_spans``, the passages of these items found in each."""
+    return annotate(documents, [T.StructField("_spans", T.ArrayType(_SPAN))], _Matcher(items, rate), drop)
+
+
+def matches(
+    documents: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, staging: Staging | None = None
+) -> DataFrame:
+    """One row per passage: doc_id, item_id, start, end (characters), edits, windows."""
+    blocks, block = _blocks(benchmark)
+    result = None
+    for number in range(blocks):
+        found = _spanned(documents.select("doc_id", "text"), block(number), rate, ("text",))
+        rows = found.select("doc_id", F.explode("_spans").alias("s")).select("doc_id", "s.*")
+        rows = rows if blocks == 1 else (staging or Staging(documents.sparkSession)).keep(rows, "passages")
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
+def clean(
+    documents: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, staging: Staging | None = None
+) -> DataFrame:
     """Documents without a benchmark passage, with all their columns."""
     columns = [c for c in documents.columns if not c.startswith("_spans")]
-    return with_spans(documents.select(*columns), benchmark, rate).filter(F.size("_spans") == 0).select(*columns)
+    blocks, block = _blocks(benchmark)
+    for number in range(blocks):
+        spanned = _spanned(documents.select(*columns), block(number), rate)
+        documents = spanned.filter(F.size("_spans") == 0).select(*columns)
+        documents = documents if blocks == 1 else (staging or Staging(documents.sparkSession)).keep(documents, "clean")
+    return documents
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), staging=Staging(spark))
