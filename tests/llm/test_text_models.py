@@ -210,3 +210,28 @@ def test_kth_largest(spark):
     frame = spark.createDataFrame([(v,) for v in values], "v double")
     assert [resample.kth_largest(frame, "v", k) for k in range(1, 8)] == sorted(values, reverse=True)
     assert resample.kth_largest(frame, "v", 0) is None and resample.kth_largest(frame, "v", 8) is None
+
+
+@pytest.mark.parametrize(
+    ("text", "hidden", "mixed", "apart"),
+    [
+        ("what an a$$hole here", 1, 1, 0),
+        ("b00b", 1, 1, 0),
+        ("1diot", 1, 1, 0),
+        ("you idio7", 1, 1, 0),
+        ("id1ot!", 1, 1, 0),
+        ("i d i o t", 1, 0, 1),
+        ("1 d i o t, really", 1, 0, 1),
+        ("an idiot!! and *idiot*", 0, 0, 0),
+        ("1984 and 10:30 at gate b4", 0, 1, 0),
+        ("ünder! drüben", 0, 0, 0),
+        ("", 0, 0, 0),
+    ],
+)
+def test_disguised_words_are_counted_where_they_stand(text, hidden, mixed, apart):
+    lexicon = {b"asshole": 2.0, b"boob": 1.0, b"idiot": 3.0}
+    found = dict(zip(toxicity.FEATURES, toxicity.features(text, lexicon), strict=True))
+    words = len(text.lower().encode().translate(toxicity._SPACED).split()) or 1
+    assert math.isclose(found["hidden_hits"], math.log1p(hidden))
+    assert math.isclose(found["mixed_rate"] * words, mixed, abs_tol=1e-9)
+    assert math.isclose(found["apart_rate"] * words, apart, abs_tol=1e-9)

@@ -46,7 +46,9 @@ _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 # Letters, signs used in place of letters, anything else.
 _SHAPES = bytes(97 if b >= 128 or chr(b).isalpha() else 49 if chr(b) in "0134578@$*!" else 32 for b in range(256))
 _PLAIN = bytes.maketrans(b"0134578@$!", b"oieastbasi")
-_MIXED = re.compile(rb"a1[a1]*a")
+_SIGNS = b"0134578@$*!"
+# A run of letters and signs that holds both, wherever the signs are.
+_MIXED = re.compile(rb"(?:a+1|1+a)[a1]*")
 _APART = re.compile(rb"(?<![a-z0-9])(?:[a-z0-9] ){2,}[a-z0-9](?![a-z0-9])")
 
 FEATURES = (
@@ -67,17 +69,22 @@ FEATURES = (
 )
 
 
-def _hidden(data: bytes, shapes: bytes, lexicon: dict[bytes, float]) -> int:
-    """Lexicon words behind replaced or spaced letters."""
-    found = 0
-    for match in _MIXED.finditer(shapes):
-        left = shapes.rfind(b" ", 0, match.start()) + 1
-        right = shapes.find(b" ", match.end())
-        word = data[left : right if right >= 0 else len(data)]
+def _disguised(data: bytes, lexicon: dict[bytes, float]) -> tuple[int, int, int]:
+    """Words with signs for letters, words set apart letter by letter, and lexicon words among both.
+
+    Stars and exclamation marks around a word are punctuation and disguise nothing.
+    """
+    mixed = apart = found = 0
+    for match in _MIXED.finditer(data.translate(_SHAPES)):
+        word = data[match.start() : match.end()].strip(b"*!")
+        if len(word.translate(None, _SIGNS)) in (0, len(word)):
+            continue
+        mixed += 1
         found += word.translate(_PLAIN) in lexicon or word.strip(b"*$!@").translate(_PLAIN) in lexicon
     for match in _APART.finditer(data.translate(_SPACED)):
+        apart += 1
         found += match.group().replace(b" ", b"").translate(_PLAIN) in lexicon
-    return found
+    return mixed, apart, found
 
 
 def features(text: str | None, lexicon: dict[bytes, float]) -> list[float]:
@@ -99,10 +106,7 @@ def features(text: str | None, lexicon: dict[bytes, float]) -> list[float]:
         before = np.abs(np.asarray(hits) - places[np.maximum(at - 1, 0)])
         after = np.abs(np.asarray(hits) - places[np.minimum(at, len(places) - 1)])
         near = int((np.minimum(before, after) <= NEAR_WORDS).sum())
-    shapes = data.translate(_SHAPES)
-    mixed = shapes.count(b"a1a")
-    apart = shapes.count(b" a a a ")
-    hidden = _hidden(data, shapes, lexicon) if mixed or apart else 0
+    mixed, apart, hidden = _disguised(data, lexicon)
     return [
         math.log1p(len(hits)),
         len(hits) / total,
