@@ -426,8 +426,8 @@ def build_gold(settings: Settings, run: Run) -> dict[str, int]:
             heavy = None
             if settings.split_heavy_keys:
                 heavy = some_or_none(staging.keep(heavy_keys(rows, "id_paciente"), "heavy-patients"))
-            built = build_fact(fact, rows, patients, lookups, run, heavy)
-            store.clustered(built, "gold", fact.name, fact.cluster_by, fact.pk)
+            built = staging.keep(build_fact(fact, rows, patients, lookups, run, heavy), fact.name)
+            store.clustered_on_curve(built, "gold", fact.name, fact.cluster_by, fact.pk)
     return {name: store.read("gold", name).count() for name in (*DIMS, *[f.name for f in FACTS])}
 
 

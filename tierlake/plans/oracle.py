@@ -240,6 +240,19 @@ _STEPS["moved_pacientes"] = """
 SELECT f.id_paciente, f.ciudad AS c1, f.estado AS e1, f.aseguradora AS a1, s.ciudad AS c2, s.estado AS e2, s.aseguradora AS a2,
   (f.ciudad, f.estado, f.aseguradora) IS DISTINCT FROM (s.ciudad, s.estado, s.aseguradora) AS moved
 FROM first_pacientes f JOIN latest_pacientes s ON f.id_paciente = s.id_paciente"""
+
+
+def _versions(source: str, attributes: str, at: str) -> str:
+    """Intervals of a key's attributes from all rows of a source, by the rows' own times."""
+    return f"""SELECT id_paciente, {attributes}, t AS valid_from, lead(t) OVER (PARTITION BY id_paciente ORDER BY t) AS valid_to
+      FROM (SELECT *, lag(v) OVER w IS NOT DISTINCT FROM v AND lag(t) OVER w IS NOT NULL AS same
+        FROM (SELECT id_paciente, {attributes}, {at} AS t, ROW({attributes}) AS v FROM {source} WHERE id_paciente IS NOT NULL AND {at} IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY id_paciente, {at} ORDER BY _row_hash) = 1)
+        WINDOW w AS (PARTITION BY id_paciente ORDER BY t)) WHERE NOT same"""
+
+
+_STEPS["patient_versions"] = _versions("clean_pacientes", "ciudad, estado, aseguradora", "actualizado_en")
+_STEPS["payer_versions"] = _versions("silver_facturacion", "pagador", "fecha_factura")
 _STEPS["merged_citas"] = """
 SELECT * FROM new_citas UNION ALL SELECT * FROM old_citas WHERE id_cita NOT IN (SELECT id_cita FROM new_citas)"""
 
@@ -441,6 +454,9 @@ def _patients(extra: str = "") -> str:
 def _merged(source: str) -> str:
     return f"SELECT id_cita, estado_cita, {_time('actualizado_en')}, _row_hash FROM {source}"
 
+_PAYERS = f"""SELECT id_paciente, pagador, {_time('valid_from', '_valid_from')}, {_time('valid_to', '_valid_to')},
+  valid_to IS NULL AS _is_current FROM payer_versions"""
+
 
 def _finals() -> dict[str, str]:
     days = "SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem"
@@ -522,6 +538,14 @@ def _finals() -> dict[str, str]:
         "patient_history": """SELECT id_paciente, c1 AS ciudad, e1 AS estado, a1 AS aseguradora, '1995-01-01 00:00:00.000000' AS _valid_from,
               CASE WHEN moved THEN '1996-01-01 00:00:00.000000' END AS _valid_to, NOT moved AS _is_current FROM moved_pacientes
             UNION ALL SELECT id_paciente, c2, e2, a2, '1996-01-01 00:00:00.000000', NULL, TRUE FROM moved_pacientes WHERE moved""",
+        "patient_history_out_of_order": f"""SELECT id_paciente, ciudad, estado, aseguradora, {_time('valid_from', '_valid_from')},
+            {_time('valid_to', '_valid_to')}, valid_to IS NULL AS _is_current FROM patient_versions""",
+        "payer_history": _PAYERS,
+        "payer_history_split": _PAYERS,
+        "fact_appointment_versions": f"""SELECT id_cita, f.id_paciente, {_time('fecha_hora_cita')}, v.estado, g.pagador,
+              sha256(v.id_paciente || '|' || strftime(v.valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS version_paciente
+            FROM fact_cit f ASOF LEFT JOIN patient_versions v ON f.id_paciente = v.id_paciente AND f.fecha_hora_cita >= v.valid_from
+            ASOF LEFT JOIN payer_versions g ON f.id_paciente = g.id_paciente AND f.fecha_hora_cita >= g.valid_from""",
         "dim_patients": _patients(", '2002-01-01 00:00:00.000000' AS _valid_from"),
         "dim_patients_for_bi": _patients(),
         "dim_lookups": " UNION ALL ".join(f"SELECT '{c}' AS dimension, nombre, sk FROM dim_{c}" for c in _LOOKUPS),
@@ -665,6 +689,10 @@ def _finals() -> dict[str, str]:
             UNION ALL SELECT n, 0 FROM (VALUES ('silver.eventos_clinicos'), ('silver.facturacion'), ('gold.fact_eventos_clinicos'), ('gold.fact_facturacion')) v(n)""",
         "snapshot_partition_replaced": f"""SELECT b AS _batch_id, (SELECT count(*) FROM bronze_pacientes) AS rows
             FROM (VALUES ('{_BATCH}'), ('20020102_000000_cafe0002')) v(b)""",
+        "curve_clustered_lookups": """SELECT 'patient' AS side, id_cita, id_paciente, sk_paciente, sk_fecha_cita FROM fact_cit
+              WHERE sk_paciente = (SELECT sk_paciente FROM fact_cit GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+            UNION ALL SELECT 'month', id_cita, id_paciente, sk_paciente, sk_fecha_cita FROM fact_cit
+              WHERE sk_fecha_cita // 100 = (SELECT sk_fecha_cita // 100 FROM fact_cit GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)""",
         "clustered_fact_rows": f"SELECT CAST(year(fecha_cita) AS INTEGER) AS anio, count(*) AS rows, {_int('sum(sk_paciente)', 'key_sum')} FROM fact_cit GROUP BY 1",
         "streamed_appointments": f"""SELECT id_cita, estado_cita, {_time('_cursor')}, _row_hash FROM bronze_citas
             QUALIFY row_number() OVER (PARTITION BY id_cita ORDER BY _cursor DESC NULLS LAST, _row_hash) = 1""",

@@ -32,8 +32,8 @@ from tierlake.functions import (
 from tierlake.operators import profile, quality
 from tierlake.operators.dedupe import latest_per_key, newest_first
 from tierlake.operators.entity import Run, add_lineage, attach_parents, reject_counts, union_rejects
-from tierlake.operators.history import first_versions, next_versions
-from tierlake.operators.skew import lookup
+from tierlake.operators.history import first_versions, next_versions, observed, version_at, version_key, versions_of
+from tierlake.operators.skew import heavy_keys, lookup
 from tierlake.operators.star import FACTS, LOOKUP_DIMS, calendar, calendar_of, patient_bi
 from tierlake.operators.surrogate import dense_key, stable_key
 from tierlake.operators.upsert import BUCKET, mark_missing, overwrite_bucketed, upsert_table
@@ -421,6 +421,54 @@ def patient_history(c: Chain) -> DataFrame:
     )
 
 
+_VERSIONED = ("ciudad", "estado", "aseguradora")
+
+
+def _patient_versions(c: Chain) -> DataFrame:
+    """History of patients by the times of their own rows, the newest third arriving first."""
+    seen = observed(c.cleaned("pacientes"), "id_paciente", _VERSIONED, CURSOR, "_row_hash")
+    third = F.pmod(F.xxhash64("_tie"), F.lit(3))
+    kept = None
+    for number in (2, 0, 1):
+        part = seen.where(third == number)
+        kept = c.staging.keep(part if kept is None else kept.unionByName(part), "patients-seen")
+    return versions_of(kept, "id_paciente", _VERSIONED)
+
+
+def _payer_versions(c: Chain, split: bool) -> DataFrame:
+    """Who paid for a patient, from when to when, as all billing lines show it."""
+    seen = observed(c.silver("facturacion"), "id_paciente", ("pagador",), "fecha_factura", "_row_hash")
+    heavy = c.silver("facturacion").select("id_paciente").where("id_paciente IS NOT NULL")
+    heavy = c.staging.keep(heavy_keys(heavy, "id_paciente", 64, 0.0), "heavy-payers") if split else None
+    return versions_of(seen, "id_paciente", ("pagador",), heavy)
+
+
+@query
+def patient_history_out_of_order(c: Chain) -> DataFrame:
+    return _patient_versions(c).drop("_version_hash")
+
+
+@query
+def payer_history(c: Chain) -> DataFrame:
+    return _payer_versions(c, split=False).drop("_version_hash")
+
+
+@query
+def payer_history_split(c: Chain) -> DataFrame:
+    """The same history with the most frequent patients worked on month by month."""
+    return _payer_versions(c, split=True).drop("_version_hash")
+
+
+@query
+def fact_appointment_versions(c: Chain) -> DataFrame:
+    """Appointments with the version of their patient, and the payer, valid when they took place."""
+    patients = _patient_versions(c).withColumn("version_paciente", version_key("id_paciente"))
+    payers = c.staging.keep(_payer_versions(c, split=False), "payers")
+    facts = c.fact("citas").select("id_cita", "id_paciente", "fecha_hora_cita")
+    dated = version_at(facts, c.staging.keep(patients, "versions"), "id_paciente", "fecha_hora_cita", ("version_paciente", "estado"))
+    return version_at(dated, payers, "id_paciente", "fecha_hora_cita", ("pagador",))
+
+
 # --- gold ----------------------------------------------------------------------------------------
 
 
@@ -1001,6 +1049,23 @@ def clustered_fact_rows(c: Chain) -> DataFrame:
     )
 
 
+@query
+def curve_clustered_lookups(c: Chain) -> DataFrame:
+    """All rows of the patient with the most appointments, and of the busiest month, read back
+    from a fact that is clustered on both."""
+    store = _fresh_store(c)
+    store.clustered_on_curve(c.fact("citas"), "gold", "fact_citas", ("sk_fecha_cita", "sk_paciente"), "id_cita")
+    month = F.floor(F.col("sk_fecha_cita") / 100)
+    fact = store.read("gold", "fact_citas")
+    busiest = lambda by: profile.top_values(fact.select(by.alias("k")).where("k IS NOT NULL"), "k", 1).first()["value"]
+    patient, first = busiest(F.col("sk_paciente")), busiest(month) * 100
+    kept = {
+        "patient": fact.where(F.col("sk_paciente") == patient),
+        "month": fact.where((F.col("sk_fecha_cita") > first) & (F.col("sk_fecha_cita") < first + 100)),
+    }
+    return _labelled({k: f.select("id_cita", "id_paciente", "sk_paciente", "sk_fecha_cita") for k, f in kept.items()}, "side")
+
+
 @query
 def streamed_appointments(c: Chain) -> DataFrame:
     """Order files read as a stream and merged into bronze, started twice."""

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tierlake.operators.curve import RANK_BITS, with_position
+
 LAYERS = ("raw", "bronze", "silver", "gold", "ops")
 
 _PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
@@ -157,6 +159,29 @@ class LayerStore:
             .parquet(self.path(layer, name))
         )
 
+    def clustered_on_curve(
+        self, df: DataFrame, layer: str, name: str, by: Sequence[str], unique: str, bits: int = RANK_BITS
+    ) -> None:
+        """Replace a table, clustered on all of the numeric columns ``by`` alike.
+
+        Rows are range-partitioned by their position on a space-filling curve, so a filter on any
+        one of the columns skips most files (with two columns all but about the square root of
+        them), where a linear order helps its first column only. The unique column ends the
+        ordering: rows of one crowded position are spread over several ranges. The frame is
+        evaluated more than once, so it should be a stored or staged one.
+        """
+        self.drop(layer, f"{name}__pending")
+        order = ["_position", *by, unique]
+        (
+            with_position(df, by, "_position", bits)
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .drop("_position")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .parquet(self.path(layer, name))
+        )
+
     def publish(self, tables: Mapping[str, Mapping[str, tuple[T.StructType, Iterable[str]]]]) -> None:
         """Register stored tables as ``layer.name`` in the catalog, over the same files.
 
