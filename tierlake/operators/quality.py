@@ -202,3 +202,53 @@ def kept_share(kept: DataFrame, source: DataFrame, table: str, least: float) ->
     share = F.sum("k") / F.nullif(F.sum("s"), F.lit(0))
     check = Check(f"Q-SLA-{table}", WARN, share, least=least, detail="cleaned rows over loaded keys")
     return run_checks(sides, table, [check])
+
+
+# --- reconciliation by content -----------------------------------------------------------------
+
+
+def row_digests(columns: Iterable[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row's values, the first to be summed, the second to be xor-ed. Which
+    values are NULL is hashed too, so values that change places differ."""
+    names = list(columns)
+    values = [*[F.col(c) for c in names], *[F.col(c).isNull() for c in names]]
+    return F.xxhash64(F.lit(1), *values).cast("decimal(38,0)"), F.xxhash64(F.lit(2), *values)
+
+
+def table_digest(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """One row that tells whether two tables hold the same rows, repeats included, in any order."""
+    to_sum, to_xor = row_digests(columns)
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(to_sum), F.lit(0)).cast("string").alias("total"),
+        F.coalesce(F.bit_xor(to_xor), F.lit(0)).alias("mixed"),
+    )
+
+
+def differing_groups(
+    left: DataFrame, right: DataFrame, key: str, columns: Iterable[str], digits: int = 2
+) -> DataFrame:
+    """Groups of keys whose rows are not the same on both sides, with the rows of either.
+
+    Keys are grouped by the first ``digits`` hex digits of their MD5 (NULL keys are a group of
+    their own). Both tables are reduced to one digest a group before anything is shuffled, and no
+    row is joined. Columns of the right side are taken in the left side's types.
+    """
+    names = list(dict.fromkeys([key, *columns]))
+    both = None
+    for frame, sign in ((left, 1), (right, -1)):
+        typed = frame.select(*[F.col(c).cast(left.schema[c].dataType).alias(c) for c in names])
+        to_sum, to_xor = row_digests(names)
+        group = F.substring(F.md5(F.col(key).cast("string")), 1, digits)
+        part = typed.select(
+            group.alias("key_group"), (to_sum * sign).alias("_sum"), to_xor.alias("_xor"), F.lit(sign).alias("_side")
+        )
+        both = part if both is None else both.unionAll(part)
+    grouped = both.groupBy("key_group").agg(
+        F.sum("_sum").alias("_sum"),
+        F.bit_xor("_xor").alias("_xor"),
+        F.count_if(F.col("_side") == 1).alias("left_rows"),
+        F.count_if(F.col("_side") == -1).alias("right_rows"),
+    )
+    same = (F.col("_sum") == 0) & (F.col("_xor") == 0) & (F.col("left_rows") == F.col("right_rows"))
+    return grouped.where(~same).select("key_group", "left_rows", "right_rows")

@@ -601,24 +601,34 @@ def mark_results(settings: Settings, before: Mapping[str, str]) -> list[DataFram
     ]
 
 
-def silver_counts(store: LayerStore) -> dict[str, int]:
-    return {
-        s.name: silver_table(store, s).count() if store.exists("silver", s.name) else 0 for s in ENTITIES
-    }
+def silver_content(store: LayerStore) -> dict[str, tuple[int, str, int]]:
+    """Rows and digests of each silver table over what sources said, not over when it was loaded."""
+    found = {}
+    for spec in ENTITIES:
+        table = silver_table(store, spec) if store.exists("silver", spec.name) else None
+        if table is None:
+            found[spec.name] = (0, "0", 0)
+        else:
+            columns = [c for c in table.columns if c in spec.columns]
+            found[spec.name] = tuple(q.table_digest(table, [*columns, "_row_hash"]).first())
+    return found
 
 
-def repeat_results(settings: Settings, before: Mapping[str, int], check_id: str, severity: str) -> list[DataFrame]:
-    """Silver has as many rows as before a run that had nothing new to add."""
-    after = silver_counts(settings.store)
+def repeat_results(
+    settings: Settings, before: Mapping[str, tuple[int, str, int]], check_id: str, severity: str
+) -> list[DataFrame]:
+    """Silver holds the same rows as before a run that had nothing new to add: the metric is the
+    change in their number, or 1 if as many rows have other contents."""
+    after = silver_content(settings.store)
     return [
         q.known_result(
             settings.store.spark,
             f"silver.{name}",
             f"{check_id}-{name}",
             severity,
-            abs(after[name] - before[name]),
+            abs(after[name][0] - before[name][0]) or int(after[name] != before[name]),
             after[name] == before[name],
-            "rows added by a repeated or empty delivery",
+            "rows added or replaced by a repeated or empty delivery",
         )
         for name in after
     ]
@@ -700,7 +710,7 @@ def run_all(
     _check_mode(mode)
     run, run_id = run or new_run(), str(uuid.uuid4())
     repeated = check and already_succeeded(settings.store, run.batch_id)
-    rows_before = silver_counts(settings.store) if check else {}
+    content_before = silver_content(settings.store) if check else {}
     gold_rows: dict[str, int] = {}
     results: DataFrame | None = None
     stage = partial(logged_stage, settings, run, run_id)
@@ -719,9 +729,9 @@ def run_all(
             else:
                 frames += mark_results(settings, marks)
             if repeated:
-                frames += repeat_results(settings, rows_before, "Q-O03", q.CRIT)
+                frames += repeat_results(settings, content_before, "Q-O03", q.CRIT)
             elif mode == INCREMENTAL and not any(r.rows_in for r in cleaned):
-                frames += repeat_results(settings, rows_before, "Q-O04", q.INFO)
+                frames += repeat_results(settings, content_before, "Q-O04", q.INFO)
             gate = fail_on if not gold else tuple(s for s in fail_on if s == q.CRIT)
             results = _checked(settings, run, stage, frames, gate)
         if gold:

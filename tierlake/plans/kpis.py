@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,6 +149,46 @@ def appointment_rates(appointments: DataFrame, by: tuple[str, ...]) -> DataFrame
     )
 
 
+#: Grains of the appointment indicators, from months by site to the whole.
+APPOINTMENT_GRAINS = (
+    (*MONTH, "sede"),
+    (*MONTH, "especialidad"),
+    (*MONTH, "estado_cita"),
+    MONTH,
+    ("tipo_cita",),
+    ("sede",),
+    ("especialidad",),
+    (),
+)
+
+
+def appointment_rates_by_grain(appointments: DataFrame, grains: Iterable[Iterable[str]] = APPOINTMENT_GRAINS) -> DataFrame:
+    """The rates at several grains from one scan, told apart by ``grain``.
+
+    ``grain`` has a bit for each column that occurs in a grain, in the order of first mention, the
+    first highest: 1 where the column is rolled up, 0 where NULL is a value. Rows are summed by
+    all columns first; only those few sums are multiplied by the grains.
+    """
+    listed = [tuple(g) for g in grains]
+    by = list(dict.fromkeys(c for grain in listed for c in grain))
+    flags = {"es_atendida": "_attended", "es_cancelada": "_cancelled", "es_no_asistencia": "_missed"}
+    finest = appointments.groupBy(*by).agg(_rows().alias("_rows"), *[F.sum(c).alias(name) for c, name in flags.items()])
+    sums = finest.groupingSets([[F.col(c) for c in grain] for grain in listed], *by).agg(
+        F.grouping_id().cast("long").alias("grain"),
+        F.sum("_rows").alias("total_citas"),
+        *[F.sum(name).alias(name) for name in flags.values()],
+    )
+    closed = F.col("_attended") + F.col("_cancelled") + F.col("_missed")
+    return sums.select(
+        "grain",
+        *by,
+        "total_citas",
+        ratio("_attended", closed, 4).alias("tasa_asistencia"),
+        ratio("_cancelled", "total_citas", 4).alias("tasa_cancelacion"),
+        ratio("_missed", "total_citas", 4).alias("tasa_no_asistencia"),
+    )
+
+
 def appointment_reach(appointments: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """Distinct patients with an appointment, and appointments per such patient."""
     return (

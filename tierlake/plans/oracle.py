@@ -684,6 +684,20 @@ def _finals() -> dict[str, str]:
         "incremental_gold_facts": """SELECT 'fact_citas' AS fact, f.id_cita AS key, p.id_paciente AS patient, f.especialidad AS value FROM fact_cit f JOIN dim_pac p USING (sk_paciente)
             UNION ALL SELECT 'fact_eventos_clinicos', f.id_evento, p.id_paciente, f.tipo_evento FROM fact_eve f JOIN dim_pac p USING (sk_paciente)
             UNION ALL SELECT 'fact_facturacion', f.id_factura, p.id_paciente, f.tipo_servicio FROM fact_fac f JOIN dim_pac p USING (sk_paciente)""",
+        "reconciled_contents": """SELECT copy, key_group, count(*) FILTER (WHERE side = 1) AS left_rows, count(*) FILTER (WHERE side = 2) AS right_rows FROM (
+              SELECT copy, side, substr(md5(k), 1, 2) AS key_group, md5(k) LIKE '1%' AND side = 2 AS hurt, k FROM (
+                SELECT copy, 1 AS side, id_factura AS k FROM fact_fac, (VALUES ('renamed'), ('exchanged')) v(copy)
+                UNION ALL SELECT 'exchanged', 2, id_factura FROM fact_fac
+                UNION ALL SELECT 'renamed', 2, CASE WHEN md5(id_factura) LIKE '1%' THEN id_factura || 'x' ELSE id_factura END FROM fact_fac))
+            GROUP BY copy, key_group
+            HAVING copy = 'exchanged' AND bool_or(hurt)
+              OR copy = 'renamed' AND list_sort(list(k) FILTER (WHERE side = 1)) IS DISTINCT FROM list_sort(list(k) FILTER (WHERE side = 2))""",
+        "kpi_appointment_rates_all_grains": f"""SELECT CAST(grouping_id(anio, mes, sede, especialidad, estado_cita, tipo_cita) AS BIGINT) AS grain,
+            anio, mes, sede, especialidad, estado_cita, tipo_cita, count(*) AS total_citas,
+            {_round('sum(es_atendida)', '(sum(es_atendida) + sum(es_cancelada) + sum(es_no_asistencia))', 4)} AS tasa_asistencia,
+            {_round('sum(es_cancelada)', 'count(*)', 4)} AS tasa_cancelacion, {_round('sum(es_no_asistencia)', 'count(*)', 4)} AS tasa_no_asistencia
+            FROM visits GROUP BY GROUPING SETS ((anio, mes, sede), (anio, mes, especialidad), (anio, mes, estado_cita), (anio, mes),
+              (tipo_cita), (sede), (especialidad), ())""",
         "job_with_empty_entity": """SELECT 'silver.pacientes' AS table_name, count(*) AS rows FROM silver_pacientes
             UNION ALL SELECT 'silver.citas', count(*) FROM silver_citas UNION ALL SELECT 'gold.fact_citas', count(*) FROM fact_cit
             UNION ALL SELECT n, 0 FROM (VALUES ('silver.eventos_clinicos'), ('silver.facturacion'), ('gold.fact_eventos_clinicos'), ('gold.fact_facturacion')) v(n)""",
@@ -703,6 +717,8 @@ def _finals() -> dict[str, str]:
               (SELECT count(DISTINCT trim(id_cita)) FROM bronze_citas WHERE _cursor > {_reached()}) AS late_clean)""",
     }
     finals |= {
+        "job_view_appointments": finals["kpi_appointment_operations"],
+        "job_view_billing": finals["kpi_billing_monthly"],
         "incremental_gold_operations": finals["kpi_appointment_operations"],
         "incremental_gold_billing": finals["kpi_billing_monthly"],
         "incremental_gold_summary": finals["kpi_monthly_summary"],

@@ -584,6 +584,11 @@ def kpi_rates_by_month_and_specialty(c: Chain) -> DataFrame:
     return kpis.appointment_rates(_visits(c), (*MONTH, "especialidad"))
 
 
+@query
+def kpi_appointment_rates_all_grains(c: Chain) -> DataFrame:
+    return kpis.appointment_rates_by_grain(_visits(c))
+
+
 @query
 def kpi_appointments_by_state(c: Chain) -> DataFrame:
     return kpis.rows_by(_visits(c), *MONTH, "estado_cita")
@@ -878,6 +883,22 @@ def job_quality_failures(c: Chain) -> DataFrame:
     return found.where(~F.col("check_id").isin("Q-S10", "Q-G02", "Q-G04")).select("check_id", "metric_value", "passed")
 
 
+@query
+def reconciled_contents(c: Chain) -> DataFrame:
+    """Billing facts against copies with as many rows and the same sums, whose rows are moved,
+    renamed, or exchange their payer; only the first copy is the same table."""
+    fact = c.fact("facturacion")
+    taken = _starts("id_factura", "1")
+    columns = ("id_factura", "sk_paciente", "pagador", "valor_neto")
+    copies = {
+        "moved": fact.repartition("pagador"),
+        "renamed": fact.withColumn("id_factura", F.when(taken, F.concat("id_factura", F.lit("x"))).otherwise(F.col("id_factura"))),
+        "exchanged": fact.withColumn("pagador", F.when(taken, F.lit("nadie")).otherwise(F.col("pagador"))),
+    }
+    found = {n: quality.differing_groups(fact, other, "id_factura", columns) for n, other in copies.items()}
+    return _labelled(found, "copy")
+
+
 @query
 def job_rejects_table(c: Chain) -> DataFrame:
     return jobs.rejects_table(_loaded_store(c).store).select(
@@ -894,6 +915,23 @@ def job_stored_summary(c: Chain) -> DataFrame:
     return c.spark.newSession().sql("SELECT * FROM gold.v_kpi_resumen ORDER BY anio, mes")
 
 
+def _view(c: Chain, name: str) -> DataFrame:
+    settings = _loaded_store(c)
+    jobs.publish(settings)
+    kpis.create_kpi_views(c.spark)
+    return c.spark.newSession().table(f"gold.{name}")
+
+
+@query
+def job_view_appointments(c: Chain) -> DataFrame:
+    return _view(c, "v_kpi_operacion_citas")
+
+
+@query
+def job_view_billing(c: Chain) -> DataFrame:
+    return _view(c, "v_kpi_facturacion_mensual")
+
+
 @query
 def job_published_tables(c: Chain) -> DataFrame:
     """Rows of log, reject and quarantine tables and of a view, by catalog name from another session."""
