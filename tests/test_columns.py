@@ -1,3 +1,5 @@
+import hashlib
+import hmac
 from datetime import date
 from decimal import Decimal
 
@@ -75,3 +77,15 @@ def test_ratio_is_null_on_zero(spark):
 def test_value_shapes(spark):
     rows = ["2026-01-01 00:00:00", "08:30", "12", "1.5", "abc", "nan"]
     assert values(spark, rows, fn.value_shape("v")) == ["date", "time", "integer", "decimal", "text", "missing"]
+
+
+def test_keyed_pseudonyms_equal_the_published_vector_and_the_library(spark):
+    published = "5bdcc146bf60754e6a042426089575c75a003f089d2739839dec58b964ec3843"  # fixed value: RFC 4231, case 2
+    assert values(spark, ["what do ya want for nothing?"], fn.keyed_pseudonym("v", b"Jefe")) == [published]
+    texts = ["", "1032", "ñandú 😀", None, "x" * 300]
+    for key in (b"k", b"\x00\xff" * 32, b"longer than one block " * 9):
+        expected = [None if t is None else hmac.new(key, t.encode(), hashlib.sha256).hexdigest() for t in texts]
+        assert values(spark, texts, fn.keyed_pseudonym("v", key)) == expected
+    assert values(spark, [1032], fn.keyed_pseudonym("v", b"k"), "v INT") == values(spark, ["1032"], fn.keyed_pseudonym("v", b"k"))
+    with pytest.raises(ValueError):
+        fn.keyed_pseudonym("v", b"")

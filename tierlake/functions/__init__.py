@@ -11,6 +11,7 @@ from tierlake.functions.columns import (
     decimal_or_null,
     in_domain_or,
     is_set,
+    keyed_pseudonym,
     known_text,
     measure,
     money,
@@ -40,6 +41,7 @@ __all__ = [
     "decimal_or_null",
     "in_domain_or",
     "is_set",
+    "keyed_pseudonym",
     "known_text",
     "measure",
     "money",

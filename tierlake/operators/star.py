@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.functions import date_key, pseudonym, to_flag
+from tierlake.functions import date_key, keyed_pseudonym, pseudonym, to_flag
 from tierlake.operators.entity import Run
 from tierlake.operators.skew import lookup
 from tierlake.operators.surrogate import dense_key
@@ -66,12 +66,15 @@ def calendar_of(*dates: DataFrame) -> DataFrame:
     return calendar_days(years.distinct().select(F.explode(F.sequence(first, last)).alias("fecha")))
 
 
-def describe_patients(patients: DataFrame, salt: str | None = None) -> DataFrame:
-    """Patient attributes by allow-list: names never enter, the document number only as a hash."""
+def describe_patients(patients: DataFrame, salt: str | None = None, key: bytes | None = None) -> DataFrame:
+    """Patient attributes by allow-list: names never enter, the document number only as a hash, keyed
+    if there is a key."""
+    document = "numero_documento"
+    hashed = pseudonym(document, salt) if key is None else keyed_pseudonym(document, key)
     return patients.select(
         "id_paciente",
         "tipo_documento",
-        pseudonym("numero_documento", salt).alias("numero_documento_hash"),
+        hashed.alias("numero_documento_hash"),
         "sexo",
         "aseguradora",
         "ciudad",
@@ -81,9 +84,11 @@ def describe_patients(patients: DataFrame, salt: str | None = None) -> DataFrame
     )
 
 
-def dim_patient(patients: DataFrame, run: Run, staging: Staging, salt: str | None = None) -> DataFrame:
+def dim_patient(
+    patients: DataFrame, run: Run, staging: Staging, salt: str | None = None, key: bytes | None = None
+) -> DataFrame:
     """Patient dimension: described patients, numbered in the order of their ids."""
-    described = describe_patients(patients, salt)
+    described = describe_patients(patients, salt, key)
     keyed = dense_key(described, "id_paciente", "sk_paciente", staging)
     return keyed.withColumn("_valid_from", run.timestamp())
 

@@ -83,6 +83,7 @@ class Settings:
     split_heavy_keys: bool = True
     row_bands: Mapping[str, tuple[int, int]] = field(default_factory=dict)
     identifier_salt: str | None = None
+    identifier_key: bytes | None = field(default=None, repr=False)  # instead of a salt: keyed hashes
     lookback: str | None = None
     record_changes: bool = False  # increments write down the keys they may change, for incremental gold
 
@@ -405,7 +406,9 @@ def build_dimensions(settings: Settings, run: Run) -> None:
             days = calendar(store.spark, *settings.calendar_span)
         store.overwrite(days, "gold", "dim_tiempo")
         store.overwrite(
-            dim_patient(silver["pacientes"], run, staging, settings.identifier_salt), "gold", "dim_paciente"
+            dim_patient(silver["pacientes"], run, staging, settings.identifier_salt, settings.identifier_key),
+            "gold",
+            "dim_paciente",
         )
         for fact in FACTS:
             for column, key in fact.lookups.items():

@@ -70,6 +70,12 @@ def _real(c: str, name: str | None = None) -> str:
     return f"CAST({c} AS DOUBLE) AS {name or c}"
 
 
+def _padded(pad: int) -> str:
+    """The key of the keyed pseudonyms, filled up to a hash block and xor-ed with a pad, as a blob."""
+    block = b"key of the comparison".ljust(64, b"\0")
+    return "'" + "".join(f"\\x{b ^ pad:02X}" for b in block) + "'::BLOB"
+
+
 def _int(c: str, name: str) -> str:
     return f"CAST({c} AS BIGINT) AS {name}"
 
@@ -497,6 +503,8 @@ def _finals() -> dict[str, str]:
         "zoned_times_to_utc": f"SELECT event_id, {_time('ts + INTERVAL 5 HOUR', 'from_offset')}, {_time('ts + INTERVAL 5 HOUR', 'from_zone')} FROM events",
         "ages_and_pseudonyms": f"""SELECT {_age(f"CAST({_stamp('fecha_nacimiento')} AS DATE)")} AS age, sha256({_text('numero_documento')}) AS document_hash,
             sha256('s1-' || {_text('numero_documento')}) AS salted_hash FROM raw_pacientes""",
+        "keyed_pseudonyms": f"""SELECT d AS document, sha256({_padded(0x5C)} || unhex(sha256({_padded(0x36)} || encode(d)))) AS document_hash
+            FROM (SELECT {_text('numero_documento')} AS d FROM raw_pacientes)""",
         "clean_pacientes": f"""SELECT * EXCLUDE (had_date, bad_date, creado_en, actualizado_en, fecha_nacimiento),
             bad_date AS _bad_birth_date, {_date('fecha_nacimiento')}, {_time('creado_en')}, {_time('actualizado_en')} FROM clean_pacientes""",
         "clean_citas": f"""SELECT * EXCLUDE (creado_en, actualizado_en, fecha_hora_cita, fecha_cita), {_time('creado_en')}, {_time('actualizado_en')},

@@ -21,6 +21,7 @@ from tierlake.functions import (
     canonical_number,
     clean_text,
     in_domain_or,
+    keyed_pseudonym,
     known_text,
     measure,
     money,
@@ -194,6 +195,14 @@ def ages_and_pseudonyms(c: Chain) -> DataFrame:
     )
 
 
+@query
+def keyed_pseudonyms(c: Chain) -> DataFrame:
+    document = clean_text("numero_documento")
+    return c.raw("pacientes").select(
+        document.alias("document"), keyed_pseudonym(document, b"key of the comparison").alias("document_hash")
+    )
+
+
 # --- silver --------------------------------------------------------------------------------------
 
 _HIDDEN = ("_ingested_at", "_source_file", "_batch_id", "_silver_processed_at")
