@@ -534,6 +534,9 @@ def _finals() -> dict[str, str]:
         "incremental_rows_with_lookback": f"SELECT CAST(CAST(_cursor AS DATE) AS VARCHAR) AS day, count(*) AS rows FROM bronze_citas WHERE _cursor > {_MARK} - INTERVAL 30 DAY GROUP BY 1",
         "upsert_appointments": _merged("merged_citas"),
         "upsert_appointments_twice": _merged("merged_citas"),
+        "delta_merged_appointments": f"""SELECT * FROM ({_merged("merged_citas")}) CROSS JOIN (VALUES ('deltas'), ('folded')) v(state)""",
+        "delta_deleted_appointments": _merged("new_citas") + " UNION ALL "
+        + _merged("old_citas WHERE estado_cita <> 'Programada' AND id_cita NOT IN (SELECT id_cita FROM new_citas)"),
         "upsert_only_changed": f"""SELECT CASE WHEN estado_cita = 'Cancelada' THEN '20020102_000000_cafe0002' ELSE '{_BATCH}' END AS _batch_id,
             estado_cita, count(*) AS rows FROM old_citas GROUP BY ALL""",
         "soft_deleted_patients": """SELECT id_paciente, id_paciente IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderdate > TIMESTAMP '2001-03-31') AS _is_active

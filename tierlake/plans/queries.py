@@ -32,6 +32,7 @@ from tierlake.functions import (
 )
 from tierlake.operators import profile, quality
 from tierlake.operators.dedupe import latest_per_key, newest_first
+from tierlake.operators.deltas import DeltaTable
 from tierlake.operators.entity import Run, add_lineage, attach_parents, reject_counts, union_rejects
 from tierlake.operators.history import first_versions, next_versions, observed, version_at, version_key, versions_of
 from tierlake.operators.skew import heavy_keys, lookup
@@ -369,6 +370,30 @@ def upsert_appointments_twice(c: Chain) -> DataFrame:
     return store.read("silver", "citas").select(*_MERGED)
 
 
+@query
+def delta_merged_appointments(c: Chain) -> DataFrame:
+    """A base, the newer versions and the older ones again as deltas: read before and after folding."""
+    old, new = _slices(c)
+    table = DeltaTable(_fresh_store(c), "silver", "citas", "id_cita", newest_first(CURSOR))
+    for rows in (old, new, old):
+        table.upsert(rows)
+    before = c.staging.keep(table.read().select(*_MERGED), "before-folding")
+    table.compact(ratio=float("inf"))
+    return _labelled({"deltas": before, "folded": table.read().select(*_MERGED)}, "state")
+
+
+@query
+def delta_deleted_appointments(c: Chain) -> DataFrame:
+    """The last upsert wins: keys of the older versions go, then those of the newer ones arrive."""
+    old, new = _slices(c)
+    table = DeltaTable(_fresh_store(c), "silver", "citas", "id_cita")
+    table.upsert(old)
+    table.delete(old.where(F.col("estado_cita") == "Programada"))
+    table.upsert(new)
+    table.compact()
+    return table.read().select(*_MERGED)
+
+
 @query
 def upsert_only_changed(c: Chain) -> DataFrame:
     """A re-delivered snapshot updates only the rows whose content hash differs."""

@@ -138,6 +138,15 @@ class LayerStore:
         names = [status.getPath().getName() for status in files.listStatus(folder)]
         return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
 
+    def subfolders(self, layer: str, name: str) -> list[str]:
+        files, folder = self._folder(self.path(layer, name))
+        return sorted(status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory())
+
+    def size(self, layer: str, name: str) -> int:
+        """Bytes of a table's files."""
+        files, folder = self._folder(self.path(layer, name))
+        return files.getContentSummary(folder).getLength()
+
     def drop_partition(self, layer: str, name: str, values: Mapping[str, str]) -> None:
         steps = "/".join(f"{column}={value}" for column, value in values.items())
         files, folder = self._folder(f"{self.path(layer, name)}/{steps}")
