@@ -666,6 +666,19 @@ def _finals() -> dict[str, str]:
         ),
         "job_quality_report": _quality(),
         "job_quality_failures": _failures(),
+        "open_rejects_of_five_entities": f"""SELECT _entity, '{_BATCH}' AS _batch_id, _reject_reason, id_paciente, id_cita, id_evento, id_factura,
+              NULL AS s_name, valor_bruto, CAST(NULL AS DOUBLE) AS s_acctbal, CAST(NULL AS BIGINT) AS s_nationkey FROM ({_REJECTS})
+            UNION ALL SELECT 'proveedores', '{_BATCH}', 'Saldo negativo', NULL, NULL, NULL, NULL, s_name, NULL, CAST(s_acctbal AS DOUBLE), s_nationkey
+            FROM supplier WHERE s_acctbal < 0""",
+        "kpi_distinct_patients_merged": " UNION ALL ".join(
+            f"SELECT '{grain}' AS grain, {period} AS periodo, {group} AS grupo, count(DISTINCT id_paciente) AS exact, true AS within_error"
+            f" FROM (SELECT *, {_key('fecha_hora_cita')} AS day FROM fact_cit) WHERE day IS NOT NULL GROUP BY ALL"
+            for grain, period, group in (
+                ("month and site", "CAST(day // 100 AS INTEGER)", "sede"),
+                ("year and specialty", "CAST(day // 10000 AS INTEGER)", "especialidad"),
+                ("all", "CAST(NULL AS INTEGER)", "CAST(NULL AS VARCHAR)"),
+            )
+        ),
         "job_rejects_table": f"SELECT _entity, '{_BATCH}' AS _batch_id, _reject_reason, id_paciente, id_cita, id_evento, id_factura FROM ({_REJECTS})",
         "job_run_health": f"""SELECT 'rejected_rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM ({_REJECTS})
             UNION ALL SELECT 'failed_critical_checks', '0' UNION ALL SELECT 'last_successful_load', 'true'""",
@@ -719,6 +732,13 @@ def _finals() -> dict[str, str]:
             UNION ALL SELECT 'month', id_cita, id_paciente, sk_paciente, sk_fecha_cita FROM fact_cit
               WHERE sk_fecha_cita // 100 = (SELECT sk_fecha_cita // 100 FROM fact_cit GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)""",
         "clustered_fact_rows": f"SELECT CAST(year(fecha_cita) AS INTEGER) AS anio, count(*) AS rows, {_int('sum(sk_paciente)', 'key_sum')} FROM fact_cit GROUP BY 1",
+        "arrivals_out_of_order": f"""WITH d AS (SELECT o_orderkey, o_orderdate, CASE WHEN year(o_orderdate) < 1998 THEN 1
+              WHEN year(o_orderdate) IN (1999, 2000) THEN 2 ELSE 3 END AS delivery FROM orders),
+            m AS (SELECT max(o_orderdate) - INTERVAL 500 DAY AS mark FROM d WHERE delivery < 3),
+            third AS (SELECT o_orderkey, o_orderdate, 3 AS delivery, delivery = 2 AS again, o_orderdate <= mark AS late FROM d, m WHERE delivery > 1)
+            SELECT 'taken' AS side, o_orderkey, {_time('o_orderdate')}, delivery FROM d WHERE delivery < 3
+            UNION ALL SELECT CASE WHEN late THEN 'late' ELSE 'taken' END, o_orderkey, {_time('o_orderdate')}, delivery
+            FROM third WHERE late OR NOT again""",
         "streamed_appointments": f"""SELECT id_cita, estado_cita, {_time('_cursor')}, _row_hash FROM bronze_citas
             QUALIFY row_number() OVER (PARTITION BY id_cita ORDER BY _cursor DESC NULLS LAST, _row_hash) = 1""",
         "job_incremental_runs": f"""SELECT r AS run, _entity, CASE WHEN r = 1 AND _entity = 'citas' THEN late_raw ELSE 0 END AS rows_read,

@@ -34,6 +34,8 @@ from tierlake.operators import profile, quality
 from tierlake.operators.dedupe import latest_per_key, newest_first
 from tierlake.operators.deltas import DeltaTable
 from tierlake.operators.entity import Run, add_lineage, attach_parents, reject_counts, union_rejects
+from tierlake.operators import sketches
+from tierlake.operators.open_rejects import field, open_rejects, write_open_rejects
 from tierlake.operators.history import first_versions, next_versions, observed, version_at, version_key, versions_of
 from tierlake.operators.skew import heavy_keys, lookup
 from tierlake.operators.star import FACTS, LOOKUP_DIMS, calendar, calendar_of, patient_bi
@@ -46,7 +48,7 @@ from tierlake.plans.entities import APPOINTMENT_STATES, BY_NAME, CURSOR, ENTITIE
 from tierlake.plans.feed import STATEMENTS
 from tierlake.sources.readers import read_as_text
 from tierlake.sources.store import LayerStore
-from tierlake.streaming import upsert_arrivals
+from tierlake.streaming import admit_arrivals, distinct_arrivals, upsert_arrivals, with_source_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -275,6 +277,21 @@ def rejects_of_all_entities(c: Chain) -> DataFrame:
     )
 
 
+@query
+def open_rejects_of_five_entities(c: Chain) -> DataFrame:
+    """Rejects of the four entities, and of suppliers, which no entity declares, in one open table."""
+    store = _fresh_store(c)
+    for spec in ENTITIES:
+        rejected = c.tagged(spec.name).where("_reject_reason IS NOT NULL")
+        write_open_rejects(rejected, store, spec.name, RUN.batch_id)
+    indebted = c.table("supplier").where("s_acctbal < 0")
+    for _ in range(2):
+        write_open_rejects(indebted, store, "proveedores", RUN.batch_id, F.lit("Saldo negativo"))
+    keys = [field(k).alias(k) for k in ("id_paciente", "id_cita", "id_evento", "id_factura", "s_name")]
+    numbers = [field(n, "double").alias(n) for n in ("valor_bruto", "s_acctbal")]
+    return open_rejects(store).select("_entity", "_batch_id", "_reject_reason", *keys, *numbers, field("s_nationkey", "bigint").alias("s_nationkey"))
+
+
 @query
 def row_conservation(c: Chain) -> DataFrame:
     """Rows in = older versions + valid + rejected, per entity."""
@@ -729,6 +746,31 @@ def kpi_patients_without_appointments(c: Chain) -> DataFrame:
     return kpis.patients_without_appointments(c.patients, in_period).select("id_paciente")
 
 
+@query
+def kpi_distinct_patients_merged(c: Chain) -> DataFrame:
+    """Patients seen by month and site, by year and specialty and in all: exactly, and from sketches by
+    day, site and specialty to which half of the rows were added later, twice."""
+    store, fact = _fresh_store(c), c.fact("citas").where("sk_fecha_cita IS NOT NULL")
+    later = F.pmod(F.xxhash64("id_cita"), F.lit(2)) == 1
+    by, month = ("sk_fecha_cita", "sede", "especialidad"), F.floor(F.col("sk_fecha_cita") / 100).cast("int")
+    sketches.rebuild_sketches(fact.where(~later), store, "distinct_pacientes", by, "id_paciente", month)
+    for _ in range(2):
+        sketches.add_to_sketches(fact.where(later), store, "distinct_pacientes", by, "id_paciente", month)
+    stored = store.read("gold", "distinct_pacientes")
+    found = {}
+    for grain, keys in {
+        "month and site": (month.alias("periodo"), F.col("sede").alias("grupo")),
+        "year and specialty": (F.floor(F.col("sk_fecha_cita") / 10000).cast("int").alias("periodo"), F.col("especialidad").alias("grupo")),
+        "all": (F.lit(None).cast("int").alias("periodo"), F.lit(None).cast("string").alias("grupo")),
+    }.items():
+        exact = fact.groupBy(*keys).agg(F.count_distinct("id_paciente").alias("exact"))
+        same = F.col("x.periodo").eqNullSafe(F.col("m.periodo")) & F.col("x.grupo").eqNullSafe(F.col("m.grupo"))
+        both = exact.alias("x").join(sketches.merged_distincts(stored, keys).alias("m"), same, "full")
+        close = sketches.within_error(F.col("exact"), F.col(sketches.ESTIMATE))
+        found[grain] = both.select("x.periodo", "x.grupo", "exact", F.coalesce(close, F.lit(False)).alias("within_error"))
+    return _labelled(found, "grain")
+
+
 @query
 def kpi_mean_age_by_specialty(c: Chain) -> DataFrame:
     return kpis.mean_age_by_specialty(c.patients, c.fact("citas"))
@@ -1158,3 +1200,29 @@ def streamed_appointments(c: Chain) -> DataFrame:
         )
         stream.awaitTermination()
     return store.read("bronze", "citas").drop(BUCKET).select("id_cita", "estado_cita", "_cursor", "_row_hash")
+
+
+DELAY = "500 days"
+
+
+@query
+def arrivals_out_of_order(c: Chain) -> DataFrame:
+    """Three deliveries of orders, each in event time: the third brings a year that was left out, and
+    the second once more. Rows behind the mark are late, others are taken once."""
+    store = _fresh_store(c)
+    landing = f"{store.root}/landing"
+    orders = c.table("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
+    year = F.year("o_orderdate")
+    second = orders.where(year.isin(1999, 2000))
+    deliveries = (orders.where(year < 1998), second, orders.where((year == 1998) | (year > 2000)).unionByName(second))
+    for number, rows in enumerate(deliveries, 1):
+        rows.write.parquet(f"{landing}/delivery={number}")
+        arrivals = with_source_file(c.spark.readStream.schema(orders.schema).parquet(f"{landing}/delivery=*"))
+        admit_arrivals(arrivals, "o_orderdate", DELAY, store, "pedidos", f"{store.root}/cp-admit").awaitTermination()
+        distinct = distinct_arrivals(
+            arrivals, ("o_orderkey", "o_orderdate"), "o_orderdate", DELAY, store, "pedidos", f"{store.root}/cp-distinct"
+        )
+        distinct.awaitTermination()
+    delivery = F.regexp_extract("_source_file", "delivery=([0-9]+)", 1).cast("int").alias("delivery")
+    sides = {"taken": store.read("bronze", "pedidos"), "late": store.read("bronze", "pedidos__late")}
+    return _labelled({k: f.select("o_orderkey", "o_orderdate", delivery) for k, f in sides.items()}, "side")
