@@ -1,7 +1,8 @@
 """Stored sketches of distinct values by day and group, merged to any period without reading rows again.
 
 Exact counts stay the default of the KPIs; these are for periods and groups nobody has counted yet.
-Merging a sketch twice changes nothing, so a delivery that is added again leaves the same estimates.
+Registers take maxima, so a delivery that is added again changes none of them (only the formula by which
+the very first merge of a sketch estimates may differ, within the stated error).
 Sketches only grow: rows that are taken out of a table need its days to be built anew.
 """
 

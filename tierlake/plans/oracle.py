@@ -666,6 +666,10 @@ def _finals() -> dict[str, str]:
         ),
         "job_quality_report": _quality(),
         "job_quality_failures": _failures(),
+        "job_quality_failures_alone": f"""SELECT 'Q-S10' AS check_id, CAST(count(*) AS DOUBLE) AS metric_value, count(*) = 0 AS passed
+              FROM silver_pacientes WHERE fecha_nacimiento IS NOT NULL AND {_has('id_paciente', '1')}
+            UNION ALL SELECT 'Q-G02', CAST(count(*) AS DOUBLE), count(*) = 0 FROM fact_fac WHERE valor_neto IS NOT NULL AND {_has('id_factura', '2')}
+            UNION ALL SELECT 'Q-G04', 3.0, false""",
         "open_rejects_of_five_entities": f"""SELECT _entity, '{_BATCH}' AS _batch_id, _reject_reason, id_paciente, id_cita, id_evento, id_factura,
               NULL AS s_name, valor_bruto, CAST(NULL AS DOUBLE) AS s_acctbal, CAST(NULL AS BIGINT) AS s_nationkey FROM ({_REJECTS})
             UNION ALL SELECT 'proveedores', '{_BATCH}', 'Saldo negativo', NULL, NULL, NULL, NULL, s_name, NULL, CAST(s_acctbal AS DOUBLE), s_nationkey

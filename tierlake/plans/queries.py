@@ -955,10 +955,28 @@ def job_quality_failures(c: Chain) -> DataFrame:
         settings.store.overwrite(source.read("gold", name), "gold", name)
     frames = jobs.bronze_results(settings) + jobs.silver_results(settings) + jobs.gold_results(settings)
     found = quality.all_results(frames).where((F.col("severity") == quality.CRIT) | (F.col("check_id") == "Q-S12"))
-    # Q-S10 compares row hashes with bronze, Q-G02 amounts with silver; both are damaged otherwise.
+    # Q-S10 compares row hashes with bronze, Q-G02 amounts with silver; both are damaged otherwise. These
+    # and Q-G04 fail over copies of their own, below.
     return found.where(~F.col("check_id").isin("Q-S10", "Q-G02", "Q-G04")).select("check_id", "metric_value", "passed")
 
 
+@query
+def job_quality_failures_alone(c: Chain) -> DataFrame:
+    """Checks between two tables of which one alone is damaged: birth dates that silver lost, bills that
+    gold raised, and a report table that shows names and documents."""
+    store = _loaded_store(c).store
+    patients, bills = jobs.silver_table(store, BY_NAME["pacientes"]), jobs.silver_table(store, BY_NAME["facturacion"])
+    fact = store.read("gold", "fact_facturacion")
+    frames = [
+        jobs.lost_birth_dates(
+            jobs.bronze_table(store, BY_NAME["pacientes"]), _changed(patients, "id_paciente", "1", "fecha_nacimiento", F.lit(None))
+        ),
+        jobs.billed_difference(bills, _changed(fact, "id_factura", "2", "valor_neto", F.col("valor_neto") + 1)),
+        jobs.exposed_identifiers(patients),
+    ]
+    return quality.all_results(frames).select("check_id", "metric_value", "passed")
+
+
 @query
 def reconciled_contents(c: Chain) -> DataFrame:
     """Billing facts against copies with as many rows and the same sums, whose rows are moved,
