@@ -529,6 +529,11 @@ def _finals() -> dict[str, str]:
         ),
         "appointments_of_known_patients": "SELECT id_cita, id_paciente FROM latest_citas WHERE id_paciente IN (SELECT id_paciente FROM silver_pacientes)",
         "orphan_appointments": "SELECT id_cita, id_paciente FROM latest_citas c WHERE NOT EXISTS (SELECT 1 FROM silver_pacientes p WHERE p.id_paciente = c.id_paciente)",
+        "colocated_orphans": " UNION ALL ".join(
+            f"""SELECT '{n}' AS _entity, found, CAST(sum(rows) AS BIGINT) AS rows, count(*) AS keys FROM
+              (SELECT {k}, count(*) AS rows, {k} IN (SELECT {k} FROM silver_{p}) AS found FROM tagged_{n} WHERE {k} IS NOT NULL GROUP BY {k}) GROUP BY found"""
+            for n, p, k in (("citas", "pacientes", "id_paciente"), ("eventos_clinicos", "citas", "id_cita"), ("facturacion", "citas", "id_cita"))
+        ),
         "event_patient_coherence": "SELECT l.id_paciente = c.id_paciente AS paciente_coherente_con_cita, count(*) AS rows FROM latest_eventos_clinicos l LEFT JOIN silver_citas c ON l.id_cita = c.id_cita GROUP BY 1",
         "incremental_rows": f"SELECT id_cita, {_time('_cursor')}, _row_hash FROM bronze_citas WHERE _cursor > {_MARK}",
         "incremental_rows_with_lookback": f"SELECT CAST(CAST(_cursor AS DATE) AS VARCHAR) AS day, count(*) AS rows FROM bronze_citas WHERE _cursor > {_MARK} - INTERVAL 30 DAY GROUP BY 1",

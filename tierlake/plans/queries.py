@@ -31,6 +31,7 @@ from tierlake.functions import (
     pseudonym,
 )
 from tierlake.operators import profile, quality
+from tierlake.operators.colocated import ColocatedTable
 from tierlake.operators.dedupe import latest_per_key, newest_first
 from tierlake.operators.deltas import DeltaTable
 from tierlake.operators.entity import Run, add_lineage, attach_parents, reject_counts, union_rejects
@@ -326,6 +327,32 @@ def orphan_appointments(c: Chain) -> DataFrame:
     return _with_patient(c).where("_known IS NULL").select("id_cita", "id_paciente")
 
 
+def _colocated(c: Chain, entity: str) -> ColocatedTable:
+    """Silver of an entity, in as many buckets as shuffles have partitions."""
+    buckets = int(c.spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{entity}_{uuid.uuid4().hex[:8]}"
+    table = ColocatedTable(_fresh_store(c), "silver", name, BY_NAME[entity].pk, buckets, "colocated")
+    table.overwrite(c.silver(entity))
+    return table
+
+
+@query
+def colocated_orphans(c: Chain) -> DataFrame:
+    """References of appointments, events and bills, valid or not, to patients and appointments in silver,
+    which are read from their buckets."""
+    patients, visits = _colocated(c, "pacientes"), _colocated(c, "citas")
+    pairs = {
+        "citas": (patients, "citas"), "eventos_clinicos": (visits, "eventos_clinicos"), "facturacion": (visits, "facturacion"),
+    }
+    totals = {
+        name: parents.matched(c.tagged(child).where(F.col(parents.key).isNotNull())).groupBy("found").agg(
+            F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("keys")
+        )
+        for name, (parents, child) in pairs.items()
+    }
+    return _labelled(totals, "_entity")
+
+
 @query
 def event_patient_coherence(c: Chain) -> DataFrame:
     spec = BY_NAME["eventos_clinicos"]
