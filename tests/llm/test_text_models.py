@@ -195,11 +195,16 @@ def test_resampling_matches_brute_force(spark, documents, staging):
     assert np.allclose(ratio, np.log(target / target.sum()) - np.log(raw / raw.sum()))
     found = resample.resample(documents, ratio, staging).collect()
     assert len(found) == len(rows)
-    keys = sorted((r.gumbel_key for r in found), reverse=True)
-    least = keys[round(resample.SHARE * len(rows)) - 1]
-    assert all(r.selected == (r.gumbel_key >= least) for r in found)
+    # Texts without words are never sampled and do not count for the share.
+    worded = [r for r in found if r.log_weight is not None]
+    assert len(worded) == sum(bool((r.text or "").split()) for r in rows) < len(rows)
+    keys = sorted((r.gumbel_key for r in worded), reverse=True)
+    least = keys[round(resample.SHARE * len(worded)) - 1]
+    assert all(r.selected == (r.gumbel_key >= least) for r in worded)
+    assert not any(r.selected for r in found if r.log_weight is None)
     odd = by_id(found)
-    assert odd[1000].log_weight == odd[1001].log_weight == 0
+    assert odd[1000].log_weight is odd[1001].gumbel_key is None and odd[1000].selected is False
+    found = worded
     good = np.mean([r.log_weight for r in found if r.doc_id is not None and r.doc_id < 240 and r.doc_id % 3 == 0])
     assert good > np.mean([r.log_weight for r in found if r.doc_id is not None and r.doc_id < 240 and r.doc_id % 3])
     assert resample.resample(documents.limit(0), ratio, staging).count() == 0

@@ -7,7 +7,8 @@ Adding Gumbel noise, drawn from a hash of the id, and taking the k highest keys
 without replacement in proportion to their weights. The k-th key is found by counting keys in
 ever finer intervals, so no ordering of all documents is needed.
 
-Edge cases: null and empty texts have weight 0; null ids share one noise value; ties at the k-th key
+Edge cases: texts without words have no weight and are never sampled, nor do they count for the share;
+null ids share one noise value; ties at the k-th key
 are all selected; without labels the ratio is that of an empty target; an empty table gives no rows.
 """
 
@@ -68,9 +69,9 @@ def fit(documents: DataFrame, labels: DataFrame, target_docs: int = TARGET_DOCS)
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def weight(text: bytes | None, ratio: np.ndarray) -> float:
+def weight(text: bytes | None, ratio: np.ndarray) -> float | None:
     at = buckets(text)
-    return float(ratio[at].mean() * EXCERPT) if len(at) else 0.0
+    return float(ratio[at].mean() * EXCERPT) if len(at) else None
 
 
 def _weights(ratio: np.ndarray, batch: pa.RecordBatch) -> dict[str, pa.Array]:
@@ -106,14 +107,14 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> float | None:
 
 
 def resample(documents: DataFrame, ratio: np.ndarray, staging: Staging, share: float = SHARE) -> DataFrame:
-    """doc_id, log_weight, gumbel_key and whether the row is among the sampled ``share``."""
+    """doc_id, log_weight, gumbel_key and whether the row is among the sampled ``share`` of those with words."""
     weighed = weigh(documents.select("doc_id", "text"), ratio, drop=("text",))
     slot = F.pmod(F.xxhash64(F.lit("gumbel"), "doc_id"), F.lit(1 << 52))
     uniform = (slot + F.lit(0.5)) / F.lit(float(1 << 52))
     keyed = staging.keep(weighed.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform))), "keys")
-    total = keyed.count()
-    least = kth_largest(keyed, "gumbel_key", round(share * total))
-    chosen = F.lit(False) if least is None else F.col("gumbel_key") >= F.lit(least)
+    weighted = keyed.filter(F.col("gumbel_key").isNotNull())
+    least = kth_largest(weighted, "gumbel_key", round(share * weighted.count()))
+    chosen = F.lit(False) if least is None else F.coalesce(F.col("gumbel_key") >= F.lit(least), F.lit(False))
     return keyed.withColumn("selected", chosen)
 
 
