@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,6 +150,21 @@ def test_phrases_equal_brute_force(spark, staging, spoken, least, top, sizes):
     assert sorted(map(tuple, found)) == plain_phrases(rows, least, top)
 
 
+def test_counts_leave_a_task_in_blocks_and_are_merged_exactly():
+    sums = phrases.Sums("phrase")
+    counts = {b"one p%d" % i: i % 7 + 1 for i in range(500)}
+    rows = []
+    for lang in (b"en", b"a\nb"):
+        for _ in range(2):
+            assert not list(sums.add(lang, list(counts), list(counts.values())))
+            rows.append(pa.Table.from_batches(phrases._blocks(3, sums.emit())))
+    assert [len(r) for r in rows] == [3] * 4
+    ordered = pa.concat_tables(rows).sort_by([("lang", "ascending"), ("part", "ascending")])
+    merged = pa.Table.from_batches(phrases._merge_blocks(10, ordered.to_batches(max_chunksize=2))).to_pylist()
+    expected = sorted((lang, p, 2 * n) for lang in (b"en", b"a\nb") for p, n in counts.items() if 2 * n >= 10)
+    assert sorted((r["lang"], r["phrase"], r["n"]) for r in merged) == expected
+
+
 def test_phrases_of_an_empty_table(spark, staging, spoken):
     assert phrases.collocations(spoken[1].limit(0), staging).collect() == []
 

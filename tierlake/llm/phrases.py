@@ -8,7 +8,8 @@ length, each length in one pass over the texts:
   hash, over partitions. A partition's counts are merged into one Misra-Gries summary whose capacity
   exceeds the partition's mass over the threshold, so that no phrase that occurs often enough can be
   lost, in memory that depends on the capacity alone. Partitions are as many as keep it small.
-- Last pass: phrases that survive in any summary are counted exactly, by their words.
+- Last pass: phrases that survive in any summary are counted exactly, by their words. Tasks send their
+  counts in blocks, dealt by hash, which are merged block by block.
 
 Survivors travel to the tasks as bitmaps of a fixed size. A chance hit in one costs some work and
 changes no result, as what counts in the end is the exact count.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,6 +48,8 @@ SEGMENT = 4 << 20
 HELD = 1 << 20
 SUMS_HELD = 400_000
 COUNTERS = 1 << 16
+#: Phrases of a part whose exact counts are merged in one task, at most.
+MERGED = 1 << 19
 
 _STOP = b","
 _MARKS = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
@@ -283,8 +287,30 @@ def _merge_summaries(least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[
         yield ended()
 
 
-def _count_phrases(found: dict[int, Bitmap], segment: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact counts of surviving phrases, by their words."""
+_BLOCKS = "lang binary, part int, phrases binary, counts binary"
+
+
+def _blocks(parts: int, sums: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of phrases in blocks: per language and part, the phrases (no phrase holds a line feed) and
+    their counts. A phrase has the same part in every task."""
+    names, kinds = ["lang", "part", "phrases", "counts"], (pa.binary(), pa.int32(), pa.binary(), pa.binary())
+    for batch in sums:
+        lang, phrases, counts = batch.column(0)[0].as_py(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
+        part = np.fromiter((zlib.crc32(p) % parts for p in phrases), dtype=np.int64, count=len(phrases))
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        rows = []
+        for p in np.flatnonzero(np.diff(edges)).tolist():
+            here = order[edges[p] : edges[p + 1]]
+            rows.append((lang, p, b"\n".join([phrases[i] for i in here.tolist()]), counts[here].astype("<i8").tobytes()))
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _count_phrases(
+    found: dict[int, Bitmap], parts: int, segment: int, batches: Iterable[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Exact counts of surviving phrases, by their words, in blocks."""
     sums = Sums("phrase")
     for lang, words, carried in word_runs(batches, segment):
         ids, known = _numbers(words)
@@ -299,8 +325,29 @@ def _count_phrases(found: dict[int, Bitmap], segment: int, batches: Iterable[pa.
             counts = np.bincount(inverse[at >= carried - length + 1], minlength=len(first))
             some = np.flatnonzero(counts)
             named = [b" ".join(words[start : start + length]) for start in at[first[some]].tolist()]
-            yield from sums.add(lang, named, counts[some].tolist())
-    yield from sums.emit()
+            yield from _blocks(parts, sums.add(lang, named, counts[some].tolist()))
+    yield from _blocks(parts, sums.emit())
+
+
+def _merge_blocks(least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases that occur ``least`` times; rows come sorted by language and part, which no two tasks share."""
+    place, sums = None, Sums("phrase")
+
+    def ended() -> Iterator[pa.RecordBatch]:
+        for own in sums.held.values():
+            for phrase in [p for p, n in own.items() if n < least]:
+                del own[phrase]
+        yield from sums.emit()
+
+    for batch in batches:
+        for lang, part, phrases, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (lang, part) != place:
+                yield from ended()
+                place = (lang, part)
+            own = sums.held.setdefault(lang, {})
+            for phrase, n in zip(phrases.split(b"\n"), np.frombuffer(counts, dtype="<i8").tolist(), strict=True):
+                own[phrase] = own.get(phrase, 0) + n
+    yield from ended()
 
 
 def frequent(documents: DataFrame, staging: Staging, least: int = LEAST, segment: int = SEGMENT, counters: int = COUNTERS) -> DataFrame:
@@ -324,9 +371,13 @@ def frequent(documents: DataFrame, staging: Staging, least: int = LEAST, segment
         ordered = dealt.repartition("part").sortWithinPartitions("part", F.col("hashes").isNotNull())
         alive = Bitmap.of(staging.keep(ordered.mapInArrow(functools.partial(_merge_summaries, least), "h long"), "alive"))
         found = found | {length: alive for length in lengths}
-    counted = texts.mapInArrow(functools.partial(_count_phrases, found, segment), "lang binary, phrase binary, n long")
-    phrases = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    both = words.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f")).union(phrases)
+    # As many parts as keep the phrases of one, of which each occurs ``least`` times, in memory.
+    parts = LONGEST * mass // (least * MERGED) + 1
+    blocks = texts.mapInArrow(functools.partial(_count_phrases, found, parts, segment), _BLOCKS)
+    place = ("lang", "part")
+    counted = blocks.repartition(*place).sortWithinPartitions(*place)
+    phrases = counted.mapInArrow(functools.partial(_merge_blocks, least), "lang binary, phrase binary, n long")
+    both = words.select("lang", F.col("word").alias("phrase"), "n").union(phrases).withColumnRenamed("n", "f")
     lang, phrase = F.col("lang").cast("string"), F.col("phrase").cast("string")
     k = F.coalesce(F.size(F.split(phrase, " ", -1)), F.lit(0))
     return staging.keep(both.select(lang.alias("lang"), phrase.alias("phrase"), k.alias("k"), "f"), "frequent")
