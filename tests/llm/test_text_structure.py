@@ -420,3 +420,22 @@ def test_pipeline_drops_near_copies(spark):
     rows = [(1, base), (2, near), (3, far)]
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 3]
+
+
+def test_near_copies_take_candidates_from_fingerprints(spark, staging, monkeypatch):
+    """The stage's prints are op10's over five words, and what their index groups is compared."""
+    prepare(spark)
+    texts = {1: "a b c d e f g h " * 4, 2: "a b c d e f g h " * 4 + "a", 3: "other words of a text that is like none"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    keyed = {r.doc_id: r for r in near_copies.with_key(docs).collect()}
+    for doc_id, text in texts.items():
+        assert keyed[doc_id]._fp % 2**64 == simhash.fingerprint(text.encode(), 5)
+    prints = spark.createDataFrame([(7, 0b1), (5, 0b111), (9, 0b11100011111), (6, -1)], "key long, _fp long")
+    assert [tuple(r) for r in near_copies.alike_prints(prints, staging).collect()] == [(5, 7)]
+    monkeypatch.setattr(near_copies, "prefixes", lambda sets: sets.select("key", "key", "size").toDF("shingle", "key", "size").limit(0))
+    base = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base, "end"])), (3, " ".join(f"v{i}" for i in range(90)))]
+    close = bin(simhash.fingerprint(rows[0][1].encode(), 5) ^ simhash.fingerprint(rows[1][1].encode(), 5)).count("1")
+    assert close <= simhash.RADIUS
+    kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), staging)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]

@@ -60,7 +60,10 @@ def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
 
 def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
     """Bit i is set when it is set in over half of the shingles' hashes; unsigned."""
-    hashes = shingle_hashes(text, width)
+    return fingerprint_of(shingle_hashes(text, width))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     ones = np.zeros(BITS, dtype=np.int64)
     for start in range(0, len(hashes), 1 << 15):
         part = hashes[start : start + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8)
