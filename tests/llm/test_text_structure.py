@@ -439,3 +439,20 @@ def test_near_copies_take_candidates_from_fingerprints(spark, staging, monkeypat
     assert close <= simhash.RADIUS
     kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), staging)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_encoding_and_decoding_in_one_worker(documents, vocabulary, staging):
+    """Short texts cross to Python once; the rows are those of the two operators in turn."""
+    both = tokens.encode(documents, vocabulary, staging, 500, decoded=True)
+    apart = tokens.decode(tokens.encode(documents, vocabulary, staging, 500), vocabulary)
+    names = ("doc_id", "text", "ids", "decoded")
+    assert sorted(map(str, both.select(*names).collect())) == sorted(map(str, apart.select(*names).collect()))
+    short = tokens.encode(documents.filter("length(text) < 80"), vocabulary, staging, decoded=True)
+    assert short._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_units_with_and_without_spelled_characters(vocabulary):
+    matcher = unigram.automaton(vocabulary)
+    for text in TEXTS:
+        for unit in vocabulary.units.findall(unigram.normalised(text)):
+            assert unigram.segment(vocabulary, matcher, unit) == unigram._segment_spelled(vocabulary, matcher, unit)

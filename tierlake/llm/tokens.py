@@ -45,6 +45,7 @@ from tierlake.sources.staging import Staging
 CHUNK = 32_768
 GROUP = 64
 _IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+_TEXT = T.StructField("decoded", T.StringType())
 
 
 class UnitIds(Remembered):
@@ -106,15 +107,24 @@ def _decoded(spelled: list[bytes], batch: pa.RecordBatch) -> dict[str, pa.Array]
             texts.append(None)
             continue
         ids = values[offsets[i] : offsets[i + 1]]
-        data = b"".join(spelled[k] for k in ids.tolist() if 0 <= k < known)
+        if len(ids) and not 0 <= ids.min() <= ids.max() < known:
+            ids = ids[(ids >= 0) & (ids < known)]
+        data = b"".join(map(spelled.__getitem__, ids.tolist()))
         texts.append(data.decode("utf-8", "replace").removeprefix(" "))
     return {"decoded": pa.array(texts, pa.string())}
 
 
+class _RoundTrip(_Encoder):
+    """Ids and what they decode to, made in one worker: texts cross to Python once."""
+
+    def __call__(self, batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        made = super().__call__(batch)
+        return made | _decoded(self.vocabulary.spelled, pa.RecordBatch.from_pydict(made))
+
+
 def decode(tokens: DataFrame, vocabulary: Vocabulary, drop: tuple[str, ...] = ()) -> DataFrame:
     """``tokens`` plus ``decoded``, the text that its ``ids`` stand for."""
-    field = T.StructField("decoded", T.StringType())
-    return annotate(tokens, [field], functools.partial(_decoded, vocabulary.spelled), drop)
+    return annotate(tokens, [_TEXT], functools.partial(_decoded, vocabulary.spelled), drop)
 
 
 def _split(chunk: int, reach: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,27 +344,33 @@ def _numbered(kept: list[str], batches: Iterable[pa.RecordBatch]) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([*columns, numbers], names=[*kept, "_row"])
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary, staging: Staging, chunk: int = CHUNK) -> DataFrame:
-    """Documents plus ``ids``. Long texts are written once, so that both of their uses agree on rows."""
-    columns = [c for c in documents.columns if c not in ("ids", "_row")]
+def encode(
+    documents: DataFrame, vocabulary: Vocabulary, staging: Staging, chunk: int = CHUNK, decoded: bool = False
+) -> DataFrame:
+    """Documents plus ``ids``, and with ``decoded`` the text that they stand for, too.
+
+    Long texts are written once, so that both of their uses agree on rows.
+    """
+    fields, compute = ([_IDS, _TEXT], _RoundTrip(vocabulary)) if decoded else ([_IDS], _Encoder(vocabulary))
+    columns = [c for c in documents.columns if c not in ("_row", *(f.name for f in fields))]
     documents = documents.select(*columns)
     is_long = F.coalesce(F.length("text") >= chunk, F.lit(False))
-    short = annotate(documents.filter(~is_long), [_IDS], _Encoder(vocabulary))
+    short = annotate(documents.filter(~is_long), fields, compute)
     long = documents.filter(is_long)
     schema = T.StructType([*documents.schema.fields, T.StructField("_row", T.LongType())])
     numbered = staging.keep(long.mapInArrow(functools.partial(_numbered, columns), schema), "long-texts")
     if numbered.isEmpty():
         return short
     ids = scan(numbered, vocabulary, staging, chunk).withColumnRenamed("row", "_row")
-    return short.unionByName(numbered.join(ids, "_row").select(*columns, "ids"))
+    joined = numbered.join(ids, "_row").select(*columns, "ids")
+    return short.unionByName(decode(joined, vocabulary) if decoded else joined)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     vocabulary = load(VOCABULARY)
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = encode(documents, vocabulary, Staging(spark))
-    back = decode(tokens, vocabulary)
+    back = encode(documents, vocabulary, Staging(spark), decoded=True)
     return back.select(
         "doc_id",
         F.coalesce(F.size("ids"), F.lit(0)).alias("n_tokens"),

@@ -35,6 +35,7 @@ class Vocabulary:
     def __post_init__(self):
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min((s for _, s in self.pieces.values()), default=0) - UNKNOWN_PENALTY
+        self.singles = frozenset(p for p in self.pieces if len(p) == 1)
         self.cuts_at_space = not any(SPACE in p.lstrip(SPACE) for p in self.pieces)
         self.cuts_at_line = self.cuts_at_space and not any("\n" in p for p in self.pieces if len(p) > 1)
         inner = SPACE + "\n" if self.cuts_at_line else SPACE
@@ -127,6 +128,27 @@ def automaton(vocabulary: Vocabulary) -> ahocorasick.Automaton:
 
 def segment(vocabulary: Vocabulary, matcher: ahocorasick.Automaton, unit: str) -> tuple[list[int], int]:
     """Ids and score of the best segmentation. Matches come by end, longest (earliest start) first."""
+    if not vocabulary.singles.issuperset(unit):
+        return _segment_spelled(vocabulary, matcher, unit)
+    # Every character is a piece, so every position is reached by a match.
+    at = len(unit)
+    best, last = [0] + [NEVER] * at, [(0, 0, 0)] * (at + 1)
+    for end, piece in matcher.iter(unit):
+        end += 1
+        total = best[end - piece[0]] + piece[1]
+        if total > best[end]:
+            best[end], last[end] = total, piece
+    ids: list[int] = []
+    while at:
+        length, _, number = last[at]
+        ids.append(number)
+        at -= length
+    ids.reverse()
+    return ids, best[-1]
+
+
+def _segment_spelled(vocabulary: Vocabulary, matcher: ahocorasick.Automaton, unit: str) -> tuple[list[int], int]:
+    """As above, for units with characters that may have to be spelled in byte pieces."""
     best, last = [0], []
     unknown = vocabulary.unknown
     matches = iter(matcher.iter(unit))
