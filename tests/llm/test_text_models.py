@@ -152,6 +152,79 @@ def test_class_model_without_training(spark, documents, staging):
     assert brown.score(documents.limit(0), model, words).count() == 0
 
 
+@pytest.mark.parametrize("chunk_bytes", [1, 300, 8 << 20])
+def test_every_word_has_a_class_of_its_own(spark, staging, monkeypatch, chunk_bytes):
+    """Words of one ending and other company part; scores equal a plain computation with the classes found."""
+    monkeypatch.setattr(brown, "OWN_TYPES", 6)
+    prepare(spark)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"{a} {rng.choice(['kax', 'kbx', 'kcx'] if a == 'the' else ['max', 'mbx', 'mcx'])}".replace("x", "xing")
+             for a in rng.choice(["the", "you"], 30)) for _ in range(60)]
+    rows = [*enumerate(texts), (70, None), (71, "the zzz unseen"), (None, texts[0]), (3, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    training = docs.filter("doc_id < 70 OR doc_id = 70")
+    monkeypatch.setattr(brown, "PART_WORDS", 500)
+    model, words = brown.fit(training, staging, chunk_bytes)
+    table = {bytes(r.word): (r["class"], r.c) for r in words.collect()}
+    counts = Counter(w for i, t in rows if i is not None and i <= 70 for w in (t or "").encode().split())
+    assert {w: c for w, (_, c) in table.items()} == {w: c for w, c in counts.items() if w not in model.own}
+    types = brown.TypeOf(model.own)
+    of = lambda w: table[w][0] if w in table else model.classes[types[w]]
+    if len({w[:1] for w in table}) == 2:
+        assert len({of(w) for w in table}) > 1
+    end = model.classes[types.end]
+    pairs = np.zeros_like(model.transition)
+    tokens, distinct = np.zeros(len(pairs)), np.zeros(len(pairs))
+    trained = [[of(w) for w in (t or "").encode().split()] for i, t in rows if i is not None and i <= 70]
+    for classes in trained:
+        np.add.at(pairs, ([end, *classes], [*classes, end]), 1)
+        np.add.at(tokens, [*classes, end], 1)
+    for w in counts:
+        distinct[of(w)] += 1
+    distinct[end] += 1
+    share = (tokens + 1) / (tokens.sum() + len(tokens))
+    assert np.allclose(model.transition, brown._smoothed(pairs, share))
+    assert np.allclose(model.emission, np.log10(tokens + distinct + 1))
+    expected = []
+    for i, t in rows:
+        kinds = [of(w) for w in (t or "").encode().split()] + [end]
+        weight = sum(math.log10(counts[w] + 1) for w in (t or "").encode().split()) + math.log10(len(trained) + 1)
+        steps = (model.transition[[end, *kinds[:-1]], kinds] - model.emission[kinds]).sum()
+        expected.append((str(i), round(weight + steps, 6)))
+    found = brown.score(docs, model, words, staging, chunk_bytes).collect()
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in found) == sorted(expected)
+    marked = docs.withColumn("learn", F.coalesce(F.col("doc_id") <= 70, F.lit(False)))
+    same, _, read = brown.learn(marked, staging, chunk_bytes)
+    assert np.allclose(same.transition, model.transition) and np.allclose(same.emission, model.emission)
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in brown.scored(read, same).collect()) == sorted(expected)
+
+
+def test_words_choose_the_class_that_their_neighbours_favour():
+    rng = np.random.default_rng(5)
+    pairs = rng.integers(20, 400, (5, 5)).astype(float)
+    present = np.array([1, 0, 2, 3])
+    owner = np.repeat(np.arange(4), 3)
+    slot = np.array([[0, 3, 6], [1, 5, 9], [2, 4, 7], [0, 8, 9]]).ravel()
+    n = rng.integers(1, 15, 12)
+    for word, got in enumerate(brown.choose(pairs, owner, slot, n, present)):
+        right, left = np.zeros(5), np.zeros(5)
+        for s, k in zip(slot[owner == word], n[owner == word], strict=True):
+            (right if s < 5 else left)[s % 5] += k
+        gains = []
+        for c in range(4):
+            mine = lambda x, y: y if c == present[word] else 0
+            value = 0.0
+            for j in range(5):
+                for k, at in ((right[j], pairs[c, j]), (left[j], pairs[j, c])):
+                    at = at - mine(at, k)
+                    value += float(brown._xlogx(np.array(at + k)) - brown._xlogx(np.array(at)))
+            for k, at in ((right.sum(), pairs[c].sum()), (left.sum(), pairs[:, c].sum())):
+                at = at - mine(at, k)
+                value -= float(brown._xlogx(np.array(at + k)) - brown._xlogx(np.array(at)))
+            gains.append(value)
+        assert gains[got] == pytest.approx(max(gains))
+
+
 def test_best_class_equals_full_likelihood():
     rng = np.random.default_rng(3)
     bigrams = rng.integers(0, 6, (9, 9)).astype(float)

@@ -1,10 +1,15 @@
 """Language-model scoring with Brown-style word classes found by exchange clustering.
 
-All counts cover all training texts. Every distinct word keeps its own count in a table that is
-joined, never broadcast. For clustering, words are seen as types: the most frequent words are types
-of their own, all others share types by their ending, so that type bigrams have a fixed bound.
-Exchange rounds sum each type's neighbouring classes on Spark; then every type in turn picks the
-class that raises the class-bigram likelihood most. The sums have a fixed size whatever the corpus.
+All counts cover all training texts. Every distinct word has a count and a class of its own.
+
+- The most frequent words are types of their own; all others start as types shared by ending, so that
+  type bigrams have a fixed bound. Exchange rounds sum each type's neighbouring classes on Spark; then
+  every type in turn picks the class that raises the class-bigram likelihood most.
+- Then every other word leaves its ending's type: the classes beside all its occurrences are summed on
+  Spark, and it takes the class that raises the likelihood most, all words by the same class counts.
+- Class bigrams are counted anew with these classes. Counts and classes of such words are in a table
+  that is dealt by hash, never broadcast: texts are numbered in chunks, each chunk's distinct words are
+  sent to their part of the table once, in blocks, and the chunk is read with what comes back.
 
 P(text) is the product of class transition (smoothed by class frequency) and word emission within
 the class (add one, with one unseen word per class). A text starts after an end and closes with one.
@@ -18,6 +23,7 @@ from __future__ import annotations
 import functools
 import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tierlake.llm.common import bytes_of, in_fold, prepare, read_table
 from tierlake.sources.staging import Staging
 
-#: Types: frequent words of their own, and groups of all other words by their last three bytes.
+#: Types: frequent words of their own, and for a start groups of all other words by their last three bytes.
 OWN_TYPES = 2048
 ENDINGS = 1021
 CLASSES = 64
@@ -38,6 +44,10 @@ ROUNDS = 7
 _COUNTED = 200_000
 _REMEMBERED = 200_000
 _PAIRS_HELD = 1_500_000
+#: Bytes of text numbered as one chunk, words that chunks send to one part, words that choose at once.
+CHUNK_BYTES = 16 << 20
+PART_WORDS = 1 << 20
+_CHOOSING = 1 << 12
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -212,7 +222,7 @@ class ClassModel:
     own: list[bytes]
     own_counts: np.ndarray
     ends: int
-    classes: np.ndarray
+    classes: np.ndarray  # of types; those of endings are for words that training texts do not have
     transition: np.ndarray  # log10
     emission: np.ndarray  # log10 of each class's denominator
     tokens: int
@@ -227,8 +237,298 @@ def _smoothed(pairs: np.ndarray, share: np.ndarray) -> np.ndarray:
     return np.log10((pairs + share[None]) / (pairs.sum(1, keepdims=True) + 1))
 
 
-def fit(documents: DataFrame, staging: Staging) -> tuple[ClassModel, DataFrame]:
-    """The class model and the table ``(word, c)`` of all words of ``documents(text)``."""
+class Numbering(dict):
+    """Numbers of words in a chunk: types of own words and the end first, then others as they appear."""
+
+    def __init__(self, own: list[bytes]):
+        super().__init__((word, i) for i, word in enumerate(own))
+        self.first = len(own) + 1
+        self.rare: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = self.first + len(self.rare)
+        self.rare.append(word)
+        return number
+
+
+_CHUNK_SCHEMA = (
+    "chunk long, part int, numbers binary, words binary, kinds binary, spans binary, slots binary, counts binary, "
+    "doc_ids array<bigint>, learn array<boolean>, sizes array<int>, sequence binary"
+)
+_BLOCK = ["chunk", "part", "numbers", "words", "kinds", "spans", "slots", "counts"]
+_TEXTS = ["chunk", "doc_ids", "learn", "sizes", "sequence"]
+_KINDS = dict.fromkeys(_BLOCK, pa.binary()) | {
+    "chunk": pa.int64(), "part": pa.int32(), "doc_ids": pa.list_(pa.int64()), "learn": pa.list_(pa.bool_()),
+    "sizes": pa.list_(pa.int32()), "sequence": pa.binary(),
+}
+
+
+def _batch(rows: list[dict], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    arrays = [pa.array([row.get(name) for row in rows], kind) for name, kind in kinds.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
+
+
+def _beside(
+    sequence: np.ndarray, learn: np.ndarray, classes: np.ndarray, first: int, width: int
+) -> tuple[np.ndarray, ...]:
+    """``(number, slot, n)`` of words that are no types, where ``learn``: the classes after, then those before."""
+    own = classes[sequence]
+    at = np.flatnonzero((sequence >= first) & learn)
+    # A chunk starts after an end and closes with one, which is a type.
+    after, before = own[np.minimum(at + 1, len(own) - 1)], own[at - 1]
+    number = (sequence[at] - first).astype(np.int64) * 2 * width
+    keys, n = np.unique(np.concatenate([number + after, number + width + before]), return_counts=True)
+    return keys // (2 * width), (keys % (2 * width)).astype(np.uint8), n.astype("<i4")
+
+
+def _part_of(words: list[bytes], parts: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) % parts for w in words), dtype=np.int32, count=len(words))
+
+
+def _chunks(
+    own: list[bytes], classes: np.ndarray | None, parts: int, chunk_bytes: int, batches: Iterable[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Per chunk a row with its texts as numbers, and a row per part with its words that are no types.
+
+    With the classes of types, such a row also says how often which class is beside a word.
+    """
+    types = TypeOf(own)
+    context = TaskContext.get()
+    chunk = (context.partitionId() if context else 0) << 34
+
+    def emit() -> pa.RecordBatch:
+        sequence, rare = np.array(numbers, dtype=np.int32), known.rare
+        kinds = np.fromiter(map(types.__getitem__, rare), dtype=np.int32, count=len(rare))
+        owner, slot, n = np.empty(0, np.int64), np.empty(0, np.uint8), np.empty(0, "<i4")
+        if classes is not None:
+            each = np.concatenate([classes[: known.first], classes[kinds]])
+            owner, slot, n = _beside(sequence, np.repeat(learn, sizes), each, known.first, int(classes[types.end]) + 1)
+        spans = np.bincount(owner, minlength=len(rare)).astype(np.uint8)
+        part = _part_of(rare, parts)
+        order, entries = np.argsort(part, kind="stable"), np.argsort(part[owner], kind="stable")
+        edges, cuts = (np.searchsorted(x, np.arange(parts + 1)) for x in (part[order], part[owner][entries]))
+        rows = [{"chunk": chunk, "doc_ids": ids, "learn": learn, "sizes": sizes, "sequence": sequence.tobytes()}]
+        for p in np.flatnonzero(np.diff(edges)).tolist():
+            here, at = order[edges[p] : edges[p + 1]], entries[cuts[p] : cuts[p + 1]]
+            values = (chunk, p, here.astype("<i4").tobytes(), b"\n".join([rare[i] for i in here.tolist()]), kinds[here].tobytes())
+            rows.append(dict(zip(_BLOCK, (*values, spans[here].tobytes(), slot[at].tobytes(), n[at].tobytes()), strict=True)))
+        return _batch(rows, {name: _KINDS[name] for name in (*_BLOCK, *_TEXTS[1:])})
+
+    known, numbers, ids, learn, sizes, held = Numbering(own), array("i"), [], [], [], 0
+    for batch in batches:
+        for doc_id, text, learns in zip(batch.column(0).to_pylist(), bytes_of(batch), batch.column(2).to_pylist(), strict=True):
+            words = words_of(text)
+            numbers.extend(map(known.__getitem__, words))
+            numbers.append(types.end)
+            ids.append(doc_id)
+            learn.append(learns)
+            sizes.append(len(words) + 1)
+            held += len(text or b"")
+            if held > chunk_bytes:
+                yield emit()
+                known, numbers, ids, learn, sizes, held, chunk = Numbering(own), array("i"), [], [], [], 0, chunk + 1
+    if ids:
+        yield emit()
+
+
+def choose(pairs: np.ndarray, owner: np.ndarray, slot: np.ndarray, n: np.ndarray, present: np.ndarray) -> np.ndarray:
+    """The class of every word that raises the likelihood of the class bigrams ``pairs`` most, if the word
+    leaves its present class; ties go to that. ``(owner, slot, n)`` are sorted and count the classes after
+    a word and, from ``len(pairs)`` on, those before it. The last class is the end's.
+    """
+    count = len(pairs)
+    right = slot < count
+    near = np.where(right, slot, slot.astype(np.int64) - count)
+    stays = present[owner]
+    here = np.where(right[:, None], pairs.T[near], pairs[near])
+    each = np.arange(len(owner))
+    here[each, stays] = np.maximum(here[each, stays] - n, 0)
+    gain = np.add.reduceat(_xlogx(here + n[:, None]) - _xlogx(here), np.searchsorted(owner, np.arange(len(present))))
+    for side, totals in ((right, pairs.sum(1)), (~right, pairs.sum(0))):
+        mine = np.bincount(owner[side], n[side], len(present))
+        rest = np.repeat(totals[None], len(present), 0)
+        rest[np.arange(len(present)), present] -= mine
+        rest = np.maximum(rest, 0)
+        gain -= _xlogx(rest + mine[:, None]) - _xlogx(rest)
+    gain = gain[:, :-1]
+    best = gain.argmax(1)
+    own = gain[np.arange(len(present)), present]
+    return np.where(own >= gain.max(1) - 1e-9, present, best)
+
+
+_FOUND = "chunk long, part int, numbers binary, words binary, classes binary, counts binary"
+_FOUND_KINDS = {name: _KINDS[name] for name in _BLOCK[:4]} | {"classes": pa.binary(), "counts": pa.binary()}
+
+
+def _by_part(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of every part, which come together."""
+    part, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[1] != part:
+                if rows:
+                    yield part, rows
+                part, rows = row[1], []
+            rows.append(row)
+    if rows:
+        yield part, rows
+
+
+def _choose(pairs: np.ndarray, classes: np.ndarray, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The class and count of every word of every chunk, and per part of all words that were learnt."""
+    width = 2 * len(pairs)
+    for part, rows in _by_part(batches):
+        index: dict[bytes, int] = {}
+        owners, slots, counts, places = [], [], [], []
+        kinds = np.zeros(sum(len(row[2]) // 4 for row in rows), dtype=np.int32)
+        for chunk, _, numbers, words, kind, spans, slot, n in rows:
+            named = words.split(b"\n")
+            at = np.fromiter((index.setdefault(w, len(index)) for w in named), dtype=np.int64, count=len(named))
+            kinds[at] = np.frombuffer(kind, dtype=np.int32)
+            owners.append(np.repeat(at, np.frombuffer(spans, dtype=np.uint8)))
+            slots.append(np.frombuffer(slot, dtype=np.uint8))
+            counts.append(np.frombuffer(n, dtype="<i4"))
+            places.append((chunk, numbers, at))
+        keys, place = np.unique(np.concatenate(owners) * width + np.concatenate(slots), return_inverse=True)
+        n = np.bincount(place, np.concatenate(counts), len(keys))
+        owner, slot = keys // width, keys % width
+        chosen = classes[kinds[: len(index)]].astype(np.uint8)
+        c = np.bincount(owner, np.where(slot >= len(pairs), n, 0), len(index)).astype("<i8")
+        learnt = np.unique(owner)
+        for start in range(0, len(learnt), _CHOOSING):
+            some = learnt[start : start + _CHOOSING]
+            low, high = np.searchsorted(owner, [some[0], some[-1] + 1])
+            own = np.searchsorted(some, owner[low:high])
+            chosen[some] = choose(pairs, own, slot[low:high], n[low:high], classes[kinds[some]])
+        words = list(index)
+        found = [(None, part, None, b"\n".join([words[i] for i in learnt.tolist()]), chosen[learnt].tobytes(), c[learnt].tobytes())]
+        found = found if len(learnt) else []
+        found += [(chunk, part, numbers, None, chosen[at].tobytes(), c[at].tobytes()) for chunk, numbers, at in places]
+        yield _batch([dict(zip(_FOUND_KINDS, row, strict=True)) for row in found], _FOUND_KINDS)
+
+
+def _words_of_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for words, classes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            arrays = [pa.array(words.split(b"\n"), pa.binary()), pa.array(np.frombuffer(classes, dtype=np.uint8).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.frombuffer(counts, dtype="<i8"))], names=["word", "class", "c"])
+
+
+def _parts_of_words(parts: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words, classes, counts = (c.to_pylist() for c in batch.columns)
+        rows = [
+            {"part": p, "words": w, "classes": bytes([k]), "counts": c.to_bytes(8, "little")}
+            for p, w, k, c in zip(_part_of(words, parts).tolist(), words, classes, counts, strict=True)
+        ]
+        yield _batch(rows, {name: (_KINDS | _FOUND_KINDS)[name] for name in _LOOKED_UP})
+
+
+_LOOKED_UP = ["chunk", "part", "numbers", "words", "kinds", "classes", "counts"]
+
+
+def _look_up(classes: np.ndarray, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Class and count of the words of chunks; a part's rows come together, those of the table first."""
+    part, table = None, {}
+    for batch in batches:
+        for chunk, p, numbers, words, kinds, chosen, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if p != part:
+                part, table = p, {}
+            if chunk is None:
+                table[words] = (chosen[0], int.from_bytes(counts, "little"))
+                continue
+            first = classes[np.frombuffer(kinds, dtype=np.int32)].tolist()
+            found = [table.get(w, (k, 0)) for w, k in zip(words.split(b"\n"), first, strict=True)]
+            row = {"chunk": chunk, "part": p, "numbers": numbers, "classes": bytes([k for k, _ in found])}
+            yield _batch([row | {"counts": np.array([c for _, c in found], dtype="<i8").tobytes()}], _FOUND_KINDS)
+
+
+_READ = (
+    "doc_ids array<bigint>, learn array<boolean>, sizes array<int>, weights array<double>, known array<bigint>, classes binary"
+)
+
+
+def _read_chunks(
+    classes: np.ndarray, own_counts: np.ndarray, batches: Iterable[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Chunks with the class of every token, and per text its words' weights and how many are known.
+
+    A chunk's rows come together, its texts first.
+    """
+    own = len(own_counts)
+    kinds = {name: _KINDS[name] for name in _TEXTS[1:4]}
+    kinds |= {"weights": pa.list_(pa.float64()), "known": pa.list_(pa.int64()), "classes": pa.binary()}
+
+    def read() -> pa.RecordBatch:
+        doc_ids, learn, sizes, sequence = texts
+        number, chosen, c = (
+            np.concatenate([np.empty(0, kind), *(np.frombuffer(f[i], dtype=kind) for f in found)])
+            for i, kind in enumerate(("<i4", np.uint8, "<i8"))
+        )
+        classed, counted = np.empty(own + len(number), np.uint8), np.empty(own + len(number))
+        classed[:own], counted[:own] = classes[:own], own_counts
+        classed[own + number], counted[own + number] = chosen, c
+        sequence = np.frombuffer(sequence, dtype=np.int32)
+        starts = np.cumsum(sizes) - sizes
+        weights = np.add.reduceat(np.log10(counted + 1)[sequence], starts)
+        known = np.add.reduceat((counted > 0)[sequence].astype(np.int64), starts)
+        values = (doc_ids, learn, sizes, weights.tolist(), known.tolist(), classed[sequence].tobytes())
+        return _batch([dict(zip(kinds, values, strict=True))], kinds)
+
+    texts, found = None, []
+    for batch in batches:
+        for numbers, chosen, counts, *new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if numbers is not None:
+                found.append((numbers, chosen, counts))
+                continue
+            if texts is not None:
+                yield read()
+            texts, found = new, []
+    if texts is not None:
+        yield read()
+
+
+def _read(chunks: DataFrame, found: DataFrame, classes: np.ndarray, own_counts: np.ndarray) -> DataFrame:
+    """Staged chunks read with the counts and classes of their words."""
+    found = found.filter("chunk IS NOT NULL").select("chunk", "numbers", "classes", "counts")
+    texts = chunks.filter("part IS NULL").select(*_TEXTS)
+    together = found.unionByName(texts, allowMissingColumns=True).repartition("chunk")
+    rows = together.sortWithinPartitions("chunk", F.col("numbers").isNotNull()).drop("chunk")
+    return rows.mapInArrow(functools.partial(_read_chunks, classes, own_counts), _READ)
+
+
+def _count_classes(count: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Class bigrams of the texts to learn from."""
+    table = np.zeros(count * count, dtype=np.int64)
+    for batch in batches:
+        for learn, sizes, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
+            # A chunk starts after an end, as it closes with one.
+            both = (np.roll(own, 1) * count + own)[np.repeat(learn, sizes)]
+            table += np.bincount(both, minlength=len(table))
+    at = np.flatnonzero(table)
+    arrays = [pa.array((at // count).astype(np.int32)), pa.array((at % count).astype(np.int32)), pa.array(table[at])]
+    yield pa.RecordBatch.from_arrays(arrays, names=["c", "d", "n"])
+
+
+def _table(rows: Iterable, count: int) -> np.ndarray:
+    table = np.zeros((count, count))
+    for row in rows:
+        table[row.c, row.d] = row.n
+    return table
+
+
+def fit(documents: DataFrame, staging: Staging, chunk_bytes: int = CHUNK_BYTES) -> tuple[ClassModel, DataFrame]:
+    """The class model and the table ``(word, class, c)`` of all words of ``documents(text)`` that are no types."""
+    return learn(documents.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(True).alias("learn")), staging, chunk_bytes)[:2]
+
+
+def learn(
+    marked: DataFrame, staging: Staging, chunk_bytes: int = CHUNK_BYTES
+) -> tuple[ClassModel, DataFrame, DataFrame]:
+    """The model and words of ``fit`` from the rows of ``(doc_id, text, learn)`` that are marked, and all rows read."""
+    marked = marked.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "learn")
+    documents = marked.filter("learn")
     counted = documents.select("text").mapInArrow(_count_words, "word binary, n long")
     words = staging.keep(counted.groupBy("word").agg(F.sum("n").alias("c")), "words")
     ends = documents.count()
@@ -251,103 +551,80 @@ def fit(documents: DataFrame, staging: Staging) -> tuple[ClassModel, DataFrame]:
     tokens[end], distinct[end] = ends, ends > 0
     classes = cluster(bigrams, tokens, end)
     count = CLASSES + 1
-    class_tokens = np.bincount(classes, tokens, count)
-    class_words = np.bincount(classes, distinct, count)
+    before = _class_pairs(bigrams, _class_frame(staging.spark, classes), count)
+    parts = int(tokens[end + 1 :].sum()) // PART_WORDS + 1
+    numbering = functools.partial(_chunks, own, classes, parts, chunk_bytes)
+    chunks = staging.keep(marked.mapInArrow(numbering, _CHUNK_SCHEMA), "chunks")
+    dealt = chunks.filter("part IS NOT NULL").select(*_BLOCK).repartition("part").sortWithinPartitions("part")
+    found = staging.keep(dealt.mapInArrow(functools.partial(_choose, before, classes), _FOUND), "found")
+    named = found.filter("chunk IS NULL").select("words", "classes", "counts")
+    chosen = staging.keep(named.mapInArrow(_words_of_parts, "word binary, class int, c long"), "classes")
+    own_counts = np.array([*(r.c for r in top), ends], dtype=float)
+    read = staging.keep(_read(chunks, found, classes, own_counts), "read")
+    pairs = read.select("learn", "sizes", "classes").mapInArrow(functools.partial(_count_classes, count), "c int, d int, n long")
+    after = _table(pairs.groupBy("c", "d").agg(F.sum("n").alias("n")).collect(), count)
+    class_tokens = np.bincount(classes[: end + 1], own_counts, count)
+    class_words = np.bincount(classes[: end + 1], own_counts > 0, count)
+    for row in chosen.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
+        class_tokens[row["class"]] += row.c
+        class_words[row["class"]] += row.n
     share = (class_tokens + 1) / (class_tokens.sum() + count)
-    transition = _smoothed(_class_pairs(bigrams, _class_frame(staging.spark, classes), count), share)
     model = ClassModel(
         own,
-        np.array([r.c for r in top], dtype=float),
+        own_counts[:-1],
         ends,
         classes,
-        transition,
+        _smoothed(after, share),
         np.log10(class_tokens + class_words + 1),
         int(tokens.sum()),
         int(distinct.sum()),
     )
-    return model, words
-
-
-_ROW_NAMES = ["row", "doc_id", "word", "times", "weight", "steps", "n_tokens", "n_known"]
-_ROW_SCHEMA = "row long, doc_id long, word binary, times int, weight double, steps double, n_tokens long, n_known long"
+    return model, chosen, read
 
 
 def _score(model: ClassModel, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A head row per document and a row per distinct word whose count has to be looked up.
-
-    A head row's word begins with a space, which no word does, and is unique, so that it joins
-    with nothing and head rows spread evenly.
-    """
-    types = TypeOf(model.own)
-    context = TaskContext.get()
-    row = (context.partitionId() if context else 0) << 34
-    own_weight = np.log10(np.append(model.own_counts, model.ends) + 1)
-    known = np.append(model.own_counts, model.ends) > 0
-    own = set(model.own)
+    """One row per text of a chunk."""
     for batch in batches:
-        heads: list[tuple] = []
-        rare: list[tuple[int, Counter]] = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), bytes_of(batch), strict=True):
-            words = words_of(text)
-            kinds = np.fromiter(map(types.__getitem__, words), dtype=np.int64, count=len(words))
-            kinds = np.append(kinds, types.end)
-            classes = model.classes[kinds]
-            before = np.concatenate([[model.classes[types.end]], classes[:-1]])
-            steps = float((model.transition[before, classes] - model.emission[classes]).sum())
-            plain = kinds[kinds <= types.end]
-            heads.append((row, doc_id, b" %d" % row, float(own_weight[plain].sum()), steps, len(kinds), int(known[plain].sum())))
-            rare.append((row, Counter([w for w in words if w not in own])))
-            row += 1
-        sizes = [len(c) for _, c in rare]
-        total = sum(sizes)
-        words = [w for _, c in rare for w in c]
-        head = list(zip(*heads, strict=True)) if heads else [[]] * 7
-        none = pa.nulls(total, pa.float64())
-        arrays = [
-            pa.concat_arrays([pa.array(head[0], pa.int64()), pa.array(np.repeat(np.array(head[0], dtype=np.int64), sizes))]),
-            pa.concat_arrays([pa.array(head[1], pa.int64()), pa.nulls(total, pa.int64())]),
-            pa.concat_arrays([pa.array(head[2], pa.binary()), pa.array(words, pa.binary())]),
-            pa.concat_arrays(
-                [pa.array([0] * len(heads), pa.int32()), pa.array([n for _, c in rare for n in c.values()], pa.int32())]
-            ),
-            pa.concat_arrays([pa.array(head[3], pa.float64()), none]),
-            pa.concat_arrays([pa.array(head[4], pa.float64()), none]),
-            pa.concat_arrays([pa.array(head[5], pa.int64()), pa.nulls(total, pa.int64())]),
-            pa.concat_arrays([pa.array(head[6], pa.int64()), pa.nulls(total, pa.int64())]),
-        ]
-        yield pa.RecordBatch.from_arrays(arrays, names=_ROW_NAMES)
-
-
-def score(documents: DataFrame, model: ClassModel, words: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score (log10) of every row of ``documents``."""
-    source = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = source.mapInArrow(functools.partial(_score, model), _ROW_SCHEMA)
-    # Words are spread evenly over partitions; each partition's share is built into a hash table.
-    joined = rows.join(words.hint("shuffle_hash"), "word", "left")
-    count = F.coalesce("c", F.lit(0))
-    sums = joined.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("n_tokens").alias("n_tokens"),
-        F.sum(F.coalesce("n_known", F.lit(0)) + F.when(count > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.coalesce("weight", F.col("times") * F.log10(count + 1))).alias("weight"),
-        F.sum("steps").alias("steps"),
-    )
-    return sums.select(
-        "doc_id",
-        "n_tokens",
-        "n_known",
-        (F.col("weight") - F.col("n_tokens") * F.lit(model.base)).alias("base_score"),
-        (F.col("weight") + F.col("steps")).alias("score"),
-    )
+        for doc_ids, _, sizes, weights, known, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            classes = np.frombuffer(data, dtype=np.uint8)
+            # Every text, the first of a chunk included, starts after an end.
+            steps = model.transition[np.roll(classes, 1), classes] - model.emission[classes]
+            weights, n = np.array(weights), np.array(sizes, dtype=np.int64)
+            total = np.add.reduceat(steps, np.cumsum(n) - n) + weights
+            arrays = [pa.array(doc_ids, pa.int64()), pa.array(n), pa.array(known, pa.int64())]
+            arrays += [pa.array(weights - n * model.base), pa.array(total)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
+def scored(read: DataFrame, model: ClassModel) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score (log10) of every text that was read."""
+    schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+    return read.mapInArrow(functools.partial(_score, model), schema)
+
+
+def score(
+    documents: DataFrame, model: ClassModel, words: DataFrame, staging: Staging | None = None, chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
+    """As ``scored``, for every row of any ``documents``, with the words that were learnt."""
+    staging = staging or Staging(documents.sparkSession)
+    parts = words.count() // PART_WORDS + 1
+    source = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.lit(False).alias("learn"))
+    numbering = functools.partial(_chunks, model.own, None, parts, chunk_bytes)
+    chunks = staging.keep(source.mapInArrow(numbering, _CHUNK_SCHEMA), "chunks")
+    asked = chunks.filter("part IS NOT NULL").select("chunk", "part", "numbers", "words", "kinds")
+    schema = ", ".join(f"{name} {'long' if name == 'chunk' else 'int' if name == 'part' else 'binary'}" for name in _LOOKED_UP)
+    table = words.select("word", "class", "c").mapInArrow(functools.partial(_parts_of_words, parts), schema)
+    both = table.unionByName(asked, allowMissingColumns=True).select(*_LOOKED_UP).repartition("part")
+    found = both.sortWithinPartitions("part", F.col("chunk").isNotNull()).mapInArrow(functools.partial(_look_up, model.classes), _FOUND)
+    return scored(_read(chunks, found, model.classes, np.append(model.own_counts, model.ends)), model)
 
 
 def op6_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    training = documents.filter(F.col("doc_id").isNotNull() & ~in_fold("doc_id", 7, 2))
-    model, words = fit(training, Staging(spark))
-    scored = score(documents, model, words)
-    return scored.select(
+    marked = documents.withColumn("learn", F.col("doc_id").isNotNull() & ~in_fold("doc_id", 7, 2))
+    model, _, read = learn(marked, Staging(spark))
+    return scored(read, model).select(
         "doc_id",
         in_fold("doc_id", 7, 2).alias("held_out"),
         "n_tokens",
