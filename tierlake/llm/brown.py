@@ -554,13 +554,13 @@ def learn(
     before = _class_pairs(bigrams, _class_frame(staging.spark, classes), count)
     parts = int(tokens[end + 1 :].sum()) // PART_WORDS + 1
     numbering = functools.partial(_chunks, own, classes, parts, chunk_bytes)
-    chunks = staging.keep(marked.mapInArrow(numbering, _CHUNK_SCHEMA), "chunks")
+    chunks = staging.keep(marked.mapInArrow(numbering, _CHUNK_SCHEMA), "chunks", "zstd")
     dealt = chunks.filter("part IS NOT NULL").select(*_BLOCK).repartition("part").sortWithinPartitions("part")
-    found = staging.keep(dealt.mapInArrow(functools.partial(_choose, before, classes), _FOUND), "found")
+    found = staging.keep(dealt.mapInArrow(functools.partial(_choose, before, classes), _FOUND), "found", "zstd")
     named = found.filter("chunk IS NULL").select("words", "classes", "counts")
     chosen = staging.keep(named.mapInArrow(_words_of_parts, "word binary, class int, c long"), "classes")
     own_counts = np.array([*(r.c for r in top), ends], dtype=float)
-    read = staging.keep(_read(chunks, found, classes, own_counts), "read")
+    read = staging.keep(_read(chunks, found, classes, own_counts), "read", "zstd")
     pairs = read.select("learn", "sizes", "classes").mapInArrow(functools.partial(_count_classes, count), "c int, d int, n long")
     after = _table(pairs.groupBy("c", "d").agg(F.sum("n").alias("n")).collect(), count)
     class_tokens = np.bincount(classes[: end + 1], own_counts, count)
@@ -610,7 +610,7 @@ def score(
     parts = words.count() // PART_WORDS + 1
     source = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.lit(False).alias("learn"))
     numbering = functools.partial(_chunks, model.own, None, parts, chunk_bytes)
-    chunks = staging.keep(source.mapInArrow(numbering, _CHUNK_SCHEMA), "chunks")
+    chunks = staging.keep(source.mapInArrow(numbering, _CHUNK_SCHEMA), "chunks", "zstd")
     asked = chunks.filter("part IS NOT NULL").select("chunk", "part", "numbers", "words", "kinds")
     schema = ", ".join(f"{name} {'long' if name == 'chunk' else 'int' if name == 'part' else 'binary'}" for name in _LOOKED_UP)
     table = words.select("word", "class", "c").mapInArrow(functools.partial(_parts_of_words, parts), schema)
