@@ -63,11 +63,17 @@ class Chain:
             self._kept[name] = self.staging.keep(build(), name)
         return self._kept[name]
 
+    def arriving(self, entity: str) -> DataFrame:
+        """Raw rows with lineage for a reader of a few columns: those alone are computed, unless the
+        loaded rows are there already."""
+        spec = BY_NAME[entity]
+        known = self._kept.get(f"loaded-{entity}")
+        return add_lineage(self.raw(entity), RUN, entity, spec.cursor) if known is None else known
+
     def loaded(self, entity: str) -> DataFrame:
         """Raw rows with lineage, quarantine included. They stay where they are read: a staged frame has
         no bucket folders to line rows up with, and the next step shuffles them by the cleaned key."""
-        spec = BY_NAME[entity]
-        return self._once(f"loaded-{entity}", lambda: add_lineage(self.raw(entity), RUN, entity, spec.cursor))
+        return self._once(f"loaded-{entity}", lambda: self.arriving(entity))
 
     def bronze(self, entity: str) -> DataFrame:
         return split_missing_keys(self.loaded(entity), BY_NAME[entity].pk)[0]
