@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.operators.dedupe import latest_per_key
+from tierlake.operators.upsert import FEW_KEYS
 from tierlake.sources.staging import Staging
 from tierlake.sources.store import LayerStore
 
@@ -65,8 +66,8 @@ class DeltaTable:
         self._append(gone.select(self.pk, *others, F.lit(True).alias(GONE)))
 
     def read(self) -> DataFrame:
-        """One row per key. Base rows whose key no delta holds pass by unshuffled when the deltas' keys
-        are few enough to be broadcast, which Spark decides by their size."""
+        """One row per key. Base rows whose key no delta holds pass by unshuffled when the deltas have few
+        rows and Spark broadcasts their keys; otherwise all rows meet in one shuffle by key."""
         live = self.live()
         if not live:
             raise ValueError(f"{self.layer}.{self.name} has no rows yet")
@@ -123,11 +124,15 @@ class DeltaTable:
         union = self._scan(parts[1])
         for part in parts[2:]:
             union = union.unionByName(self._scan(part), allowMissingColumns=True)
+        order = [*self.newest, F.col(PART).desc()]
+        if union.count() > FEW_KEYS:
+            both = oldest.unionByName(union, allowMissingColumns=True)
+            return latest_per_key(both, self.pk, order, keep_missing_keys=False).drop(PART)
         touched = union.select(self.pk)
         rivals = union
         if self.newest:
             rivals = union.unionByName(oldest.join(touched, self.pk, "left_semi"), allowMissingColumns=True)
-        best = latest_per_key(rivals, self.pk, [*self.newest, F.col(PART).desc()], keep_missing_keys=False)
+        best = latest_per_key(rivals, self.pk, order, keep_missing_keys=False)
         return oldest.join(touched, self.pk, "left_anti").unionByName(best, allowMissingColumns=True).drop(PART)
 
     def _scan(self, part: Part) -> DataFrame:
