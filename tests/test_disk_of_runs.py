@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierlake.plans import queries
 from tierlake.plans.chain import Chain
+from tierlake.session import pin_session
 
 
 def shuffle_files(spark):
@@ -49,3 +50,19 @@ def test_loaded_rows_are_written_without_a_shuffle(rows, monkeypatch):
 def test_bands_count_keys_without_loading_the_source(rows):
     assert queries._bands(rows) == {e.name: (1, 2) for e in queries.ENTITIES}
     assert rows._kept == {}
+
+
+def test_staged_rows_are_read_in_splits_that_can_be_sorted_in_memory(spark, staging):
+    key = "spark.sql.files.maxPartitionBytes"
+    assert spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() <= 32 << 20
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1m")
+        assert pin_session(spark).conf.get(key) == "1m"  # a smaller limit stays
+        kept = staging.keep(spark.range(1_500_000).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).coalesce(1), "hashes")
+        spark.conf.set(key, str(16 << 20))
+        assert len(kept.inputFiles()) == 1
+        sizes = kept.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 1 and max(r["count"] for r in sizes) < 1_000_000
+    finally:
+        spark.conf.set(key, before)
