@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tierlake.llm import components, decontaminate, licenses, near_copies, simhash, token_counts, tokens, topk, unigram
 from tierlake.llm.common import prepare
+from tierlake.sources.staging import Staging
 
 random.seed(5)
 LETTERS = ["a", "e", "th", "in", " ", "  ", "\n", "é", "中", "🙂", "x", "!!", "\t", "ß", "the ", "and "]
@@ -254,6 +255,18 @@ def test_components_of_a_long_path(spark, staging):
     assert components.components(links.limit(0), staging).count() == 0
 
 
+def test_components_move_links_a_few_times(spark, staging, monkeypatch):
+    """Links shrink from round to round instead of travelling whole in each."""
+    path = random.Random(8).sample(range(1000), 100)
+    links = list(itertools.pairwise(path))
+    staged, keep = [], Staging.keep
+    monkeypatch.setattr(Staging, "keep", lambda self, df, name, codec=None: staged.append((name, keep(self, df, name, codec))) or staged[-1][1])
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a long, b long"), staging).collect()}
+    assert got == dict.fromkeys(path, min(path))
+    rows = sum(df.count() for _, df in staged)
+    assert rows <= 10 * len(links)
+
+
 def least_edits(pattern, text):
     row = [0] * (len(text) + 1)
     for i, p in enumerate(pattern, 1):
