@@ -5,9 +5,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tierlake.plans import queries
+from tierlake.plans import jobs, queries
 from tierlake.plans.chain import Chain
+from tierlake.plans.entities import BY_NAME
 from tierlake.session import pin_session
+from tierlake.sources.staging import Staging
 
 
 def shuffle_files(spark):
@@ -47,6 +49,37 @@ def test_loaded_rows_are_written_without_a_shuffle(rows, monkeypatch):
     assert len(plans) == 1 and "Exchange" not in plans[0] and "Rebalance" not in plans[0]
 
 
+def test_scanned_bronze_and_facts_read_once_are_not_staged(rows):
+    assert rows.bronze("citas").count() == 3 and rows.cleaned("pacientes").count() == 3
+    assert rows._kept == {}
+    rows._built_fact = lambda entity: rows.bronze("citas").select("id_cita")
+    assert rows.fact_for_once("citas").count() == 3 and rows._kept == {}
+    assert rows.fact("citas").count() == 3 and rows.fact_for_once("citas") is rows._kept["fact-citas"]
+
+
+def test_whole_tables_go_to_their_buckets_without_a_shuffle(spark, store, run, monkeypatch):
+    spec = BY_NAME["pacientes"]
+    text = ", ".join(f"{c} STRING" for c in spec.columns)
+    row = dict.fromkeys(spec.columns, "1995-01-01 00:00:00")
+    raw = spark.createDataFrame([{**row, spec.pk: key} for key in ("p1", " p1", "p2", "nan", None)], text)
+    plans, overwrite = {}, store.overwrite
+
+    def seen(df, layer, name, partition_by=(), placed=False):
+        spread = df if placed else store._spread(df, list(partition_by))
+        plans[layer] = spread._jdf.queryExecution().toString()
+        overwrite(df, layer, name, partition_by, placed)
+
+    monkeypatch.setattr(store, "overwrite", seen)
+    settings = jobs.Settings(store, 4)
+    loaded = jobs.load_bronze(settings, spec, raw, run, jobs.FULL, "pacientes")
+    assert (loaded.rows_bronze, loaded.rows_quarantined) == (3, 2)
+    with Staging(spark) as kept:
+        cleaned = jobs.clean_silver(settings, spec, run, jobs.FULL, {}, kept)
+    assert (cleaned.rows_silver + cleaned.rows_rejected, cleaned.rows_superseded) == (2, 1)
+    for layer in ("bronze", "silver"):
+        assert "Rebalance" not in plans[layer] and "Exchange" not in plans[layer]
+
+
 def test_bands_count_keys_without_loading_the_source(rows):
     assert queries._bands(rows) == {e.name: (1, 2) for e in queries.ENTITIES}
     assert rows._kept == {}
