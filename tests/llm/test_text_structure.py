@@ -422,6 +422,16 @@ def test_near_copies_equal_brute_force(spark, staging, monkeypatch, block_rows,
     assert near_copies.keep_one(docs.limit(0), staging).count() == 0
 
 
+def test_cells_of_the_search_are_not_broadcast(spark, staging):
+    """However small the query blocks look on disk: their copies, one per slice, must not pass the driver."""
+    prepare(spark)
+    rows = [(i, [float(i % 7), 1.0]) for i in range(400)]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, staging, slice_rows=64)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.count() == 8 * topk.K
+
+
 def test_pipeline_drops_near_copies(spark):
     """Copies with a few edited words, far more than 2 bits away, go; less similar ones stay."""
     rng = random.Random(6)
@@ -454,6 +464,33 @@ def test_near_copies_take_candidates_from_fingerprints(spark, staging, monkeypat
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_all_fingerprints_go_through_the_index(spark, staging, monkeypatch):
+    """Also those of texts that shingles sort out, and all of the texts that repeat one set differently."""
+    prepare(spark)
+    words = "a b c d e f g h "
+    texts = [" ".join(f"u{i}" for i in range(60)), words * 3, words * 90, " ".join(f"v{i}" for i in range(60)) + " end", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = {simhash.fingerprint((t or "").encode(), 5) for t in texts}
+    seen, compared = [], []
+    group, possible = near_copies.group, near_copies.possible_sets
+    monkeypatch.setattr(near_copies, "group", lambda prints, kept: (seen.extend(r._fp % 2**64 for r in prints.collect()), group(prints, kept))[1])
+
+    def sets_of(*given):
+        found = possible(*given)
+        compared.extend(r.key for r in found.collect())
+        return found
+
+    monkeypatch.setattr(near_copies, "possible_sets", sets_of)
+    kept = near_copies.keep_one(docs, staging)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 3, 4]
+    assert set(seen) == wanted and compared == []
+    # What the index groups is compared, though each text has only shingles of its own.
+    monkeypatch.setattr(near_copies, "group", lambda prints, _: prints.select("_fp").distinct().withColumn("_label", F.lit(1)))
+    kept = near_copies.keep_one(docs, staging)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 3, 4]
+    assert len(compared) == 3
+
+
 def test_encoding_and_decoding_in_one_worker(documents, vocabulary, staging):
     """Short texts cross to Python once; the rows are those of the two operators in turn."""
     both = tokens.encode(documents, vocabulary, staging, 500, decoded=True)
