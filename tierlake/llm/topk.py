@@ -264,7 +264,9 @@ def top_k(vectors: DataFrame, is_query, staging: Staging, k: int = K, slice_rows
         .withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
         .select((F.col("slice").cast("long") * groups + F.col("group")).alias("cell"), "vectors")
     )
-    pairs = left.join(right, "cell").select("queries", "vectors")
+    # Both sides are shuffled: the planner sees what one copy of the query blocks takes compressed on disk,
+    # and would broadcast, through the driver, as many copies as there are slices.
+    pairs = left.hint("merge").join(right, "cell").select("queries", "vectors")
     hits = pairs.mapInArrow(functools.partial(_search, k), "query_id long, key long, vec_id long, score long")
     order = Window.partitionBy("query_id", "key").orderBy(F.col("score").desc(), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
