@@ -5,11 +5,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tierlake.plans import jobs, queries
+from tierlake.operators.entity import attach_parents
+from tierlake.plans import feed, jobs, queries
 from tierlake.plans.chain import Chain
 from tierlake.plans.entities import BY_NAME
 from tierlake.session import pin_session
-from tierlake.sources.staging import Staging
+from tierlake.sources.staging import Relay, Staging
 
 
 def shuffle_files(spark):
@@ -99,3 +100,59 @@ def test_staged_rows_are_read_in_splits_that_can_be_sorted_in_memory(spark, stag
         assert len(sizes) > 1 and max(r["count"] for r in sizes) < 1_000_000
     finally:
         spark.conf.set(key, before)
+
+
+def folders(staging):
+    return sorted(os.listdir(staging.path)) if os.path.isdir(staging.path) else []
+
+
+def test_loaded_rows_are_on_disk_only_while_tagged_ones_are_made(spark, rows, monkeypatch):
+    spec = BY_NAME["eventos_clinicos"]
+    raw = spark.createDataFrame([dict.fromkeys(spec.columns, k) for k in ("e1", "e2", "nan")], ", ".join(f"{c} STRING" for c in spec.columns))
+    rows.raw = lambda entity: raw.select(*[F.col(c) if c in raw.columns else F.lit("x").alias(c) for c in BY_NAME[entity].columns])
+    tagged = rows.tagged(spec.name)
+    assert "loaded-eventos_clinicos" not in rows._kept
+    assert not [f for f in folders(rows.staging) if f.startswith("loaded")]
+    assert tagged.count() == 2 and tagged is rows.tagged(spec.name)
+    loaded = rows.loaded(spec.name)  # rows somebody asked for stay
+    del rows._kept[f"tagged-{spec.name}"]
+    assert rows.tagged(spec.name).count() == 2 and loaded.count() == 3
+
+
+def test_rows_are_staged_between_joins_that_shuffle_them(spark):
+    """One join's shuffle files are gone before the next one writes its own; nothing stays behind."""
+    spec = BY_NAME["eventos_clinicos"]
+    text = "id_evento STRING, id_cita STRING, id_paciente STRING"
+    events = spark.createDataFrame([("e1", "c1", "p1"), ("e2", "c9", "p2"), ("e3", None, "p1"), ("e3", "c1", None)], text)
+    parents = {
+        "citas": spark.sql("SELECT * FROM VALUES ('c1', 'p1'), ('c2', 'p2') AS v(id_cita, id_paciente)"),
+        "pacientes": spark.sql("SELECT * FROM VALUES ('p1'), ('p2') AS v(id_paciente)"),
+    }
+    key, markers = "spark.sql.autoBroadcastJoinThreshold", [ref.marker for ref in spec.parents]
+    plain = sorted(map(str, attach_parents(spec, events, parents, unique_parents=True).select(*events.columns, *markers).collect()))
+    before = spark.conf.get(key)
+    try:
+        with Relay(spark) as relay:
+            attach_parents(spec, events, parents, unique_parents=True, relay=relay)
+            assert relay._last is None  # small parents are broadcast: nothing is staged
+            spark.conf.set(key, "-1")
+            found = attach_parents(spec, events, parents, unique_parents=True, relay=relay)
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("Join LeftOuter") == 1
+            assert sorted(map(str, found.select(*events.columns, *markers).collect())) == plain
+            path = relay._last.path
+        assert not os.path.exists(path)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_tables_of_few_row_groups_are_dealt(spark, tmp_path, monkeypatch):
+    """One task read all rows of a table that one row group holds; its rows are the same when dealt."""
+    rows = spark.range(2000).selectExpr("id AS k", "CASE WHEN id % 7 = 0 THEN NULL ELSE 'v' END AS v")
+    rows.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plain = feed._table(spark, str(tmp_path), "lineitem")
+    assert "Repartition" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(feed, "DEALT_FROM_BYTES", 1)
+    dealt = feed._table(spark, str(tmp_path), "lineitem")
+    assert dealt.select(F.spark_partition_id()).distinct().count() > 1
+    assert dealt.exceptAll(plain).isEmpty() and dealt.count() == plain.count()
