@@ -110,6 +110,24 @@ def test_an_update_that_was_cut_off_is_finished(spark, lakes, tmp_path, monkeypa
     assert state(settings.store) == state(LayerStore(spark, str(lakes / "rebuilt")))
 
 
+def test_an_update_writes_all_differences_and_then_refreshes_the_summary_once(spark, lakes, tmp_path, monkeypatch):
+    """Facts do not wait for each other; the months of both sums are summed up together."""
+    shutil.copytree(lakes / "moved", tmp_path / "lake")
+    settings = settings_at(spark, tmp_path / "lake")
+    seen, refresh = [], gold._refresh_summary
+
+    def once(store, months):
+        seen.append((months, [f.name for f in gold.FACTS if store.complete("ops", f"difference_{f.name}")]))
+        refresh(store, months)
+
+    monkeypatch.setattr(gold, "_refresh_summary", once)
+    touched = gold.update_gold(settings, run_after(1))
+    assert len(seen) == 1
+    assert seen[0][0] == sorted({m for months in touched.values() for m in months})
+    assert seen[0][1] == [f.name for f in gold.FACTS]
+    assert not [f for f in gold.FACTS if settings.store.exists("ops", f"difference_{f.name}")]
+
+
 SUMS = Rollup(
     "sums", ("g",), {"total": (lambda: F.col("v"), "bigint")}, lambda: F.col("month")
 )
